@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voltatlas.functions.values import as_column, to_double
+from voltatlas.functions.values import as_column, let, to_double
 
 # The trusted window.
 MIN_TS = "2000-01-01 00:00:00"
@@ -25,15 +26,23 @@ def ntz(text: str) -> Column:
 
 def epoch_to_ts(value: Column | str) -> Column:
     """Epoch number to timestamp; the unit (s, ms, us, ns) follows from its size."""
+
+    def seconds(x: Column) -> Column:
+        size = F.abs(x)
+        return (
+            F.when(size >= 1e18, x / 1e9)
+            .when(size >= 1e15, x / 1e6)
+            .when(size >= 1e12, x / 1e3)
+            .otherwise(x)
+        )
+
+    def stamp(s: Column) -> Column:
+        whole = F.when(s < 0, F.ceil(s)).otherwise(F.floor(s))
+        micros = F.rint((s - whole) * 1e6).cast("long") + whole * F.lit(1000000)
+        return F.when(s.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_micros(micros))
+
     x = as_column(value).cast("double")
-    size = F.abs(x)
-    seconds = (
-        F.when(size >= 1e18, x / 1e9).when(size >= 1e15, x / 1e6).when(size >= 1e12, x / 1e3).otherwise(x)
-    )
-    whole = F.when(seconds < 0, F.ceil(seconds)).otherwise(F.floor(seconds))
-    micros = F.rint((seconds - whole) * 1e6).cast("long") + whole * F.lit(1000000)
-    valid = (seconds >= _FIRST_SECOND) & (seconds <= _LAST_SECOND)
-    return F.when(valid, F.timestamp_micros(F.when(valid, micros))).cast("timestamp_ntz")
+    return let(let(x, seconds), stamp).cast("timestamp_ntz")
 
 
 def parse_iso(text: Column | str) -> Column:
@@ -63,16 +72,18 @@ def coerce_ts(value: Column | str, mode: str = "numbers_first") -> Column:
         pattern = r"seconds_since_epoch=([0-9]+)"
     else:
         raise ValueError(f"unknown timestamp mode {mode!r}")
-    numeric_like = s.rlike(r"^[0-9+.\-]*[0-9][0-9+.\-]*$")
-    digits = F.regexp_extract(s, pattern, 1)
-    # One epoch conversion for both spellings keeps the expression small.
-    number = F.when(numeric_like, to_double(s)).when(digits != "", digits.try_cast("double"))
-    # Double columns print large values with an exponent; those are numbers too.
-    number = F.coalesce(number, F.when(s.rlike(r"^-?[0-9.]+E[0-9]+$"), to_double(s)))
-    is_number = numeric_like | (digits != "") | s.rlike(r"^-?[0-9.]+E[0-9]+$")
-    return F.when(is_number, epoch_to_ts(number)).otherwise(
-        F.when(~is_number, parse_iso(s))
-    )
+    numeric_like = r"^[0-9+.\-]*[0-9][0-9+.\-]*$"
+
+    def read(t: Column) -> Column:
+        number = F.when(t.rlike(numeric_like), t).otherwise(
+            F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
+        )
+        return let(
+            number,
+            lambda n: F.when(n.isNotNull(), epoch_to_ts(to_double(n))).otherwise(parse_iso(t)),
+        )
+
+    return let(s, read)
 
 
 def coerce_number_ts(value: Column | str) -> Column:
@@ -81,6 +92,18 @@ def coerce_number_ts(value: Column | str) -> Column:
     return epoch_to_ts(F.when(~F.isnan(x), x))
 
 
+def coerce_ts_column(df: DataFrame, name: str, mode: str = "numbers_first") -> Column:
+    """The rule that fits the column's declared type."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return df[name].cast("timestamp_ntz")
+    if isinstance(dtype, T.NumericType):
+        return coerce_number_ts(df[name])
+    if isinstance(dtype, T.StructType):
+        return coerce_number_ts(df[name]["seconds_since_epoch"])
+    return coerce_ts(df[name], mode)
+
+
 def clamp_ts(
     ts: Column | str,
     run_ts: Column | None,

@@ -17,6 +17,15 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body) -> Column:
+    """Work out ``value`` once and use it several times in ``body``.
+
+    A repeated sub-expression is otherwise copied into every use, and a few
+    levels of that overflow the size of one generated method.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_double(text: Column | str) -> Column:
     """Decimal text to double; anything else (also '1d' or '0x1') to NULL."""
     s = F.trim(as_column(text).cast("string"))
@@ -57,18 +66,17 @@ def double_text(value: Column | str) -> Column:
 
     Plain digits down to 1e-4, exponent form below, '.0' kept on whole numbers.
     """
+    def spell(s: Column) -> Column:
+        mantissa = F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", "")
+        digits = F.regexp_replace(mantissa, r"[-.]", "")
+        sign = F.when(s.startswith("-"), "-").otherwise("")
+        exponent = F.substring_index(s, "E", -1).try_cast("int")
+        small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+        tiny = F.concat(mantissa, F.lit("e-"), F.lpad((-exponent).cast("string"), 2, "0"))
+        return F.when(exponent >= -4, small).otherwise(tiny)
+
     s = as_column(value).cast("double").cast("string")
-    mantissa = F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", "")
-    digits = F.regexp_replace(mantissa, r"[-.]", "")
-    sign = F.when(s.startswith("-"), "-").otherwise("")
-    exponent = F.substring_index(s, "E", -1).try_cast("int")
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    tiny = F.concat(mantissa, F.lit("e-"), F.lpad((-exponent).cast("string"), 2, "0"))
-    return (
-        F.when(~s.contains("E-"), s)
-        .when(exponent >= -4, small)
-        .otherwise(tiny)
-    )
+    return F.when(s.contains("E-"), let(s, spell)).otherwise(s)
 
 
 def request_point_key(
