@@ -87,7 +87,7 @@ def fetch_responses(
 def read_latest_snapshot(spark: SparkSession, path: str, partition: str = "snapshot") -> DataFrame:
     """Newest snapshot partition only; older ones are pruned from the scan.
 
-    The newest value comes from the partition list, so no data file is opened for it.
+    The first step asks for the partition column alone, so it reads no data column.
     """
     df = spark.read.parquet(path)
     newest = df.select(partition).distinct().agg(F.max(partition)).first()[0]
