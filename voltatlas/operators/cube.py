@@ -47,9 +47,16 @@ def tidy_cube(
     for n, dim in enumerate(dims):
         codes = dim.codes.select(F.col("idx").cast("long").alias(f"_i{n}"), F.col("code").alias(dim.name))
         codes = F.broadcast(codes) if dim.size <= BROADCAST_CODES else codes
-        out = out.join(codes, f"_i{n}", "inner")
+        out = out.join(codes, f"_i{n}", "left")
+    # A position without a code is a broken document, not a row to lose.
+    known = [
+        F.when(F.col(d.name).isNull(), F.raise_error(F.lit(f"no code for a position of {d.name}")).cast("string"))
+        .otherwise(F.col(d.name))
+        .alias(d.name)
+        for d in dims
+    ]
     return out.select(
-        F.lit(dataset).alias("dataset"), *[d.name for d in dims],
+        F.lit(dataset).alias("dataset"), *known,
         F.col("value").cast("double").alias("value"), run_ts.alias("ingest_ts"), *(keep or []),
     )
 
