@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voltatlas.functions.values import as_column, to_double
+from voltatlas.functions.values import as_column, let, to_double
 
 # Radius in metres when the area is unknown, and its two bounds.
 DEFAULT_RADIUS_M = 3000
@@ -41,11 +41,18 @@ def point_lon_lat(wkt: Column | str, mode: str = "sql") -> Column:
         pattern = r"(?is)^\s*POINT[^(]*\((.*)\)[^)]*$"
     else:
         raise ValueError(f"unknown point mode {mode!r}")
-    parts = F.split(F.trim(F.regexp_replace(F.regexp_extract(s, pattern, 1), r"\s+", " ")), " ")
-    lon = to_double(F.try_element_at(parts, F.lit(1)))
-    lat = to_double(F.try_element_at(parts, F.lit(2)))
-    ok = in_range(lon, lat)
-    return F.struct(F.when(ok, lon).alias("lon"), F.when(ok, lat).alias("lat"))
+    inner = F.trim(F.regexp_replace(F.regexp_extract(s, pattern, 1), r"\s+", " "))
+
+    def numbers(parts: Column) -> Column:
+        lon = to_double(F.try_element_at(parts, F.lit(1)))
+        lat = to_double(F.try_element_at(parts, F.lit(2)))
+        return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+    def checked(p: Column) -> Column:
+        ok = in_range(p["lon"], p["lat"])
+        return F.struct(F.when(ok, p["lon"]).alias("lon"), F.when(ok, p["lat"]).alias("lat"))
+
+    return let(let(F.split(inner, " "), numbers), checked)
 
 
 def looks_like_point(wkt: Column | str, mode: str = "sql") -> Column:

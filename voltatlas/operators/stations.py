@@ -182,20 +182,18 @@ def station_envelopes(
     ok = F.col("http_status") < 400
     found = found.withColumn("poi_json", F.when(ok, F.col("body"))).drop("body")
     items = F.from_json("poi_json", "results array<string>")["results"]
-    ids = found.select(key, F.posexplode(items).alias("pos", "item")).select(
-        key, "pos",
+    ids = found.select(F.col(key).alias("_k"), F.posexplode(items).alias("pos", "item")).select(
+        "_k", "pos",
         F.get_json_object("item", "$.dataSources.chargingAvailability.id").alias("availability_id"),
     ).where("availability_id <> ''")
-    answered = left_lookup(ids, availability, "availability_id") if key != "request_key" else left_lookup(
-        ids.withColumnRenamed(key, "_candidate"), availability, "availability_id"
-    ).withColumnRenamed("_candidate", key)
+    answered = left_lookup(ids, availability, "availability_id")
     good = F.coalesce(F.col("http_status") < 400, F.lit(False))
     entry = F.struct(
         "pos", F.col("availability_id").alias("chargingAvailabilityId"), good.alias("ok"),
         F.col("http_status").alias("status_code"), F.col("error_message").alias("error"),
         F.when(good, F.col("body")).alias("avail_json"),
     )
-    lists = answered.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(entry)).alias("_list"))
+    lists = answered.groupBy("_k").agg(F.array_sort(F.collect_list(entry)).alias("_list"))
     joined = found.join(lists, found[key] == F.col("_k"), "left").drop("_k")
     snapshots = F.transform(
         "_list",

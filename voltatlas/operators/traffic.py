@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltatlas.functions.geometry import linestring_wkt
 from voltatlas.functions.responses import ERROR_LIMITS, error_text
@@ -72,10 +73,11 @@ def normal_raw_json(raw: Column | str) -> Column:
     return F.when(F.trim(raw).isin("{}", "", "null"), None).otherwise(raw)
 
 
-def flow_fact(df: DataFrame, run_ts: Column) -> DataFrame:
+def flow_fact(df: DataFrame, run_ts: Column, keep: list[str] | None = None) -> DataFrame:
     """Rows with road columns, status and ``raw_json`` to the 38-column fact.
 
-    Failed requests stay as rows with NULL metrics.
+    Failed requests stay as rows with NULL metrics.  ``keep`` names columns to
+    carry along behind the fact's own.
     """
     limit, mark = ERROR_LIMITS["traffic_row"]
     ready = df.withColumns(
@@ -92,7 +94,8 @@ def flow_fact(df: DataFrame, run_ts: Column) -> DataFrame:
         ready = ready.withColumn("snapshot_ts", run_ts)
     for name in ("snapshot_ts", "load_ts"):
         ready = ready.withColumn(name, clamp_ts(coerce_ts_column(ready, name, "struct_first"), run_ts))
-    return align(flow_columns(ready), FACT_TRAFFIC)
+    extra = [df.schema[c] for c in keep or [] if c not in FACT_TRAFFIC.names]
+    return align(flow_columns(ready), T.StructType([*FACT_TRAFFIC.fields, *extra]))
 
 
 def with_answers(roads: DataFrame, responses: DataFrame) -> DataFrame:

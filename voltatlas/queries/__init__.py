@@ -1,0 +1,11 @@
+from voltatlas.queries import (  # noqa: F401
+    candidates,
+    coercions,
+    cubes,
+    layers,
+    stations,
+    streams,
+    tables,
+    traffic,
+)
+from voltatlas.queries.registry import QUERIES, SQL  # noqa: F401

@@ -172,8 +172,8 @@ def search_radius(spark, sf):
     return table(spark, sf, "part").select("p_partkey", search_radius_m(area).alias("radius_m"))
 
 
-_C_LAT, _C_LON = "50.0 + (c_custkey % 997) / 2000.0", "15.0 + ((c_custkey * 7) % 991) / 1500.0"
-_S_LAT, _S_LON = "50.0 + ((s_suppkey * 37) % 499) / 1000.0", "15.0 + ((s_suppkey * 11) % 331) / 500.0"
+_C_LAT, _C_LON = "50 + (c_custkey % 997) / 2000", "15 + ((c_custkey * 7) % 991) / 1500"
+_S_LAT, _S_LON = "50 + ((s_suppkey * 37) % 499) / 1000", "15 + ((s_suppkey * 11) % 331) / 500"
 
 _RADIUS_SQL = f"""
 with c as (

@@ -35,7 +35,9 @@ def read_geojson_seq(
     reader = spark.read.option("lineSep", sep) if sep != "\n" else spark.read
     record = F.trim(F.regexp_replace("value", r"^[\s\x1e]+|\s+$", ""))
     rows = reader.text(path).select(record.alias("record")).where("record <> ''")
-    parsed = rows.withColumn("bad", F.try_parse_json("record").isNull())
+    # Says for itself that a blank is not bad: filters may be reordered around it.
+    bad = (F.col("record") != "") & F.try_parse_json("record").isNull()
+    parsed = rows.withColumn("bad", bad)
     if mode == "failfast":
         shown = F.concat(F.lit("cannot parse record: "), F.left("record", F.lit(200)))
         # The check must feed the output, or the optimizer would drop it.

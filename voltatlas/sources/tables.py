@@ -34,14 +34,17 @@ def candidate_roads(df: DataFrame, wkt_mode: str = "sql") -> DataFrame:
     )
 
 
-def read_batch_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def read_batch_files(
+    spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
     """Record files of many batches as one table; blank files add no rows.
 
-    No file, or no record in any file, is an error.
+    No file, or no record in any file, is an error.  Files with one record per
+    line are better read with ``multi_line=False``: they can then be split.
     """
     if not paths:
         raise ValueError("no batch files given")
-    df = spark.read.schema(schema).option("multiLine", True).json(paths)
+    df = spark.read.schema(schema).option("multiLine", multi_line).json(paths)
     # A blank multi-line file reads as one row of NULLs.
     df = df.where(F.greatest(*[F.col(f"`{c}`").isNotNull() for c in df.columns], F.lit(False)))
     if df.isEmpty():

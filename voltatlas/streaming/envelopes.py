@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from voltatlas.functions.timestamps import coerce_ts
 from voltatlas.operators.align import align
+from voltatlas.operators.quality import require_columns
 from voltatlas.operators.lookups import landed_ids, missing_events
 from voltatlas.operators.stations import (
     availability_rows,
@@ -35,9 +36,9 @@ def dedupe_within(stream: DataFrame, keys: list[str], ts: str = "event_ts", dela
     return stamped.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def traffic_rows(envelopes: DataFrame, run_ts: Column) -> DataFrame:
+def traffic_rows(envelopes: DataFrame, run_ts: Column, keep: list[str] | None = None) -> DataFrame:
     """Traffic envelopes, with either form of ``raw_json``, to fact rows; stateless."""
-    return flow_fact(envelopes, run_ts)
+    return flow_fact(envelopes, run_ts, keep)
 
 
 def append_once(
@@ -51,10 +52,11 @@ def append_once(
 ) -> StreamingQuery:
     """Insert each key once, however late or often it arrives.
 
-    Rows go to ``table`` under their event date.  A micro-batch is cut to one
-    row per key and then to the keys that the table's partitions of the same
-    dates lack, so only those partitions are read.  A micro-batch run again
-    after a failure overwrites its own folder and nothing else.
+    Rows go to ``table`` under the date in ``ts`` as it arrived.  A micro-batch
+    is cut to one row per key and then to the keys that the table's partitions
+    of the same dates lack, so only those partitions are read.  A micro-batch
+    run again after a failure overwrites its own folder and nothing else.
+    ``transform`` must keep ``keys`` and the ``partition`` column.
     """
 
     def insert(batch: DataFrame, batch_no: int) -> None:
@@ -67,9 +69,7 @@ def append_once(
         known = _known_keys(spark, table, batch_no, keys, partition, days)
         if known is not None:
             fresh = fresh.join(known, keys, "left_anti")
-        rows = transform(fresh) if transform else fresh
-        if partition not in rows.columns:
-            rows = rows.withColumn(partition, F.coalesce(F.col(ts).cast("date").cast("string"), F.lit("unknown")))
+        rows = require_columns(transform(fresh) if transform else fresh, [*keys, partition])
         (
             rows.withColumn("micro_batch", F.lit(batch_no))
             .write.mode("overwrite")
