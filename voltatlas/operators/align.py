@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltatlas.functions.timestamps import coerce_ts_column, warehouse_ts
+from voltatlas.specs import struct
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
@@ -26,7 +27,7 @@ def lower_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def align(df: DataFrame, target: T.StructType, ts_mode: str = "warehouse") -> DataFrame:
+def align(df: DataFrame, target: T.StructType | str, ts_mode: str = "warehouse") -> DataFrame:
     """Columns of ``target``, in its order and types.
 
     Names match in any case; missing columns become typed NULLs, extra ones
@@ -34,6 +35,7 @@ def align(df: DataFrame, target: T.StructType, ts_mode: str = "warehouse") -> Da
     stops the job.  ``ts_mode`` 'warehouse' reads timestamp text as the load
     does, 'coerce' applies the unit rules of ``coerce_ts``.
     """
+    target = struct(target)
     for what, names in (("target", target.names), ("source", df.columns)):
         clash = _repeated(names)
         if clash:
@@ -57,8 +59,9 @@ def align(df: DataFrame, target: T.StructType, ts_mode: str = "warehouse") -> Da
     return df.select(*[fit(f) for f in target.fields])
 
 
-def evolve(target: T.StructType, wanted: T.StructType) -> T.StructType:
+def evolve(target: T.StructType | str, wanted: T.StructType | str) -> T.StructType:
     """``target`` plus the columns of ``wanted`` it lacks; nothing is changed or dropped."""
+    target, wanted = struct(target), struct(wanted)
     have = {n.lower() for n in target.names}
     return T.StructType([*target.fields, *[f for f in wanted.fields if f.name.lower() not in have]])
 

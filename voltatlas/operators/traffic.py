@@ -20,6 +20,7 @@ from voltatlas.specs import (
     FLOW,
     TRAFFIC_VERSION,
     TRAFFIC_ZOOM,
+    struct,
 )
 
 
@@ -94,8 +95,8 @@ def flow_fact(df: DataFrame, run_ts: Column, keep: list[str] | None = None) -> D
         ready = ready.withColumn("snapshot_ts", run_ts)
     for name in ("snapshot_ts", "load_ts"):
         ready = ready.withColumn(name, clamp_ts(coerce_ts_column(ready, name, "struct_first"), run_ts))
-    extra = [df.schema[c] for c in keep or [] if c not in FACT_TRAFFIC.names]
-    return align(flow_columns(ready), T.StructType([*FACT_TRAFFIC.fields, *extra]))
+    extra = [df.schema[c] for c in keep or [] if c not in struct(FACT_TRAFFIC).names]
+    return align(flow_columns(ready), T.StructType([*struct(FACT_TRAFFIC).fields, *extra]))
 
 
 def with_answers(roads: DataFrame, responses: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def traffic_envelopes(
     """One envelope per road.  ``empty_object`` writes '{}' for a missing answer, else NULL."""
     snapshot_ts = iso_seconds(run_ts)
     raw = F.coalesce("raw_json", F.lit("{}")) if empty_object else F.col("raw_json")
-    road = [F.col(n) for n in CANDIDATE_ROAD.names]
+    road = [F.col(n) for n in struct(CANDIDATE_ROAD).names]
     return answered.select(
         stable_event_id(F.lit(run_id), "request_point_key", snapshot_ts).alias("event_id"),
         F.lit(run_id).alias("run_id"), snapshot_ts.alias("snapshot_ts"), F.lit(EVENT_SOURCE).alias("source"),

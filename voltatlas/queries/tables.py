@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voltatlas.functions.timestamps import ntz
 from voltatlas.operators.align import align, lower_columns
@@ -12,7 +11,7 @@ from voltatlas.session import scratch_dir
 from voltatlas.sinks.files import append_table, event_values, read_evolving, write_batches, write_event_files, write_partitions
 from voltatlas.sources.tables import read_batch_files
 
-_TARGET = T.StructType.fromDDL(
+_TARGET = (
     "load_ts timestamp_ntz, o_orderkey bigint, lanes double, o_totalprice double, near boolean, note string"
 )
 
@@ -34,8 +33,8 @@ def align_to_target(spark, sf):
     return align(lower_columns(wide), _TARGET)
 
 
-_FIRST = T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, load_ts timestamp_ntz")
-_MORE = T.StructType.fromDDL("o_orderpriority string")
+_FIRST = "o_orderkey bigint, o_totalprice double, load_ts timestamp_ntz"
+_MORE = "o_orderpriority string"
 
 
 @query(
@@ -59,7 +58,7 @@ def append_evolve(spark, sf):
     shifted = F.expr("case when o_custkey % 2 = 0 then cast(o_orderdate as timestamp_ntz) + interval 10 year "
                      "else timestamp_ntz'1999-01-01 00:00:00' end")
     second = orders.where("o_orderstatus <> 'F'").withColumn("load_ts", shifted)
-    append_table(second, folder, T.StructType([*_FIRST.fields, *_MORE.fields]), now, ["load_ts"])
+    append_table(second, folder, f"{_FIRST}, {_MORE}", now, ["load_ts"])
     append_table(second.where("false"), folder, _FIRST, now, ["load_ts"])
     return read_evolving(spark, folder, _FIRST, _MORE)
 
@@ -86,7 +85,7 @@ def batch_file_scan(spark, sf):
     folder = scratch_dir(spark, "landing")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("batch_id"))
     write_batches(orders.withColumn("run_id", F.lit("run-1")), folder)
-    schema = T.StructType.fromDDL("o_orderkey bigint, o_totalprice double")
+    schema = "o_orderkey bigint, o_totalprice double"
     return read_batch_files(spark, [f"{folder}/run_id=run-1/batch_id=*"], schema, multi_line=False)
 
 

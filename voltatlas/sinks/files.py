@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from voltatlas.functions.timestamps import repair_ts
 from voltatlas.operators.align import align, evolve
 from voltatlas.operators.quality import require_rows, require_text_geometry
+from voltatlas.specs import struct
 
 # Fixed value: rows per row group the layers are written with.
 ROWS_PER_GROUP = 50_000
@@ -69,7 +70,7 @@ def write_snapshot(df: DataFrame, path: str, snapshot: str, raw: DataFrame | Non
     return target
 
 
-def append_table(df: DataFrame, path: str, schema: T.StructType, run_ts: Column, ts: list[str]) -> None:
+def append_table(df: DataFrame, path: str, schema: T.StructType | str, run_ts: Column, ts: list[str]) -> None:
     """Fit to the table's schema, repair timestamps, append; an empty input writes nothing."""
     fitted = align(df, schema)
     fitted = fitted.withColumns({c: repair_ts(c, run_ts) for c in ts})
@@ -78,10 +79,10 @@ def append_table(df: DataFrame, path: str, schema: T.StructType, run_ts: Column,
 
 
 def read_evolving(
-    spark: SparkSession, path: str, first: T.StructType, *later: T.StructType
+    spark: SparkSession, path: str, first: T.StructType | str, *later: T.StructType | str
 ) -> DataFrame:
     """A table whose schema has grown; files written before a column show NULL for it."""
-    schema = first
+    schema = struct(first)
     for wanted in later:
         schema = evolve(schema, wanted)
     return spark.read.schema(schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltatlas.functions.points import in_range, looks_like_point, point_lon_lat
-from voltatlas.specs import CANDIDATE_ROAD, RESPONSE
+from voltatlas.specs import CANDIDATE_ROAD, RESPONSE, struct
 
 
 def candidate_cells(df: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def candidate_roads(df: DataFrame, wkt_mode: str = "sql") -> DataFrame:
 
     ``wkt_mode`` picks the prefix test and the parser together.
     """
-    names = [f.name for f in CANDIDATE_ROAD.fields if f.name != "degurba"]
+    names = [n for n in struct(CANDIDATE_ROAD).names if n != "degurba"]
     kept = df.where(looks_like_point("road_centroid_wkt_4326", wkt_mode)).select(
         *names, F.col("degurba").try_cast("int").alias("degurba"),
         point_lon_lat("road_centroid_wkt_4326", wkt_mode).alias("p"),
@@ -35,7 +35,7 @@ def candidate_roads(df: DataFrame, wkt_mode: str = "sql") -> DataFrame:
 
 
 def read_batch_files(
-    spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, paths: list[str], schema: T.StructType | str, multi_line: bool = True
 ) -> DataFrame:
     """Record files of many batches as one table; blank files add no rows.
 
@@ -103,14 +103,14 @@ def latest_partition(df: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(newest), df[column] == newest["_newest"], "left_semi")
 
 
-def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Envelope files, one JSON object per line, as a stream."""
     return spark.readStream.schema("value string").text(path).transform(
         lambda df: parse_envelopes(df, schema)
     )
 
 
-def read_envelope_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType) -> DataFrame:
+def read_envelope_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType | str) -> DataFrame:
     """The same from a topic; needs the Kafka connector on the cluster."""
     raw = (
         spark.readStream.format("kafka")
@@ -122,6 +122,6 @@ def read_envelope_topic(spark: SparkSession, servers: str, topic: str, schema: T
     return parse_envelopes(raw.select(F.col("value").cast("string")), schema)
 
 
-def parse_envelopes(df: DataFrame, schema: T.StructType) -> DataFrame:
+def parse_envelopes(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Envelope text to columns; nested payloads stay JSON text for the consumer."""
     return df.select(F.from_json("value", schema).alias("e")).where("e IS NOT NULL").select("e.*")

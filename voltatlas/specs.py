@@ -91,11 +91,16 @@ MAP_DATASETS = [
 ]
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def struct(schema: T.StructType | str) -> T.StructType:
+    """A schema from its text.
 
+    The schemas below stay text until they are used: reading the text takes a
+    driver, and Python workers import this module too.
+    """
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-CANDIDATE_CELL = _struct(
+
+CANDIDATE_CELL = (
     "region_code string, region string, h3_r7 string, cell_center_wkt_4326 string, "
     "kring_area_m2 double, macro_score double, degurba string"
 )
@@ -106,11 +111,11 @@ ROAD_COLUMNS = (
     "road_osm_id string, highway string, maxspeed_kph double, lanes double, road_len_m double, "
     "road_centroid_wkt_4326 string"
 )
-CANDIDATE_ROAD = _struct(ROAD_COLUMNS)
+CANDIDATE_ROAD = ROAD_COLUMNS
 
-RESPONSE = _struct("request_key string, http_status int, error_message string, body string")
+RESPONSE = "request_key string, http_status int, error_message string, body string"
 
-POI_ITEM = _struct(
+POI_ITEM = (
     "id string, dist double, score double, "
     "poi struct<name:string, brands:array<struct<name:string>>, categories:array<string>>, "
     "address struct<countryCode:string, countrySubdivisionName:string, municipality:string, "
@@ -121,19 +126,19 @@ POI_ITEM = _struct(
 )
 
 _COUNTS = "available:int, occupied:int, reserved:int, unknown:int, outOfService:int"
-AVAILABILITY = _struct(
+AVAILABILITY = (
     "connectors array<struct<type:string, total:int, availability:struct<"
     f"current:struct<{_COUNTS}>, perPowerLevel:array<struct<powerKW:double, {_COUNTS}>>>>>"
 )
 
-FLOW = _struct(
+FLOW = (
     "flowSegmentData struct<frc:string, currentSpeed:string, freeFlowSpeed:string, "
     "currentTravelTime:string, freeFlowTravelTime:string, confidence:double, roadClosure:string, "
     "coordinates:struct<coordinate:string>>"
 )
 COORDINATES = "array<struct<latitude:string,longitude:string>>"
 
-STATION_ENVELOPE = _struct(
+STATION_ENVELOPE = (
     "event_id string, run_id string, snapshot_ts string, source string, http_status int, "
     "error_message string, region_code string, region string, h3_r7 string, degurba int, "
     "request_point_lat double, request_point_lon double, radius_m int, poi_json string, "
@@ -141,29 +146,29 @@ STATION_ENVELOPE = _struct(
     "error:string, avail_json:string>>"
 )
 
-TRAFFIC_ENVELOPE = _struct(
+TRAFFIC_ENVELOPE = (
     "event_id string, run_id string, snapshot_ts string, source string, tomtom_zoom int, "
     "tomtom_version string, request_point_lat double, request_point_lon double, "
     f"request_point_key string, {ROAD_COLUMNS}, http_status int, error_message string, raw_json string"
 )
 
-DIM_STATIONS = _struct(
+DIM_STATIONS = (
     "tomtom_poi_id string, charging_availability_id string, name string, brand string, category string, "
     "country_code string, country_subdivision string, municipality string, street string, "
     "street_number string, postal_code string, freeform_address string, lat double, lon double, "
     "connectors_static_json string, raw_poi_json string, updated_at timestamp_ntz"
 )
-MAP_STATIONS = _struct(
+MAP_STATIONS = (
     "region_code string, region string, h3_r7 string, degurba int, query_lat double, query_lon double, "
     "radius_m int, tomtom_poi_id string, dist_m double, score double, rank_by_dist int, "
     "load_ts timestamp_ntz, raw_search_json string"
 )
-FACT_AVAILABILITY = _struct(
+FACT_AVAILABILITY = (
     "charging_availability_id string, snapshot_ts timestamp_ntz, connector_type string, power_kw double, "
     "total int, available int, occupied int, reserved int, unknown int, out_of_service int, "
     "raw_avail_json string"
 )
-FACT_TRAFFIC = _struct(
+FACT_TRAFFIC = (
     "run_id string, snapshot_ts timestamp_ntz, request_point_key string, request_point_lat double, "
     "request_point_lon double, tomtom_zoom int, tomtom_version string, region_code string, region string, "
     "h3_r7 string, degurba int, macro_score double, traffic_scope string, near_ev_station boolean, "
