@@ -147,151 +147,111 @@ def first_vertex(wkt: Column | str) -> Column:
 
 
 # -------------------------------------------------------------------- WKB
+#
+# Written as SQL text: one parse instead of a call into the JVM per node.
 
 
-def _double_from_hex(h: Column) -> Column:
-    """16 big-endian hex digits to the double they encode."""
+def _sql_let(value: str, name: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-    def build(s: Column) -> Column:
-        top = F.conv(F.substring(s, 1, 3), 16, 10).cast("int")
-        fraction = F.conv(F.substring(s, 4, 13), 16, 10).cast("double")
-        exponent = top % 2048
-        size = (F.lit(1.0) + fraction / F.lit(2.0**52)) * F.pow(F.lit(2.0), exponent - 1023)
-        signed = F.when(top >= 2048, -size).otherwise(size)
-        return F.when((exponent == 0) & (fraction == 0), F.lit(0.0)).otherwise(signed)
 
-    return let(h, build)
+def _sql_hex(offset: str, n_bytes: int) -> str:
+    """Hex digits of the number at ``offset`` of s.data, highest byte first."""
+    swap = "".join(f"${i}" for i in range(n_bytes, 0, -1))
+    raw = f"hex(substring(s.data, int({offset}) + 1, {n_bytes}))"
+    return f"if(s.little, regexp_replace({raw}, '{'(..)' * n_bytes}', '{swap}'), {raw})"
 
 
-def wkb_polygons(wkb: Column | str) -> Column:
-    """WKB or EWKB Polygon/MultiPolygon, either byte order, to an array of polygons."""
-    data = F.hex(as_column(wkb))
-    little = F.substring(data, 1, 2) == "01"
+def _sql_u32(offset: str) -> str:
+    return f"bigint(conv({_sql_hex(offset, 4)}, 16, 10))"
 
-    def digits(offset: Column, n_bytes: int) -> Column:
-        h = F.substring(data, offset * 2 + 1, F.lit(n_bytes * 2))
 
-        def order(s: Column) -> Column:
-            swapped = F.concat(*[F.substring(s, 2 * i - 1, 2) for i in range(n_bytes, 0, -1)])
-            return F.when(little, swapped).otherwise(s)
+def _sql_f64(offset: str) -> str:
+    split = _sql_let(
+        _sql_hex(offset, 8), "h",
+        "named_struct('top', int(conv(substr(h, 1, 3), 16, 10)), 'frac', double(conv(substr(h, 4), 16, 10)))",
+    )
+    value = (
+        "if(v.top % 2048 = 0 and v.frac = 0, 0D, if(v.top >= 2048, -1D, 1D) "
+        f"* (1D + v.frac / {2.0**52:.1f}D) * power(2D, v.top % 2048 - 1023))"
+    )
+    return _sql_let(split, "v", value)
 
-        return let(h, order)
 
-    def u32(offset: Column) -> Column:
-        return F.conv(digits(offset, 4), 16, 10).cast("bigint")
+def _sql_steps(n: str) -> str:
+    return f"if({n} > 0, sequence(1L, {n}), cast(array() as array<bigint>))"
 
-    def f64(offset: Column) -> Column:
-        return _double_from_hex(digits(offset, 8))
 
-    def header(offset: Column) -> Column:
-        """Byte length of the order and type fields, plus a spatial reference id if flagged."""
-        return F.when(u32(offset + 1).bitwiseAND(F.lit(0x20000000)) != 0, F.lit(9)).otherwise(F.lit(5)).cast("int")
+def _sql_header(offset: str) -> str:
+    """Bytes of the order and type fields, plus a spatial reference id if flagged."""
+    return f"if(({_sql_u32(f'{offset} + 1')} & {0x20000000}) <> 0, 9, 5)"
 
-    def steps(n: Column) -> Column:
-        return F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), n)).otherwise(
-            F.array().cast("array<bigint>")
-        )
 
-    def ring(offset: Column, n: Column) -> Column:
-        return F.transform(
-            steps(n),
-            lambda i: F.struct(
-                f64((offset + 16 * (i - 1)).cast("int")).alias("x"),
-                f64((offset + 16 * (i - 1) + 8).cast("int")).alias("y"),
-            ),
-        )
-
-    def polygon(start: Column) -> Column:
-        """``struct<pos, rings>`` of the polygon whose header is at ``start``."""
-        body = start + header(start)
-        init = F.struct((body + 4).cast("int").alias("pos"), F.array().cast(RINGS_TYPE).alias("rings"))
-
-        def add(acc: Column, _i: Column) -> Column:
-            return let(
-                F.struct(acc["pos"].alias("pos"), acc["rings"].alias("rings"), u32(acc["pos"]).alias("n")),
-                lambda a: F.struct(
-                    (a["pos"] + 4 + 16 * a["n"]).cast("int").alias("pos"),
-                    F.concat(a["rings"], F.array(ring(a["pos"] + 4, a["n"]))).alias("rings"),
-                ),
-            )
-
-        return F.aggregate(steps(u32(body)), init, add)
-
-    def add_polygon(acc: Column, _i: Column) -> Column:
-        return let(
-            F.struct(acc["polys"].alias("polys"), polygon(acc["pos"]).alias("p")),
-            lambda a: F.struct(
-                a["p"]["pos"].alias("pos"), F.concat(a["polys"], F.array(a["p"]["rings"])).alias("polys")
-            ),
-        )
-
-    zero = F.lit(0)
-    kind = u32(zero + 1).bitwiseAND(F.lit(0xFF))
-    body = header(zero)
-    many = F.aggregate(
-        steps(u32(body)),
-        F.struct((body + 4).cast("int").alias("pos"), F.array().cast(POLYGONS_TYPE).alias("polys")),
-        add_polygon,
-        lambda acc: acc["polys"],
-    )
-    return F.when(kind == 3, F.array(polygon(zero)["rings"])).when(kind == 6, many)
-
-
-def _double_to_hex(value: Column) -> Column:
-    """The 16 hex digits of a double's bits."""
+def _sql_polygon(start: str) -> str:
+    """``struct<pos, rings>`` of the polygon whose header is at ``start``."""
+    point = f"named_struct('x', {_sql_f64('a.pos + 4 + 16 * (i - 1)')}, 'y', {_sql_f64('a.pos + 12 + 16 * (i - 1)')})"
+    ring = f"transform({_sql_steps('a.n')}, i -> {point})"
+    counted = f"named_struct('pos', acc.pos, 'rings', acc.rings, 'n', {_sql_u32('acc.pos')})"
+    added = f"named_struct('pos', int(a.pos + 4 + 16 * a.n), 'rings', concat(a.rings, array({ring})))"
+    init = f"named_struct('pos', int(body + 4), 'rings', cast(array() as {RINGS_TYPE}))"
+    rings = f"aggregate({_sql_steps(_sql_u32('body'))}, {init}, (acc, k) -> {_sql_let(counted, 'a', added)})"
+    return _sql_let(f"int({start} + {_sql_header(start)})", "body", rings)
 
-    def build(x: Column) -> Column:
-        size = F.abs(x)
-        guess = F.floor(F.log2(size)).cast("int")
-        power = F.pow(F.lit(2.0), guess)
-        exponent = F.when(power > size, guess - 1).when(power * 2 <= size, guess + 1).otherwise(guess)
-        return let(
-            F.struct(x.alias("x"), exponent.alias("e")),
-            lambda s: F.when(s["x"] == 0, F.repeat(F.lit("0"), F.lit(16))).otherwise(
-                F.lpad(
-                    F.hex(
-                        F.shiftleft((s["e"] + 1023).cast("bigint"), 52)
-                        .bitwiseOR(
-                            ((F.abs(s["x"]) / F.pow(F.lit(2.0), s["e"]) - 1) * F.lit(2.0**52)).cast("bigint")
-                        )
-                        .bitwiseOR(F.when(s["x"] < 0, F.lit(-(2**63))).otherwise(F.lit(0).cast("bigint")))
-                    ),
-                    16,
-                    "0",
-                )
-            ),
-        )
 
-    return let(value, build)
+def wkb_polygons(wkb: str) -> Column:
+    """WKB or EWKB Polygon/MultiPolygon, either byte order, to an array of polygons.
 
+    ``wkb`` is a column name or SQL text.
+    """
+    one = f"array({_sql_polygon('0')}.rings)"
+    step = _sql_let(
+        f"named_struct('polys', m.polys, 'p', {_sql_polygon('m.pos')})", "b",
+        "named_struct('pos', b.p.pos, 'polys', concat(b.polys, array(b.p.rings)))",
+    )
+    init = f"named_struct('pos', int(first + 4), 'polys', cast(array() as {POLYGONS_TYPE}))"
+    many = _sql_let(
+        f"int({_sql_header('0')})", "first",
+        f"aggregate({_sql_steps(_sql_u32('first'))}, {init}, (m, j) -> {step}, m -> m.polys)",
+    )
+    by_kind = _sql_let(
+        f"{_sql_u32('1')} & 255", "kind", f"case kind when 3 then {one} when 6 then {many} end"
+    )
+    source = f"named_struct('data', {wkb}, 'little', hex(substring({wkb}, 1, 1)) = '01')"
+    return F.expr(_sql_let(source, "s", by_kind))
 
-def _u32_hex(n) -> Column:
-    n = F.lit(n) if isinstance(n, int) else n
-    return F.lpad(F.hex(n.cast("bigint")), 8, "0")
 
+def _sql_double_hex(value: str) -> str:
+    """The 16 hex digits of a double's bits."""
+    guess = f"named_struct('x', {value}, 'g', int(floor(log2(abs({value})))))"
+    exact = (
+        "named_struct('x', g.x, 'e', case when power(2D, g.g) > abs(g.x) then g.g - 1 "
+        "when power(2D, g.g + 1) <= abs(g.x) then g.g + 1 else g.g end)"
+    )
+    bits = (
+        f"(shiftleft(bigint(e.e + 1023), 52) | bigint((abs(e.x) / power(2D, e.e) - 1) * {2.0**52:.1f}D) "
+        "| if(e.x < 0, shiftleft(1L, 63), 0L))"
+    )
+    return _sql_let(
+        _sql_let(guess, "g", exact), "e", f"if(e.x = 0, repeat('0', 16), lpad(hex({bits}), 16, '0'))"
+    )
 
-def polygons_wkb(polygons: Column | str) -> Column:
-    """Array of polygons to big-endian WKB, Polygon for one and MultiPolygon for more."""
 
-    def ring_hex(r: Column) -> Column:
-        points = F.transform(r, lambda p: F.concat(_double_to_hex(p["x"]), _double_to_hex(p["y"])))
-        return F.concat(_u32_hex(F.size(r)), F.array_join(points, ""))
+def _sql_u32_hex(n: str) -> str:
+    return f"lpad(hex(bigint({n})), 8, '0')"
 
-    def polygon_hex(rings: Column) -> Column:
-        return F.concat(
-            F.lit("0000000003"), _u32_hex(F.size(rings)), F.array_join(F.transform(rings, ring_hex), "")
-        )
 
-    polys = as_column(polygons)
-    bodies = F.array_join(F.transform(polys, polygon_hex), "")
-    many = F.concat(F.lit("0000000006"), _u32_hex(F.size(polys)), bodies)
-    return F.unhex(F.when(F.size(polys) == 1, bodies).when(F.size(polys) > 1, many))
+def polygons_wkb(polygons: str) -> Column:
+    """Array of polygons to big-endian WKB, Polygon for one and MultiPolygon for more."""
+    point = f"concat({_sql_double_hex('p.x')}, {_sql_double_hex('p.y')})"
+    ring = f"concat({_sql_u32_hex('size(r)')}, array_join(transform(r, p -> {point}), ''))"
+    polygon = f"concat('0000000003', {_sql_u32_hex('size(q)')}, array_join(transform(q, r -> {ring}), ''))"
+    bodies = f"array_join(transform(s, q -> {polygon}), '')"
+    whole = f"case size(s) when 0 then null when 1 then {bodies} else concat('0000000006', {_sql_u32_hex('size(s)')}, {bodies}) end"
+    return F.expr(f"unhex({_sql_let(polygons, 's', whole)})")
 
 
-def point_wkb(lon: Column | str, lat: Column | str) -> Column:
-    return F.unhex(
-        F.concat(F.lit("0000000001"), _double_to_hex(as_column(lon)), _double_to_hex(as_column(lat)))
-    )
+def point_wkb(lon: str, lat: str) -> Column:
+    return F.expr(f"unhex(concat('0000000001', {_sql_double_hex(lon)}, {_sql_double_hex(lat)}))")
 
 
 # ----------------------------------------------------------- reprojection
@@ -330,68 +290,38 @@ LAEA_EUROPE = {
 }
 
 
-def laea_points_to_lonlat(points: Column) -> Column:
-    """``array<struct<x,y>>`` in EPSG:3035 metres to degrees, x = lon and y = lat.
-
-    Closed-form inverse; every step is its own pass, so no term is worked out twice.
-    """
+def _sql_laea(points: str) -> str:
+    """Closed-form inverse; every step is its own pass, so no term is worked out twice."""
     k = LAEA_EUROPE
-    sin_b, cos_b = math.sin(k["beta0"]), math.cos(k["beta0"])
-    shifted = F.transform(
-        points,
-        lambda p: F.struct((p["x"] - k["false_e"]).alias("x"), (p["y"] - k["false_n"]).alias("y")),
-    )
-    polar = F.transform(
-        shifted,
-        lambda p: F.struct(
-            p["x"].alias("x"), p["y"].alias("y"), F.hypot(p["x"] / k["d"], p["y"] * k["d"]).alias("rho")
-        ),
-    )
-    angle = F.transform(
-        polar,
-        lambda p: F.struct(
-            p["x"].alias("x"), p["y"].alias("y"), p["rho"].alias("rho"),
-            (F.asin(p["rho"] / (2 * k["rq"])) * 2).alias("c"),
-        ),
+    d, sin_b, cos_b = k["d"], math.sin(k["beta0"]), math.cos(k["beta0"])
+    shifted = f"transform({points}, p -> named_struct('x', p.x - {k['false_e']!r}D, 'y', p.y - {k['false_n']!r}D))"
+    polar = f"transform({shifted}, p -> named_struct('x', p.x, 'y', p.y, 'rho', hypot(p.x / {d!r}D, p.y * {d!r}D)))"
+    angle = (
+        f"transform({polar}, p -> named_struct('x', p.x, 'y', p.y, 'rho', p.rho, "
+        f"'c', 2 * asin(p.rho / {2 * k['rq']!r}D)))"
     )
-    sphere = F.transform(
-        angle,
-        lambda p: F.struct(
-            F.when(p["rho"] == 0, F.lit(k["beta0"]))
-            .otherwise(
-                F.asin(F.cos(p["c"]) * sin_b + F.sin(p["c"]) * p["y"] * k["d"] * cos_b / p["rho"])
-            )
-            .alias("beta"),
-            F.atan2(
-                p["x"] * F.sin(p["c"]),
-                p["rho"] * F.cos(p["c"]) * (k["d"] * cos_b)
-                - p["y"] * F.sin(p["c"]) * (k["d"] ** 2 * sin_b),
-            ).alias("dlon"),
-        ),
+    sphere = (
+        f"transform({angle}, p -> named_struct("
+        f"'beta', if(p.rho = 0, {k['beta0']!r}D, "
+        f"asin(cos(p.c) * {sin_b!r}D + sin(p.c) * p.y * {d * cos_b!r}D / p.rho)), "
+        f"'dlon', atan2(p.x * sin(p.c), p.rho * cos(p.c) * {d * cos_b!r}D - p.y * sin(p.c) * {d * d * sin_b!r}D)))"
     )
-    return F.transform(
-        sphere,
-        lambda p: F.struct(
-            F.degrees(p["dlon"] + k["lon0"]).alias("x"),
-            F.degrees(
-                p["beta"]
-                + F.sin(p["beta"] * 2) * k["c2"]
-                + F.sin(p["beta"] * 4) * k["c4"]
-                + F.sin(p["beta"] * 6) * k["c6"]
-            ).alias("y"),
-        ),
+    return (
+        f"transform({sphere}, p -> named_struct('x', degrees(p.dlon + {k['lon0']!r}D), "
+        f"'y', degrees(p.beta + {k['c2']!r}D * sin(2 * p.beta) + {k['c4']!r}D * sin(4 * p.beta) "
+        f"+ {k['c6']!r}D * sin(6 * p.beta))))"
     )
 
 
-def laea_to_lonlat(easting: Column | str, northing: Column | str) -> Column:
-    """One EPSG:3035 position to ``struct<lon, lat>``."""
-    point = F.struct(as_column(easting).cast("double").alias("x"), as_column(northing).cast("double").alias("y"))
-    out = F.get(laea_points_to_lonlat(F.array(point)), F.lit(0))
-    return F.struct(out["x"].alias("lon"), out["y"].alias("lat"))
+def laea_to_lonlat(easting: str, northing: str) -> Column:
+    """One EPSG:3035 position to ``struct<lon, lat>``; arguments are names or SQL text."""
+    point = f"array(named_struct('x', double({easting}), 'y', double({northing})))"
+    return F.expr(_sql_let(f"{_sql_laea(point)}[0]", "q", "named_struct('lon', q.x, 'lat', q.y)"))
 
 
-def laea_polygons_to_lonlat(polygons: Column | str) -> Column:
-    return F.transform(as_column(polygons), lambda rings: F.transform(rings, laea_points_to_lonlat))
+def laea_polygons_to_lonlat(polygons: str) -> Column:
+    """Polygons in EPSG:3035 metres to degrees, x = lon and y = lat."""
+    return F.expr(f"transform({polygons}, rings -> transform(rings, ring -> {_sql_laea('ring')}))")
 
 
 # --------------------------------------------------------------- distance

@@ -89,17 +89,17 @@ def admin_layer(features: DataFrame, levels: list[str] | None = None) -> DataFra
 def geometry_layer(features: DataFrame, dataset: str, crs: int = 4326) -> DataFrame:
     """The layer with binary geometry and its reference system (polygon layers)."""
     spec = LAYERS[dataset]
-    rows = features.withColumns(
-        {"geom_wkb": polygons_wkb(geojson_polygons("geometry")), "crs": F.lit(crs)}
-    )
+    shapes = features.withColumn("_polygons", geojson_polygons("geometry"))
+    rows = shapes.withColumns({"geom_wkb": polygons_wkb("_polygons"), "crs": F.lit(crs)})
     return project_layer(rows, spec, "geom_wkb", ["crs"])
 
 
 def grid_text(grid: DataFrame, digits: int = 9) -> DataFrame:
     """Census grid cells in degrees as text; reprojected first, then printed."""
-    cells = laea_polygons_to_lonlat(wkb_polygons("geom"))
+    metres = grid.withColumn("_cell", wkb_polygons("geom"))
+    degrees = metres.withColumn("_cell", laea_polygons_to_lonlat("_cell"))
     return project_layer(
-        grid.withColumn("geom_wkt", polygons_wkt(cells, digits)), LAYERS["census_grid"]
+        degrees.withColumn("geom_wkt", polygons_wkt("_cell", digits)), LAYERS["census_grid"]
     )
 
 

@@ -27,7 +27,7 @@ from voltatlas.operators.layers import (
 from voltatlas.operators.quality import output_profile as profile, polygon_types_only
 from voltatlas.operators.spatial import clip_to_regions
 from voltatlas.operators.totals import feature_counts
-from voltatlas.queries.registry import query, table
+from voltatlas.queries.registry import query, spread_table, table
 from voltatlas.session import scratch_dir
 from voltatlas.sources.features import read_geojson_seq
 from voltatlas.specs import LAYERS
@@ -298,7 +298,8 @@ def linestring_wkt(spark, sf):
         point("l_discount", "case when l_returnflag = 'R' then null else l_tax end"),
         F.struct(F.lit("x").alias("latitude"), F.lit("1").alias("longitude")),
     )
-    return table(spark, sf, "lineitem").select(
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"]
+    return spread_table(spark, sf, "lineitem", *columns).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", line_text(coords).alias("wkt")
     )
 
@@ -326,8 +327,7 @@ u as (
 
 @query(f"with {_LAEA_SQL} select c_custkey, round(lon, 6) as lon, round(lat, 6) as lat from u")
 def laea_to_wgs84(spark, sf):
-    to_spark = lambda s: F.expr(s)
-    p = laea_to_lonlat(to_spark(_E_SQL), to_spark(_N_SQL))
+    p = laea_to_lonlat(_E_SQL, _N_SQL)
     return table(spark, sf, "customer").select(
         "c_custkey", F.round(p["lon"], 6).alias("lon"), F.round(p["lat"], 6).alias("lat")
     )
@@ -343,15 +343,11 @@ from u
 )
 def grid_cells_to_text(spark, sf):
     """Binary census cells in metres to degree text."""
-    ring = F.array(
-        *[
-            F.struct((F.expr(_E_SQL) + dx).alias("x"), (F.expr(_N_SQL) + dy).alias("y"))
-            for dx, dy in ((0, 0), (1000, 0), (1000, 1000), (0, 1000), (0, 0))
-        ]
-    )
-    grid = table(spark, sf, "customer").select(
+    corners = [(0, 0), (1000, 0), (1000, 1000), (0, 1000), (0, 0)]
+    points = ", ".join(f"named_struct('x', {_E_SQL} + {dx}, 'y', {_N_SQL} + {dy})" for dx, dy in corners)
+    grid = spread_table(spark, sf, "customer", "c_custkey").select(
         F.concat(F.lit("CRS3035RES1000m-"), F.col("c_custkey").cast("string")).alias("GRD_ID"),
-        F.col("c_custkey").alias("T"), polygons_wkb(F.array(F.array(ring))).alias("geom"),
+        F.col("c_custkey").alias("T"), polygons_wkb(f"array(array(array({points})))").alias("geom"),
     )
     text = grid_text(grid)
     v = first_vertex("geom_wkt")

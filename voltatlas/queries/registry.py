@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.session import configure
+from voltatlas.session import configure, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,3 +34,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The same for queries whose work per row is large: all cores take part."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*columns) if columns else df)

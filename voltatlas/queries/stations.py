@@ -8,7 +8,7 @@ from voltatlas.functions.timestamps import ntz
 from voltatlas.operators.lookups import latest_response, left_lookup, with_outcome
 from voltatlas.operators.stations import availability_rows, station_envelopes, station_star
 from voltatlas.operators.totals import station_totals as totals_of
-from voltatlas.queries.registry import RUN_TS, query, table
+from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.session import scratch_dir
 from voltatlas.sources.tables import fetch_responses, parse_envelopes
 from voltatlas.specs import STATION_ENVELOPE
@@ -47,7 +47,8 @@ ranked as (
 
 def _searches(spark, sf):
     hits = f"slice({_HITS}, 1, int(o_custkey % 4))"
-    return table(spark, sf, "orders").select(
+    orders = spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return orders.select(
         F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("request_key"),
         F.col("o_orderkey").alias("cand_ord"), F.concat(F.lit("R"), (F.col("o_custkey") % 7).cast("string")).alias("region_code"),
         F.col("o_orderpriority").alias("region"), F.col("o_orderkey").cast("string").alias("h3_r7"),
@@ -86,7 +87,7 @@ avail as (
 
 
 def _availability(spark, sf):
-    return table(spark, sf, "customer").select(
+    return spread_table(spark, sf, "customer", "c_custkey", "c_nationkey").select(
         F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("request_key"),
         F.expr("case when c_nationkey = 3 then 403 else 200 end").alias("http_status"),
         F.expr("case when c_nationkey = 3 then 'HTTP 403' end").alias("error_message"),

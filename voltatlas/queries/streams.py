@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltatlas.functions.timestamps import iso_seconds, ntz
-from voltatlas.queries.registry import RUN_TS, query, table
+from voltatlas.queries.registry import RUN_TS, query, spread_table
 from voltatlas.session import scratch_dir
 from voltatlas.sources.tables import read_envelopes
 from voltatlas.specs import TRAFFIC_ENVELOPE
@@ -18,7 +18,7 @@ case event_type when 'view' then null when 'error' then '{}' else
 
 def _write_envelopes(spark, sf, folder):
     """Events as traffic envelopes; every envelope lands twice, in two sets of files."""
-    events = table(spark, sf, "events")
+    events = spread_table(spark, sf, "events")
     raw = _RAW.replace("{k}", "get_json_object(props, '$.k')")
     rows = events.select(
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"), F.lit("run-1").alias("run_id"),

@@ -9,7 +9,7 @@ from voltatlas.operators.lookups import landed_ids, reconcile
 from voltatlas.operators.totals import traffic_totals as totals_of
 from voltatlas.operators.traffic import flow_fact, flow_metrics
 from voltatlas.plans.jobs import traffic_feed, traffic_snapshot
-from voltatlas.queries.registry import RUN_TS, query, table
+from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.sources.tables import parse_envelopes
 from voltatlas.specs import TRAFFIC_ENVELOPE
 
@@ -169,5 +169,6 @@ def sent_vs_landed(spark, sf):
         F.when(F.col("l_linestatus") == "F", '{"event_id":"').otherwise('{"EVENT_ID":"'),
         F.col("l_orderkey").cast("string"), F.lit('"}'),
     )
-    landing = table(spark, sf, "lineitem").select(F.parse_json(content).alias("record_content"))
+    lines = spread_table(spark, sf, "lineitem", "l_orderkey", "l_linestatus")
+    landing = lines.select(F.parse_json(content).alias("record_content"))
     return reconcile(sent, landed_ids(landing))

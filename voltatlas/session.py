@@ -5,13 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The Python stack of every Column call is not recorded; building a plan is several times faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -47,3 +49,12 @@ def checkpointed(df, spark: SparkSession | None = None):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions for every core, for CPU-heavy work on a table of few row groups.
+
+    A table large enough to fill the cluster is left as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
