@@ -12,7 +12,12 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # The Python stack of every Column call is not recorded; building a plan is several times faster.
+}
+
+
+# Settings that only count when the session starts.
+LAUNCH_CONF = {
+    # Without the Python stack of every Column call a plan is built several times faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
