@@ -94,7 +94,7 @@ def geometry_layer(features: DataFrame, dataset: str, crs: int = 4326) -> DataFr
     return project_layer(rows, spec, "geom_wkb", ["crs"])
 
 
-def grid_text(grid: DataFrame, digits: int = 9) -> DataFrame:
+def grid_text(grid: DataFrame, digits: int = 8) -> DataFrame:
     """Census grid cells in degrees as text; reprojected first, then printed."""
     metres = grid.withColumn("_cell", wkb_polygons("geom"))
     degrees = metres.withColumn("_cell", laea_polygons_to_lonlat("_cell"))

@@ -123,5 +123,13 @@ def read_envelope_topic(spark: SparkSession, servers: str, topic: str, schema: T
 
 
 def parse_envelopes(df: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Envelope text to columns; nested payloads stay JSON text for the consumer."""
-    return df.select(F.from_json("value", schema).alias("e")).where("e IS NOT NULL").select("e.*")
+    """Envelope text to columns; nested payloads stay JSON text for the consumer.
+
+    Messages without an event id are not envelopes; ``unreadable_messages`` has them.
+    """
+    return df.select(F.from_json("value", schema).alias("e")).where("e.event_id IS NOT NULL").select("e.*")
+
+
+def unreadable_messages(df: DataFrame) -> DataFrame:
+    """The messages that ``parse_envelopes`` leaves out, for a quarantine table."""
+    return df.where(F.get_json_object("value", "$.event_id").isNull())
