@@ -46,6 +46,8 @@ def tidy_cube(
     out = values.withColumns({f"_i{n}": p for n, p in enumerate(positions)})
     for n, dim in enumerate(dims):
         codes = dim.codes.select(F.col("idx").cast("long").alias(f"_i{n}"), F.col("code").alias(dim.name))
+        # Positions lie below the size, so this bounds what is sent to every task.
+        codes = codes.where(F.col(f"_i{n}") < dim.size)
         codes = F.broadcast(codes) if dim.size <= BROADCAST_CODES else codes
         out = out.join(codes, f"_i{n}", "left")
     # A position without a code is a broken document, not a row to lose.

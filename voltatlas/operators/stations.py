@@ -174,15 +174,16 @@ def station_envelopes(
 ) -> DataFrame:
     """One envelope per candidate: its search answer and the availability answers.
 
-    ``candidates`` holds a unique ``key``; both response tables have the S10
-    columns.  Failed searches and lookups stay in with status and error.  The
-    lists are regrouped per candidate, and hold at most the hits of one answer.
+    ``searches`` holds one answer per ``request_key``; candidates may share a
+    key.  Failed searches and lookups stay in with status and error.  The lists
+    are built once per search answer, from its own hits, and then handed to
+    every candidate that asked it, so a popular key makes no long list.
     """
-    found = left_lookup(candidates, searches, key)
-    ok = F.col("http_status") < 400
-    found = found.withColumn("poi_json", F.when(ok, F.col("body"))).drop("body")
-    items = F.from_json("poi_json", "results array<string>")["results"]
-    ids = found.select(F.col(key).alias("_k"), F.posexplode(items).alias("pos", "item")).select(
+    answered_ok = F.when(F.col("http_status") < 400, F.col("body"))
+    found = left_lookup(candidates, searches.withColumn("poi_json", answered_ok).drop("body"), key)
+    asked = searches.join(candidates.select(F.col(key).alias("request_key")).distinct(), "request_key", "left_semi")
+    items = F.from_json(answered_ok, "results array<string>")["results"]
+    ids = asked.select(F.col("request_key").alias("_k"), F.posexplode(items).alias("pos", "item")).select(
         "_k", "pos",
         F.get_json_object("item", "$.dataSources.chargingAvailability.id").alias("availability_id"),
     ).where("availability_id <> ''")
@@ -206,7 +207,8 @@ def station_envelopes(
     )
     snapshot_ts = iso_seconds(run_ts)
     return joined.select(
-        stable_event_id(F.lit(run_id), key, snapshot_ts).alias("event_id"), F.lit(run_id).alias("run_id"),
+        stable_event_id(F.lit(run_id), key, "region_code", "h3_r7", snapshot_ts).alias("event_id"),
+        F.lit(run_id).alias("run_id"),
         snapshot_ts.alias("snapshot_ts"), F.lit(EVENT_SOURCE).alias("source"), "http_status", "error_message",
         "region_code", "region", "h3_r7", "degurba", "request_point_lat", "request_point_lon", "radius_m",
         "poi_json", F.coalesce(snapshots, empty).alias("availability_snapshots"),

@@ -112,7 +112,9 @@ def traffic_envelopes(
     raw = F.coalesce("raw_json", F.lit("{}")) if empty_object else F.col("raw_json")
     road = [F.col(n) for n in struct(CANDIDATE_ROAD).names]
     return answered.select(
-        stable_event_id(F.lit(run_id), "request_point_key", snapshot_ts).alias("event_id"),
+        stable_event_id(
+            F.lit(run_id), "request_point_key", "region_code", "h3_r7", "traffic_scope", "ev_station_id", snapshot_ts
+        ).alias("event_id"),
         F.lit(run_id).alias("run_id"), snapshot_ts.alias("snapshot_ts"), F.lit(EVENT_SOURCE).alias("source"),
         F.lit(TRAFFIC_ZOOM).alias("tomtom_zoom"), F.lit(TRAFFIC_VERSION).alias("tomtom_version"),
         "request_point_lat", "request_point_lon", "request_point_key", *road, "http_status", "error_message",

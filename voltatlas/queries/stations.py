@@ -190,7 +190,7 @@ with {_HITS_SQL}, looked as (
 )
 select cast(o.o_orderkey as varchar) as h3_r7, case when o.o_orderkey % 11 = 0 then 403 else 200 end as http_status,
        coalesce(looked_up, 0) as looked_up, coalesce(answered, 0) as answered,
-       sha256('run-1|S' || o.o_orderkey || '|2024-06-01T12:00:00Z') as event_id
+       sha256('run-1|S' || o.o_orderkey || '|R' || (o.o_custkey % 7) || '|' || o.o_orderkey || '|2024-06-01T12:00:00Z') as event_id
 from orders o left join looked l on o.o_orderkey = l.o_orderkey
 """
 )

@@ -50,8 +50,12 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replace the partitions present in ``df``; others stay."""
-    _writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Replace the partitions present in ``df``; others stay.
+
+    Rows are brought together by partition first, a large partition in several
+    parts, so the number of files follows the data and not the number of tasks.
+    """
+    _writer(df.hint("rebalance", *by)).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def write_levels(df: DataFrame, path: str, year: int, scale: str, crs: int) -> None:

@@ -35,19 +35,19 @@ def read_geojson_seq(
     reader = spark.read.option("lineSep", sep) if sep != "\n" else spark.read
     record = F.trim(F.regexp_replace("value", r"^[\s\x1e]+|\s+$", ""))
     rows = reader.text(path).select(record.alias("record")).where("record <> ''")
+    parsed = rows.withColumn(
+        "f", F.from_json("record", f"{FEATURE}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    )
     # Says for itself that a blank is not bad: filters may be reordered around it.
-    bad = (F.col("record") != "") & F.try_parse_json("record").isNull()
-    parsed = rows.withColumn("bad", bad)
-    if mode == "failfast":
-        shown = F.concat(F.lit("cannot parse record: "), F.left("record", F.lit(200)))
-        # The check must feed the output, or the optimizer would drop it.
-        parsed = parsed.withColumn(
-            "record", F.when(F.col("bad"), F.raise_error(shown).cast("string")).otherwise(F.col("record"))
-        ).drop("bad")
-    elif mode != "quarantine":
+    bad = (F.col("record") != "") & F.col("f._bad").isNotNull()
+    if mode == "quarantine":
+        return parsed.select("record", bad.alias("bad"), "f.properties", "f.geometry")
+    if mode != "failfast":
         raise ValueError(f"unknown mode {mode!r}")
-    feature = F.from_json("record", FEATURE)
-    return parsed.withColumn("f", feature).select("*", "f.properties", "f.geometry").drop("f")
+    shown = F.concat(F.lit("cannot parse record: "), F.left("record", F.lit(200)))
+    # The check must feed the output, or the optimizer would drop it.
+    checked = parsed.withColumn("f", F.when(bad, F.raise_error(shown)).otherwise(F.col("f")))
+    return checked.select("record", "f.properties", "f.geometry")
 
 
 def read_feature_collection(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -23,6 +23,9 @@ from voltatlas.operators.stations import (
 from voltatlas.operators.traffic import flow_fact
 from voltatlas.specs import DIM_STATIONS, FACT_AVAILABILITY, MAP_STATIONS
 
+# Dates of one micro-batch named in a filter; beyond it the whole table is asked.
+MAX_DAYS = 10_000
+
 BUSINESS_KEY = ["run_id", "request_point_key", "snapshot_ts"]
 
 
@@ -62,16 +65,18 @@ def append_once(
     def insert(batch: DataFrame, batch_no: int) -> None:
         spark = batch.sparkSession
         day = F.coalesce(coerce_ts(ts).cast("date").cast("string"), F.lit("unknown"))
-        fresh = batch.dropDuplicates(keys).withColumn(partition, day)
-        if fresh.isEmpty():
+        dated = batch.withColumn(partition, day)
+        days = [r[0] for r in dated.select(partition).distinct().limit(MAX_DAYS).collect()]
+        if not days:
             return
-        days = [r[0] for r in fresh.select(partition).distinct().limit(10_000).collect()]
+        fresh = dated.dropDuplicates(keys)
         known = _known_keys(spark, table, batch_no, keys, partition, days)
         if known is not None:
             fresh = fresh.join(known, keys, "left_anti")
         rows = require_columns(transform(fresh) if transform else fresh, [*keys, partition])
         (
             rows.withColumn("micro_batch", F.lit(batch_no))
+            .hint("rebalance", partition)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
@@ -95,7 +100,7 @@ def _known_keys(spark, table: str, batch_no: int, keys: list[str], partition: st
         have = spark.read.parquet(table)
     except AnalysisException:
         return None
-    same_days = F.col(partition).cast("string").isin(days) if len(days) < 10_000 else F.lit(True)
+    same_days = F.col(partition).cast("string").isin(days) if len(days) < MAX_DAYS else F.lit(True)
     return have.where(same_days & (F.col("micro_batch") != batch_no)).select(*keys).distinct()
 
 
