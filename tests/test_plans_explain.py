@@ -13,9 +13,6 @@ from voltatlas.operators.spatial import RadiusJoin
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not here")
 
-# Queries that write files or run a stream give a plan of their output only.
-LAZY = [n for n in QUERIES if n not in {"stream_dedupe_fact", "stream_dedupe_window"}]
-
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -69,10 +66,3 @@ def test_radius_join_is_an_equi_join(spark):
     s = spark.range(10).selectExpr("id as s", "50 + id / 99 as station_lat", "19 + id / 49 as station_lon")
     text = plan(RadiusJoin("c", "s").run(c, s))
     assert "HashJoin" in text or "SortMergeJoin" in text
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_python_per_row(spark, name):
-    """Only the fetch hook may start Python workers."""
-    text = plan(QUERIES[name](spark, SF))
-    assert "Python" not in text and "Pandas" not in text or name == "fetch_hook"

@@ -38,12 +38,17 @@ def world(rng, n, centre, spread):
              (centre[1] + rng.gauss(0, spread * 2) + 180) % 360 - 180) for i in range(n)]
 
 
-@pytest.mark.parametrize("centre", [(50.0, 19.5), (0.02, 179.98), (89.97, 10.0), (-89.99, -179.9), (70.0, -180.0)])
+CENTRES = [(50.0, 19.5), (0.02, 179.98), (89.97, 10.0), (-89.99, -179.9), (70.0, -180.0)]
+
+
 @pytest.mark.parametrize("leaf", [1024, 3])
-def test_radius_join_equals_brute_force(spark, centre, leaf):
-    rng = random.Random(str(centre))
-    stations = world(rng, 120, centre, 0.05)
-    cands = [(i, a, b, rng.choice([1500, 3000, 10000])) for i, a, b in world(rng, 40, centre, 0.06)]
+def test_radius_join_equals_brute_force(spark, leaf):
+    """Mid-latitude, equator at the date line, both poles, the date line again."""
+    stations, cands = [], []
+    for n, centre in enumerate(CENTRES):
+        rng = random.Random(n)
+        stations += [(i + 1000 * n, a, b) for i, a, b in world(rng, 100, centre, 0.05)]
+        cands += [(i + 1000 * n, a, b, rng.choice([1500, 3000, 10000])) for i, a, b in world(rng, 35, centre, 0.06)]
     assert run(spark, cands, stations, leaf_rows=leaf) == brute(cands, stations, 10)
 
 
@@ -83,7 +88,7 @@ def test_crowded_path_looks_at_few_pairs(spark):
 
     cells = S._with_fine_cell(s, F.col("station_lat"), F.col("station_lon"))
     spread = S._covering_cells(c, F.col("lat"), F.col("lon"), F.col("radius_m").cast("double"))
-    pairs = join._through_leaves(spread, cells).count()
+    pairs = join._through_leaves(spread, cells, 1).count()
     assert pairs < 20 * 1500
     assert run(spark, cands, stations, leaf_rows=64) == brute(cands, stations, 10)
 

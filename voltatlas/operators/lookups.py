@@ -29,12 +29,15 @@ def with_outcome(df: DataFrame, policy: str = "traffic") -> DataFrame:
 
 
 def landed_ids(landing: DataFrame) -> DataFrame:
-    """Distinct event ids of raw landing rows, under either spelling of the key."""
+    """Distinct event ids of raw landing rows, under either spelling of the key.
+
+    Rows without an id leave one NULL, which matches nothing.
+    """
     content = F.col("record_content")
     ids = F.coalesce(
         F.try_variant_get(content, "$.event_id", "string"), F.try_variant_get(content, "$.EVENT_ID", "string")
     )
-    return landing.select(ids.alias("event_id")).where("event_id IS NOT NULL").distinct()
+    return landing.select(ids.alias("event_id")).distinct()
 
 
 def missing_events(sent: DataFrame, landed: DataFrame, key: str = "event_id") -> DataFrame:

@@ -54,6 +54,8 @@ def number_rows(
 
     ``order`` must be unique within a group.  NULLs sort first; for NULLs last
     pass ``col.isNull()`` before the column, for descending pass its negative.
+    ``df`` is read four times (count, sample, offsets, rows), the first three
+    times only its keys: pass a table, or a checkpoint of a long plan.
     """
     group = group or []
     fields = [F.col(g).alias(f"g{i}") for i, g in enumerate(group)]

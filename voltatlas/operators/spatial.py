@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voltatlas.functions.geometry import EARTH_RADIUS_M, haversine_m
 from voltatlas.operators.ranking import STATION_LIMIT, rank_by_distance, top_per_group
+from voltatlas.session import checkpointed
 
 # Base cells are 0.1 degrees high and at least as wide as high (11 km), so the
 # largest search radius reaches one cell to each side.  Every level cuts a
@@ -77,6 +78,10 @@ def _covering_cells(df: DataFrame, lat: Column, lon: Column, radius: Column) ->
     )
 
 
+def _counts(cells: DataFrame, level: int) -> DataFrame:
+    return cells.groupBy(_cell_at(level).alias("_cell")).count()
+
+
 def _lookup(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -105,41 +110,49 @@ class RadiusJoin:
         spread = _covering_cells(
             candidates, F.col(self.c_lat), F.col(self.c_lon), F.col(self.radius).cast("double")
         )
-        busiest = cells.groupBy(_cell_at(0).alias("c")).count().agg(F.max("count")).first()[0] or 0
-        if self.limit is None or busiest <= self.leaf_rows:
+        full = 0 if self.limit is None else self._crowded(_counts(cells, 0)).count()
+        if full == 0:
             right = cells.withColumn("_cell", _cell_at(0)).drop("_fr", "_fc")
             pairs = spread.join(right, "_cell").drop("_cell")
         else:
-            pairs = self._through_leaves(spread, cells)
+            pairs = self._through_leaves(spread, cells, full)
         near = pairs.withColumn(
             "dist_m", haversine_m(self.c_lat, self.c_lon, self.s_lat, self.s_lon)
         ).where(F.col("dist_m") <= F.col(self.radius))
-        if self.limit is None:
-            return rank_by_distance(near, [self.candidate], "dist_m", [self.station], None)
         return rank_by_distance(near, [self.candidate], "dist_m", [self.station], self.limit)
 
     # A crowded cell is cut until its parts are small, and a candidate visits
     # only the parts that can hold one of its nearest ``limit`` stations.
 
-    def _through_leaves(self, spread: DataFrame, cells: DataFrame) -> DataFrame:
+    def _crowded(self, counts: DataFrame) -> DataFrame:
+        return counts.where(F.col("count") > self.leaf_rows)
+
+    def _through_leaves(self, spread: DataFrame, cells: DataFrame, full: int) -> DataFrame:
         # Stations on one spot are equally far from everybody, so only the
         # first ``limit`` of them by key can ever be among the nearest.
         cells = top_per_group(
             cells, [self.s_lat, self.s_lon], [F.asc(self.station)], self.limit, "_same"
         ).drop("_same")
-        counts = [cells.groupBy(_cell_at(v).alias("_cell")).count() for v in range(LEVELS + 1)]
-        crowded = [c.where(F.col("count") > self.leaf_rows).select("_cell") for c in counts[:LEVELS]]
-        sizes: list[int] = []
-        for c in crowded:
-            sizes.append(c.count())
-            if sizes[-1] == 0:
-                break
-        depth = sum(1 for s in sizes if s)
+        base = _counts(cells, 0)
+        # Finer counts exist only below crowded base cells, and are worked out once.
+        below = cells.withColumn("_cell", _cell_at(0)).join(
+            _lookup(self._crowded(base).select("_cell"), full), "_cell", "left_semi"
+        )
+        finer = [F.struct(F.lit(v).alias("_level"), _cell_at(v).alias("_cell")) for v in range(1, LEVELS + 1)]
+        deep = checkpointed(
+            below.select(F.explode(F.array(*finer)).alias("f")).groupBy("f._level", "f._cell").count()
+        )
+        sizes = {0: full}
+        for row in self._crowded(deep).where(F.col("_level") < LEVELS).groupBy("_level").count().collect():
+            sizes[row["_level"]] = row["count"]
+        depth = max(sizes) + 1
+        counts = [base] + [deep.where(F.col("_level") == v).drop("_level") for v in range(1, LEVELS + 1)]
+        crowded = [self._crowded(c).select("_cell") for c in counts[:depth]]
 
         stations = cells.withColumn("_level", F.lit(0))
         for v in range(depth):
-            full = crowded[v].select(F.col("_cell").alias("_full"))
-            hit = stations.join(_lookup(full, sizes[v]), _cell_at(v) == F.col("_full"), "left")
+            inside = crowded[v].select(F.col("_cell").alias("_full"))
+            hit = stations.join(_lookup(inside, sizes[v]), _cell_at(v) == F.col("_full"), "left")
             stations = hit.withColumn(
                 "_level", F.col("_level") + F.col("_full").isNotNull().cast("int")
             ).drop("_full")

@@ -44,11 +44,8 @@ def ranked_results(poi_json: Column | str) -> Column:
             t["item"].alias("item"), t["hit"].alias("hit"),
         ),
     )
-    return F.array_sort(
-        keyed,
-        lambda a, b: F.when(a["far"] < b["far"], -1).when(a["far"] > b["far"], 1)
-        .when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0),
-    )
+    # Struct order: distance, then position, which is unique; nothing behind it is compared.
+    return F.sort_array(keyed)
 
 
 def explode_results(searches: DataFrame, poi_json: str = "poi_json") -> DataFrame:

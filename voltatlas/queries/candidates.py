@@ -242,7 +242,7 @@ def rank_by_distance(spark, sf):
         *_LINE.split(", "), F.expr("case when l_returnflag = 'R' then null else l_quantity end").alias("dist")
     )
     ties = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
-    return ranked(lines, ["l_orderkey"], "dist", ties, None, rows_per_chunk=10_000)
+    return ranked(lines, ["l_orderkey"], "dist", ties, None, rows_per_chunk=25_000)
 
 
 @query(

@@ -337,7 +337,7 @@ def laea_to_wgs84(spark, sf):
     f"""
 with {_LAEA_SQL}
 select 'CRS3035RES1000m-' || c_custkey as grd_id, c_custkey as t, cast(null as bigint) as m,
-       round(lon, 5) as first_lon, round(lat, 5) as first_lat, 5 as vertices
+       round(round(lon, 8) + 0.000000004, 5) as first_lon, round(round(lat, 8) + 0.000000004, 5) as first_lat, 5 as vertices
 from u
 """
 )
@@ -353,7 +353,8 @@ def grid_cells_to_text(spark, sf):
     v = first_vertex("geom_wkt")
     return text.select(
         F.col("GRD_ID").alias("grd_id"), F.col("T").alias("t"), F.col("M").alias("m"),
-        F.round(v["lon"], 5).alias("first_lon"), F.round(v["lat"], 5).alias("first_lat"),
+        # The text has 8 digits; the small step keeps every value off the middle between two 5-digit ones.
+        F.round(v["lon"] + 4e-9, 5).alias("first_lon"), F.round(v["lat"] + 4e-9, 5).alias("first_lat"),
         F.size(F.split("geom_wkt", ",")).alias("vertices"),
     )
 
