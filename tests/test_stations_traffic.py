@@ -145,6 +145,15 @@ def test_station_envelopes_and_consumer(spark, star):
     assert tables["fact"].count() == 4
 
 
+def test_candidates_that_share_a_search(spark, star):
+    cells, searches, avail, _ = star
+    shared = candidate_requests(cells).where("h3_r7 = 'h1'")
+    twins = shared.unionByName(shared.withColumn("h3_r7", F.lit("twin")))
+    rows = station_envelopes(twins, searches, avail, "run", ntz(RUN)).collect()
+    assert [len(r.availability_snapshots) for r in rows] == [2, 2]
+    assert len({r.event_id for r in rows}) == 2
+
+
 FLOW = {"flowSegmentData": {"frc": "FRC3", "currentSpeed": 25, "freeFlowSpeed": "50.9", "currentTravelTime": 80.7, "freeFlowTravelTime": 40,
                             "confidence": 0.9, "roadClosure": False, "coordinates": {"coordinate": [
                                 {"latitude": 50.0, "longitude": 19.0}, {"latitude": 50.5, "longitude": 19.25}]}}}

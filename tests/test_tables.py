@@ -151,6 +151,12 @@ def test_profile(spark):
     assert [tuple(r) for r in Q.output_profile(df).collect()] == [(1, "a", "int", 2, 2), (2, "b", "string", 2, 1)]
 
 
+def test_file_profile(spark, tmp_path):
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "t"))
+    row = Q.file_profile(spark, str(tmp_path / "t")).first()
+    assert (row.rows, row.files) == (100, 3) and row.bytes > 0
+
+
 def test_totals(spark):
     df = spark.createDataFrame([(1, 200, "x"), (1, 403, None), (2, 500, None)], "batch_id int, http_status int, body string")
     assert {tuple(r) for r in batch_totals(df).collect()} == {(1, 2, 1, 1, 1), (2, 1, 1, 0, 0), (None, 3, 2, 1, 1)}

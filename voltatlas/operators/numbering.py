@@ -27,7 +27,8 @@ def _cut_points(keyed: DataFrame, chunks: int, total: int) -> list[str]:
     picked = keyed.where(
         F.xxhash64("_key").bitwiseAND(F.lit(2**63 - 1)) <= F.lit(int(share * (2**63 - 1)))
     )
-    rows = picked.orderBy("_key").select(F.to_json("_key", {"ignoreNullFields": "false"})).collect()
+    # One of each key is enough, so a key that breaks the rule of being unique cannot flood the driver.
+    rows = picked.select("_key").distinct().orderBy("_key").select(F.to_json("_key", {"ignoreNullFields": "false"})).collect()
     step = len(rows) / chunks
     cuts = [rows[int(i * step)][0] for i in range(1, chunks)] if rows else []
     return list(dict.fromkeys(cuts))

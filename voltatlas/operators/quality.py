@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,20 @@ def split_bad_rings(df: DataFrame, polygons: str) -> tuple[DataFrame, DataFrame]
     return split_bad(df, ring_problem(polygons))
 
 
+def file_profile(spark: SparkSession, path: str) -> DataFrame:
+    """One row: rows, files and bytes of a written table."""
+    per_file = (
+        spark.read.parquet(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+        .groupBy("file")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    )
+    return per_file.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+    )
+
+
 def output_profile(df: DataFrame) -> DataFrame:
     """One row per column: position, type, total rows, non-null rows; one scan in all."""
     counts = df.agg(

@@ -28,7 +28,8 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
 
     ``order`` must end in a unique column.  Small ``n`` is cut on the map side;
     for a large ``n`` a salted first round does the same, so a hot group is
-    never sorted whole in one task.
+    never sorted whole in one task.  Beyond some 100,000 rows per group number
+    the rows with ``number_rows`` and filter.
     """
     if n > GROUP_LIMIT_ROWS:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))

@@ -41,7 +41,7 @@ hits as (
   from orders, (select unnest([0, 1, 2, 3]) as i) where i < o_custkey % 4
 ),
 ranked as (
-  select *, row_number() over (partition by o_orderkey order by coalesce(dist, 1e18), i) as rank_by_dist from hits
+  select *, cast(row_number() over (partition by o_orderkey order by coalesce(dist, 1e18), i) as int) as rank_by_dist from hits
 )"""
 
 
@@ -77,10 +77,10 @@ named_struct('connectors', array(
 _AVAIL_SQL = """
 avail as (
   select 'A' || c_custkey as id, 'CCS' as connector_type, cast(p * 25 as double) as power_kw, c_nationkey as total,
-         p as available, c_custkey % 5 as occupied, 0 as reserved, 0 as unknown, 1 as out_of_service
+         p as available, cast(c_custkey % 5 as int) as occupied, 0 as reserved, 0 as unknown, 1 as out_of_service
   from customer, (select unnest([1, 2, 3]) as p) where p <= 1 + c_custkey % 3
   union all
-  select 'A' || c_custkey, 'Type2', null, null, 2, c_custkey % 7, 1, 0, 0 from customer
+  select 'A' || c_custkey, 'Type2', null, null, 2, cast(c_custkey % 7 as int), 1, 0, 0 from customer
   union all
   select 'A' || c_custkey, 'Schuko', null, 1, null, null, null, null, null from customer
 )"""
@@ -189,7 +189,7 @@ with {_HITS_SQL}, looked as (
   where o_orderkey % 11 <> 0 group by o_orderkey
 )
 select cast(o.o_orderkey as varchar) as h3_r7, case when o.o_orderkey % 11 = 0 then 403 else 200 end as http_status,
-       coalesce(looked_up, 0) as looked_up, coalesce(answered, 0) as answered,
+       cast(coalesce(looked_up, 0) as int) as looked_up, cast(coalesce(answered, 0) as int) as answered,
        sha256('run-1|S' || o.o_orderkey || '|R' || (o.o_custkey % 7) || '|' || o.o_orderkey || '|2024-06-01T12:00:00Z') as event_id
 from orders o left join looked l on o.o_orderkey = l.o_orderkey
 """

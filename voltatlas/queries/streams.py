@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltatlas.functions.timestamps import iso_seconds, ntz
-from voltatlas.queries.registry import RUN_TS, query, spread_table
+from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.session import scratch_dir
-from voltatlas.sources.tables import read_envelopes
+from voltatlas.sources.tables import batch_events, read_envelopes
 from voltatlas.specs import TRAFFIC_ENVELOPE
 from voltatlas.streaming.envelopes import append_once, dedupe_within, traffic_rows
 
@@ -34,7 +34,7 @@ def _write_envelopes(spark, sf, folder):
 _FACT_SQL = f"""
 select 'run-1' as run_id, 'u' || user_id as request_point_key, date_trunc('second', ts) as snapshot_ts,
        case when event_type not in ('view', 'error') then cast(json_extract_string(props, '$.k') as bigint) end as current_speed,
-       case when event_type not in ('view', 'error') then 50 end as free_flow_speed,
+       case when event_type not in ('view', 'error') then cast(50 as bigint) end as free_flow_speed,
        case when event_type not in ('view', 'error') then false end as road_closure,
        case event_type when 'view' then 403 else 200 end as http_status, timestamp '{RUN_TS}' as load_ts
 from events
@@ -72,3 +72,19 @@ def stream_dedupe_window(spark, sf):
         .awaitTermination()
     )
     return spark.read.parquet(out).select("event_id", "request_point_key")
+
+
+@query(
+    """
+select side || event_id as event_id, case side when 'a' then 200 else 403 end as http_status
+from events, (select unnest(['a', 'b']) as side) where event_type not in ('error', 'view')
+"""
+)
+def batch_event_lists(spark, sf):
+    """Results of two events each; those of two event types are malformed or empty."""
+    result = """
+        case event_type when 'error' then '[1]' when 'view' then '{"api_calls":1,"events":[]}' else
+          '{"events":[{"event_id":"a' || event_id || '","http_status":200},{"event_id":"b' || event_id
+             || '","http_status":403}]}' end"""
+    results = table(spark, sf, "events").select(F.expr(result).alias("value"))
+    return batch_events(results, TRAFFIC_ENVELOPE).select("event_id", "http_status")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from voltatlas.functions.timestamps import ntz
 from voltatlas.operators.align import align, lower_columns
+from voltatlas.operators.quality import file_profile
 from voltatlas.queries.registry import RUN_TS, query, table
 from voltatlas.session import scratch_dir
 from voltatlas.sinks.files import append_table, event_values, read_evolving, write_batches, write_event_files, write_partitions
@@ -89,6 +90,15 @@ def batch_file_scan(spark, sf):
     return read_batch_files(spark, [f"{folder}/run_id=run-1/batch_id=*"], schema, multi_line=False)
 
 
+@query("select count(*) as rows, true as has_bytes from orders")
+def written_profile(spark, sf):
+    """Rows and bytes of a table written by status."""
+    folder = scratch_dir(spark, "profile")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("status"))
+    write_partitions(orders, folder, ["status"])
+    return file_profile(spark, folder).select("rows", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 @query(
     """
 select cast(event_id as varchar) as event_id, event_type, cast(value as varchar) as value,

@@ -93,7 +93,7 @@ select 'run-1' as run_id, request_point_key, cast(c_custkey % 90 as double) as r
        case c_custkey % 3 when 0 then true when 1 then false end as near_ev_station,
        case when ok then 'FRC' || (k % 6) end as frc, case when ok then k % 60 end as current_speed,
        case when ok then 50 + k % 7 end as free_flow_speed, case when ok then k % 90 end as current_travel_time,
-       case when ok and k % 9 <> 0 then 40 end as free_flow_travel_time, case when ok then 0.5::double end as confidence,
+       case when ok and k % 9 <> 0 then cast(40 as bigint) end as free_flow_travel_time, case when ok then 0.5::double end as confidence,
        case when ok then k % 8 = 0 end as road_closure,
        case when ok then 'LINESTRING(' || cast(k % 180 as double) || ' 50.0, ' || cast(k % 170 as double) || ' 51.5)' end
          as segment_linestring_wkt_4326,

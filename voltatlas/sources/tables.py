@@ -133,3 +133,12 @@ def parse_envelopes(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 def unreadable_messages(df: DataFrame) -> DataFrame:
     """The messages that ``parse_envelopes`` leaves out, for a quarantine table."""
     return df.where(F.get_json_object("value", "$.event_id").isNull())
+
+
+def batch_events(results: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Events of many batch results (text in ``value``) as one table.
+
+    A result that is not an object, or has no event list, adds nothing.
+    """
+    lists = results.select(F.from_json("value", "events array<string>")["events"].alias("events"))
+    return parse_envelopes(lists.select(F.explode("events").alias("value")), schema)

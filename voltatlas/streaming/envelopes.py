@@ -34,8 +34,10 @@ def dedupe_within(stream: DataFrame, keys: list[str], ts: str = "event_ts", dela
 
     Rows older than the watermark are late and do not come through, so use
     this for live feeds.  ``append_once`` keeps every row, however late.
+    An event whose time cannot be read counts as arriving now.
     """
-    stamped = stream if ts in stream.columns else stream.withColumn(ts, coerce_ts("snapshot_ts").cast("timestamp"))
+    arrived = F.coalesce(coerce_ts("snapshot_ts").cast("timestamp"), F.current_timestamp())
+    stamped = stream if ts in stream.columns else stream.withColumn(ts, arrived)
     return stamped.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
@@ -116,9 +118,11 @@ def write_stations(
     def insert(batch: DataFrame, batch_no: int) -> None:
         now = run_ts()
         batch = batch.dropDuplicates(["event_id"]).persist()
-        for name, df in station_tables(batch, now).items():
-            df.write.mode("overwrite").parquet(f"{path}/{name}/micro_batch={batch_no}")
-        batch.unpersist()
+        try:
+            for name, df in station_tables(batch, now).items():
+                df.write.mode("overwrite").parquet(f"{path}/{name}/micro_batch={batch_no}")
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(insert)
