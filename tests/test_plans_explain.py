@@ -66,3 +66,9 @@ def test_radius_join_is_an_equi_join(spark):
     s = spark.range(10).selectExpr("id as s", "50 + id / 99 as station_lat", "19 + id / 49 as station_lon")
     text = plan(RadiusJoin("c", "s").run(c, s))
     assert "HashJoin" in text or "SortMergeJoin" in text
+
+
+def test_texts_are_parsed_once_per_row(spark):
+    """A filter on a parsed value must not bring a second copy of the parsing."""
+    assert plan(QUERIES["candidate_road_scan"](spark, SF)).count("regexp_extract(") == 1
+    assert plan(QUERIES["sent_vs_landed"](spark, SF)).count("try_variant_get") == 2

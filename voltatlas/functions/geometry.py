@@ -48,26 +48,36 @@ def geojson_wkt(geometry: Column | str) -> Column:
     Only the brackets change, so this is one regular expression and no number
     is parsed or printed.  A third coordinate is dropped.
     """
-    parts = geojson_parts(geometry)
-    kind = parts["type"]
-    bare = F.regexp_replace(parts["coordinates"], r"\s+", "")
-    pairs = F.regexp_replace(bare, rf"\[({_NUMBER}),({_NUMBER})(?:,[^\[\]]*)?\]", "$1 $2")
-    body = F.replace(F.translate(pairs, "[]", "()"), F.lit(","), F.lit(", "))
-    body = F.when(kind == "Point", F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
     names = F.create_map(*[F.lit(t) for kv in WKT_NAMES.items() for t in kv])
-    name = F.try_element_at(names, kind)
-    empty = ~bare.rlike("[0-9]")
-    return F.when(empty, F.concat(name, F.lit(" EMPTY"))).otherwise(F.concat(name, body))
+
+    def bare(parts: Column) -> Column:
+        return F.struct(
+            parts["type"].alias("kind"), F.try_element_at(names, parts["type"]).alias("name"),
+            F.regexp_replace(parts["coordinates"], r"\s+", "").alias("numbers"),
+        )
+
+    def spell(g: Column) -> Column:
+        pairs = F.regexp_replace(g["numbers"], rf"\[({_NUMBER}),({_NUMBER})(?:,[^\[\]]*)?\]", "$1 $2")
+        body = F.replace(F.translate(pairs, "[]", "()"), F.lit(","), F.lit(", "))
+        return (
+            F.when(~g["numbers"].rlike("[0-9]"), F.concat(g["name"], F.lit(" EMPTY")))
+            .when(g["kind"] == "Point", F.concat(g["name"], F.lit("("), body, F.lit(")")))
+            .otherwise(F.concat(g["name"], body))
+        )
+
+    return let(let(geojson_parts(geometry), bare), spell)
 
 
 def geojson_polygons(geometry: Column | str) -> Column:
     """Polygon or MultiPolygon text to an array of polygons, NULL for other types."""
-    parts = geojson_parts(geometry)
-    one = F.array(F.from_json(parts["coordinates"], "array<array<array<double>>>"))
-    many = F.from_json(parts["coordinates"], "array<array<array<array<double>>>>")
-    raw = F.when(parts["type"] == "Polygon", one).when(parts["type"] == "MultiPolygon", many)
+
+    def parse(parts: Column) -> Column:
+        one = F.array(F.from_json(parts["coordinates"], "array<array<array<double>>>"))
+        many = F.from_json(parts["coordinates"], "array<array<array<array<double>>>>")
+        return F.when(parts["type"] == "Polygon", one).when(parts["type"] == "MultiPolygon", many)
+
     return F.transform(
-        raw,
+        let(geojson_parts(geometry), parse),
         lambda poly: F.transform(
             poly,
             lambda ring: F.transform(
@@ -131,9 +141,8 @@ def linestring_wkt(coordinates: Column | str) -> Column:
     )
     good = F.filter(numbers, lambda p: in_range(p["lon"], p["lat"]))
     texts = F.transform(good, lambda p: F.concat(double_text(p["lon"]), F.lit(" "), double_text(p["lat"])))
-    return F.when(
-        F.size(texts) >= 2, F.concat(F.lit("LINESTRING("), F.array_join(texts, ", "), F.lit(")"))
-    )
+    whole = lambda t: F.concat(F.lit("LINESTRING("), F.array_join(t, ", "), F.lit(")"))
+    return let(texts, lambda t: F.when(F.size(t) >= 2, whole(t)))
 
 
 def first_vertex(wkt: Column | str) -> Column:

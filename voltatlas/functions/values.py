@@ -26,6 +26,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add an expensive column that is worked out once per row.
+
+    A plain column is copied into every filter that is pushed below it, so a
+    parsed document would be parsed again for each condition on its fields.
+    Filters on a generated column stay above it.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def to_double(text: Column | str) -> Column:
     """Decimal text to double; anything else (also '1d' or '0x1') to NULL."""
     s = F.trim(as_column(text).cast("string"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltatlas.functions.responses import outcome
+from voltatlas.functions.values import once
 from voltatlas.operators.quality import QualityError
 
 
@@ -37,7 +38,7 @@ def landed_ids(landing: DataFrame) -> DataFrame:
     ids = F.coalesce(
         F.try_variant_get(content, "$.event_id", "string"), F.try_variant_get(content, "$.EVENT_ID", "string")
     )
-    return landing.select(ids.alias("event_id")).distinct()
+    return once(landing.select("record_content"), "event_id", ids).select("event_id").distinct()
 
 
 def missing_events(sent: DataFrame, landed: DataFrame, key: str = "event_id") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from voltatlas.functions.geometry import POLYGON_TYPES, first_vertex, ring_problem
 from voltatlas.functions.points import point_lon_lat
+from voltatlas.functions.values import let, once
 
 
 class QualityError(RuntimeError):
@@ -51,14 +52,14 @@ def require_degrees(df: DataFrame, column: str = "geom_wkt") -> DataFrame:
 
 def split_bad(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with ``reason``); ``reason`` is NULL for a good row."""
-    marked = df.withColumn("reason", reason)
+    marked = once(df, "reason", reason)
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
 
 
 def split_bad_points(df: DataFrame, column: str, mode: str = "lenient") -> tuple[DataFrame, DataFrame]:
     """Rows with a readable point, and the rest with the reason."""
-    p = point_lon_lat(column, mode)
-    reason = F.when(F.col(column).isNull(), "missing").when(p["lon"].isNull() | p["lat"].isNull(), "malformed")
+    bad = let(point_lon_lat(column, mode), lambda p: p["lon"].isNull() | p["lat"].isNull())
+    reason = F.when(F.col(column).isNull(), "missing").when(bad, "malformed")
     return split_bad(df, reason)
 
 

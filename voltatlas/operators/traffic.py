@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from voltatlas.functions.geometry import linestring_wkt
 from voltatlas.functions.responses import ERROR_LIMITS, error_text
 from voltatlas.functions.timestamps import clamp_ts, coerce_ts_column, iso_seconds
-from voltatlas.functions.values import request_point_key, stable_event_id, to_bool, to_bool_column, to_int
+from voltatlas.functions.values import once, request_point_key, stable_event_id, to_bool, to_bool_column, to_int
 from voltatlas.operators.align import align
 from voltatlas.operators.lookups import left_lookup
 from voltatlas.specs import (
@@ -50,7 +50,7 @@ def road_requests(roads: DataFrame) -> DataFrame:
 
 def flow_columns(df: DataFrame, raw_json: str = "raw_json") -> DataFrame:
     """Add the flow-segment columns; the answer is parsed once."""
-    parsed = df.withColumn("_f", F.from_json(raw_json, FLOW)["flowSegmentData"])
+    parsed = once(df, "_f", F.from_json(raw_json, FLOW)["flowSegmentData"])
     coords = F.col("_f.coordinates.coordinate")
     flat = parsed.withColumns(
         {

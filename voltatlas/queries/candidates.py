@@ -17,7 +17,7 @@ from voltatlas.operators.ranking import (
 from voltatlas.operators.spatial import RadiusJoin
 from voltatlas.operators.stations import current_stations
 from voltatlas.operators.totals import batch_totals as totals_of
-from voltatlas.queries.registry import query, table
+from voltatlas.queries.registry import query, spread_table, table
 from voltatlas.sources.tables import candidate_roads
 
 _CELL_WKT = """
@@ -238,7 +238,7 @@ from d
 """
 )
 def rank_by_distance(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
+    lines = spread_table(spark, sf, "lineitem", *_LINE.split(", "), "l_quantity", "l_returnflag").select(
         *_LINE.split(", "), F.expr("case when l_returnflag = 'R' then null else l_quantity end").alias("dist")
     )
     ties = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]

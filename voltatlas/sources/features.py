@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltatlas.functions.values import once
 from voltatlas.specs import LAYERS, LayerSpec
 
 RECORD_SEPARATOR = "\x1e"
@@ -35,9 +36,8 @@ def read_geojson_seq(
     reader = spark.read.option("lineSep", sep) if sep != "\n" else spark.read
     record = F.trim(F.regexp_replace("value", r"^[\s\x1e]+|\s+$", ""))
     rows = reader.text(path).select(record.alias("record")).where("record <> ''")
-    parsed = rows.withColumn(
-        "f", F.from_json("record", f"{FEATURE}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    )
+    feature = F.from_json("record", f"{FEATURE}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    parsed = once(rows, "f", feature)
     # Says for itself that a blank is not bad: filters may be reordered around it.
     bad = (F.col("record") != "") & F.col("f._bad").isNotNull()
     if mode == "quarantine":
@@ -64,7 +64,7 @@ def read_feature_collection(spark: SparkSession, path: str | list[str]) -> DataF
     )
     rows = docs.select("file_name", F.explode("features").alias("record"))
     return (
-        rows.withColumn("f", F.from_json("record", FEATURE))
+        once(rows, "f", F.from_json("record", FEATURE))
         .select("file_name", level_of("file_name").alias("level"), "f.properties", "f.geometry")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltatlas.functions.points import in_range, looks_like_point, point_lon_lat
+from voltatlas.functions.values import once
 from voltatlas.specs import CANDIDATE_ROAD, RESPONSE, struct
 
 
@@ -23,10 +24,10 @@ def candidate_roads(df: DataFrame, wkt_mode: str = "sql") -> DataFrame:
     ``wkt_mode`` picks the prefix test and the parser together.
     """
     names = [n for n in struct(CANDIDATE_ROAD).names if n != "degurba"]
-    kept = df.where(looks_like_point("road_centroid_wkt_4326", wkt_mode)).select(
-        *names, F.col("degurba").try_cast("int").alias("degurba"),
-        point_lon_lat("road_centroid_wkt_4326", wkt_mode).alias("p"),
+    roads = df.where(looks_like_point("road_centroid_wkt_4326", wkt_mode)).select(
+        *names, F.col("degurba").try_cast("int").alias("degurba")
     )
+    kept = once(roads, "p", point_lon_lat("road_centroid_wkt_4326", wkt_mode))
     return (
         kept.where(in_range("p.lon", "p.lat"))
         .withColumns({"request_point_lat": F.col("p.lat"), "request_point_lon": F.col("p.lon")})
@@ -127,7 +128,8 @@ def parse_envelopes(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 
     Messages without an event id are not envelopes; ``unreadable_messages`` has them.
     """
-    return df.select(F.from_json("value", schema).alias("e")).where("e.event_id IS NOT NULL").select("e.*")
+    parsed = once(df.select("value"), "e", F.from_json("value", schema))
+    return parsed.where("e.event_id IS NOT NULL").select("e.*")
 
 
 def unreadable_messages(df: DataFrame) -> DataFrame:
