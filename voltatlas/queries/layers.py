@@ -201,10 +201,6 @@ def geojson_sequence_scan(spark, sf):
     return layer.withColumn("feature_key", F.col("osm_id").cast("long")).drop("osm_id")
 
 
-_FEATURE = """
-case p_size % 4 when 0 then 'relation' when 1 then 'way' else null end"""
-
-
 @query(
     """
 with f as (

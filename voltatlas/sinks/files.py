@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,7 +126,3 @@ def write_event_topic(values: DataFrame, servers: str, topic: str) -> None:
         .option("includeHeaders", "true")
         .save()
     )
-
-
-def file_count(rows: int) -> int:
-    return max(1, math.ceil(rows / ROWS_PER_FILE))
