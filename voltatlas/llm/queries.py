@@ -7,11 +7,12 @@ from voltatlas.llm.packing import op8_variable_best_fit
 from voltatlas.llm.quality import op1_ngram_quality
 from voltatlas.llm.repetition import op7_suffix_repetition
 from voltatlas.llm.sharding import op6_virtual_slots
+from voltatlas.llm.substrings import op10_prefix_free_dedup
 from voltatlas.llm.toxicity import op3_counterfactual_toxicity
 
 _ALL = (
     op1_ngram_quality, op3_counterfactual_toxicity, op5_hash_threshold_mix, op6_virtual_slots, op7_suffix_repetition,
-    op8_variable_best_fit,
+    op8_variable_best_fit, op10_prefix_free_dedup,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {"op5_hash_threshold_mix": OP5_SQL}
