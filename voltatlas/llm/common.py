@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,6 +32,12 @@ def written(df: DataFrame, purpose: str, partition: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished phases go now: Spark drops them once nothing refers to their plan."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """Only these columns, so that no other column of the table can clash with ours."""
     return df.select(*[F.col(f"`{n}`") for n in names])

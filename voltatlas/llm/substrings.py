@@ -15,6 +15,7 @@ recognised, not put in the alphabet's order.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltatlas.llm import arrays as A
-from voltatlas.llm.common import columns, map_texts, ready, written
+from voltatlas.llm.common import columns, map_texts, ready, release, written
 
 LENGTH = 400
 # Bytes of the rolling hash.
@@ -75,6 +76,11 @@ def _heads(length: int):
     return run
 
 
+def _back_type(length: int):
+    """Unsigned integer that holds the bytes from a string's start to its trigger."""
+    return np.uint8 if reach(length) <= 256 else np.uint32
+
+
 def _strings(length: int):
     """The strings led by the triggers at ``heads``: their hashes, in one row a trigger and split."""
 
@@ -105,7 +111,7 @@ def _strings(length: int):
         bound = np.append(first, len(which)).astype(np.int32)
         trigger = pos[which[first]]
         own = A.owner(begin, trigger)
-        back = (pos[which] - start).astype(np.uint32)
+        back = (pos[which] - start).astype(_back_type(length))
         blob = lambda data: pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bound * data.itemsize), pa.py_buffer(data.tobytes())])
         yield pa.RecordBatch.from_arrays(
             [rest.column("id").take(pa.array(own)), rest.column("h").take(pa.array(own)), pa.array(head[which[first]]), pa.array(sub[first]),
@@ -116,14 +122,14 @@ def _strings(length: int):
     return run
 
 
-def _repeated(batches):
+def _repeated(length: int, batches):
     """Runs of starts whose string occurs twice; rows come sorted by (head, sub)."""
     held, size, last = [], 0, None
 
     def settle(rows: pa.Table):
         rows = rows.combine_chunks()
         joined = lambda c, t: np.frombuffer(b"".join(rows.column(c).to_pylist()), t)
-        h, back = joined("strings", np.uint64), joined("back", np.uint32).astype(np.int64)
+        h, back = joined("strings", np.uint64), joined("back", _back_type(length)).astype(np.int64)
         count = np.fromiter((len(x) // 8 for x in rows.column("strings").to_pylist()), np.int64, rows.num_rows)
         row = np.repeat(np.arange(rows.num_rows), count)
         hit = np.flatnonzero(A.repeats(A.mix(h ^ A.mix(rows.column("head").to_numpy().view(np.uint64))[row])))
@@ -212,7 +218,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
         long.drop("doc_id").join(asked, key), _strings(length), "id long, h long, head long, sub int, pos int, back binary, strings binary"
     )
     ordered = strings.repartition("head", "sub").sortWithinPartitions("head", "sub")
-    runs = ordered.mapInArrow(_repeated, "id long, h long, a int, b int")
+    runs = ordered.mapInArrow(partial(_repeated, length), "id long, h long, a int, b int")
     found = runs.groupBy(*key).agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     copied = twins.select(*key, F.lit(True).alias("copied"))
     return written(found.join(copied, key, "full"), "substring-runs"), docs
@@ -226,6 +232,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts of any length are taken whole; an empty table gives no rows.
     """
     runs, docs = repeated_runs(docs, length)
+    release(docs.sparkSession)
     whole = docs.join(runs.hint("shuffle_hash"), ["id", "h"], "left").select("doc_id", F.coalesce("copied", F.lit(False)).alias("copied"), "runs", "text")
     return map_texts(whole, _cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
