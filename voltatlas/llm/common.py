@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,9 +34,14 @@ def written(df: DataFrame, purpose: str, partition: str | None = None) -> DataFr
 
 
 def release(spark: SparkSession) -> None:
-    """Let the shuffle files of finished phases go now: Spark drops them once nothing refers to their plan."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the shuffle files of finished phases go now: Spark drops them once nothing refers to their plan.
+
+    The first round frees the plans, which Spark's cleaner then notices in the next.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def columns(df: DataFrame, *names: str) -> DataFrame:
