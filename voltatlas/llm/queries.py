@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from voltatlas.llm.hilbert import op2_hilbert_neighbours
 from voltatlas.llm.jaccard import op9_multi_order_jaccard
 from voltatlas.llm.lines import op4_simhash_lines
 from voltatlas.llm.mixing import OP5_SQL, op5_hash_threshold_mix
@@ -13,7 +14,7 @@ from voltatlas.llm.substrings import op10_prefix_free_dedup
 from voltatlas.llm.toxicity import op3_counterfactual_toxicity
 
 _ALL = (
-    op1_ngram_quality, op3_counterfactual_toxicity, op4_simhash_lines, op5_hash_threshold_mix, op6_virtual_slots, op7_suffix_repetition,
+    op1_ngram_quality, op2_hilbert_neighbours, op3_counterfactual_toxicity, op4_simhash_lines, op5_hash_threshold_mix, op6_virtual_slots, op7_suffix_repetition,
     op8_variable_best_fit, op9_multi_order_jaccard, op10_prefix_free_dedup,
 )
 QUERIES = {f.__name__: f for f in _ALL}
