@@ -81,6 +81,37 @@ def _back_type(length: int):
     return np.uint8 if reach(length) <= 256 else np.uint32
 
 
+RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+NAMES = ["id", "h", "head", "sub", "pos", "back", "strings", "runs"]
+STRINGS = "id long, h long, head long, sub int, pos int, back binary, strings binary, runs array<struct<a:int,b:int>>"
+
+
+def _as_lists(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Rows that have starts, and the runs of their starts; rows and starts come in any order."""
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] > at[:-1] + 1)
+    first = np.flatnonzero(new)
+    end = np.append(first[1:], len(row))[: len(first)] - 1
+    owner = row[first]
+    head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else owner
+    runs = pa.StructArray.from_arrays([pa.array(at[first].astype(np.int32)), pa.array((at[end] + 1).astype(np.int32))], names=["a", "b"])
+    return owner[head], pa.ListArray.from_arrays(pa.array(np.append(head, len(first)).astype(np.int32)), runs)
+
+
+def _known(rest, begin, start) -> pa.RecordBatch:
+    """Runs already sure, one row a text, to be passed through."""
+    own = A.owner(begin, start)
+    texts, runs = _as_lists(own, start - begin[own])
+    at, n = pa.array(texts), len(texts)
+    return pa.RecordBatch.from_arrays(
+        [rest.column("id").take(at), rest.column("h").take(at), rest.column("h").take(at), pa.array(np.full(n, -1, np.int32)), pa.array(np.zeros(n, np.int32)),
+         pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), runs],
+        names=NAMES,
+    )
+
+
 def _strings(length: int):
     """The strings led by the triggers at ``heads``: their hashes, in one row a trigger and split."""
 
@@ -100,6 +131,15 @@ def _strings(length: int):
         hit = np.flatnonzero(pos[which] == lead)
         start, which = start[hit], which[hit]
         h = spans.of(start, start + length)
+        # Strings that occur twice right here: settled, and sent on once for the others.
+        sort = np.argsort(h, kind="stable")
+        same = np.zeros(len(h), bool)
+        same[1:] = h[sort][1:] == h[sort][:-1]
+        twice = np.zeros(len(h), bool)
+        twice[sort] = same | np.append(same[1:], False)
+        yield _known(rest, begin, start[twice])
+        once = np.sort(sort[~same])
+        start, which, h = start[once], which[once], h[once]
         sub = ((h >> A.U(40)).astype(np.int64) % parts[which]).astype(np.int32)
         order = np.lexsort((sub, which))
         start, which, h, sub = start[order], which[order], h[order], sub[order]
@@ -115,8 +155,8 @@ def _strings(length: int):
         blob = lambda data: pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bound * data.itemsize), pa.py_buffer(data.tobytes())])
         yield pa.RecordBatch.from_arrays(
             [rest.column("id").take(pa.array(own)), rest.column("h").take(pa.array(own)), pa.array(head[which[first]]), pa.array(sub[first]),
-             pa.array((trigger - begin[own]).astype(np.int32)), blob(back), blob(h)],
-            names=["id", "h", "head", "sub", "pos", "back", "strings"],
+             pa.array((trigger - begin[own]).astype(np.int32)), blob(back), blob(h), pa.nulls(len(first), RUNS)],
+            names=NAMES,
         )
 
     return run
@@ -134,19 +174,20 @@ def _repeated(length: int, batches):
         row = np.repeat(np.arange(rows.num_rows), count)
         hit = np.flatnonzero(A.repeats(A.mix(h ^ A.mix(rows.column("head").to_numpy().view(np.uint64))[row])))
         row, at = row[hit], rows.column("pos").to_numpy()[row[hit]] - back[hit]
-        order = np.lexsort((at, row))
-        row, at = row[order], at[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-        first = np.flatnonzero(new)
-        end = np.append(first[1:], len(row)) - 1
-        own = pa.array(row[first])
+        # One row a text and sort, not one a trigger.
+        ids = np.stack([rows.column("id").to_numpy(), rows.column("h").to_numpy()])
+        _, one, text = np.unique(ids, axis=1, return_index=True, return_inverse=True)
+        texts, runs = _as_lists(text.ravel()[row], at)
+        own = pa.array(one[texts])
         return pa.RecordBatch.from_arrays(
-            [rows.column("id").combine_chunks().take(own), rows.column("h").combine_chunks().take(own), pa.array(at[first].astype(np.int32)), pa.array((at[end] + 1).astype(np.int32))],
-            names=["id", "h", "a", "b"],
+            [rows.column("id").combine_chunks().take(own), rows.column("h").combine_chunks().take(own), runs], names=["id", "h", "runs"]
         )
 
     for batch in batches:
+        sure = batch.column("sub").to_numpy() < 0
+        if sure.any():
+            yield batch.filter(pa.array(sure)).select(["id", "h", "runs"])
+            batch = batch.filter(pa.array(~sure))
         if not batch.num_rows:
             continue
         key = np.stack([batch.column("head").to_numpy(), batch.column("sub").to_numpy().astype(np.int64)])
@@ -215,11 +256,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
     asked = open_heads.join(silent, key, "left_anti").hint("shuffle_hash")
     # Their strings in corpus order.
     strings = map_texts(
-        long.drop("doc_id").join(asked, key), _strings(length), "id long, h long, head long, sub int, pos int, back binary, strings binary"
+        long.drop("doc_id").join(asked, key), _strings(length), STRINGS
     )
     ordered = strings.repartition("head", "sub").sortWithinPartitions("head", "sub")
-    runs = ordered.mapInArrow(partial(_repeated, length), "id long, h long, a int, b int")
-    found = runs.groupBy(*key).agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    runs = ordered.mapInArrow(partial(_repeated, length), "id long, h long, runs array<struct<a:int,b:int>>")
+    found = runs.groupBy(*key).agg(F.flatten(F.collect_list("runs")).alias("runs"))
     copied = twins.select(*key, F.lit(True).alias("copied"))
     return written(found.join(copied, key, "full"), "substring-runs"), docs
 
