@@ -43,6 +43,27 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
+    """Tables of one or more whole groups, of ``rows`` rows or one group more, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if size >= rows:
+            both = pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), batch]).combine_chunks()
+            key = np.stack([both.column(k).to_numpy().astype(np.int64) for k in keys])
+            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
+            if len(cut):
+                held.append(batch.slice(0, int(cut[0])))
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size, batch = [], 0, batch.slice(int(cut[0]))
+        held.append(batch)
+        size += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def forest(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
     """Links that connect what ``near`` connects; ``near(i, others)`` tells which of the others node i is near.
 
