@@ -56,6 +56,17 @@ def stream_dedupe_fact(spark, sf):
     return spark.read.parquet(out).select(*_COLUMNS)
 
 
+@query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
+def stream_two_feeds(spark, sf):
+    """Two feeds with checkpoints of their own, one file a micro-batch, into one table; every event once."""
+    folder, out = scratch_dir(spark, "envelopes"), scratch_dir(spark, "both")
+    _write_envelopes(spark, sf, folder)
+    for _ in range(2):
+        stream = read_envelopes(spark, folder, TRAFFIC_ENVELOPE)
+        append_once(stream, out, scratch_dir(spark, "progress"), ["event_id"]).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "request_point_key")
+
+
 @query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
 def stream_dedupe_window(spark, sf):
     """The same files through the watermark form, for feeds whose repeats come close together."""

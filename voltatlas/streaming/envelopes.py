@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,9 +27,6 @@ from voltatlas.specs import DIM_STATIONS, FACT_AVAILABILITY, MAP_STATIONS
 # Dates of one micro-batch named in a filter; beyond it the whole table is asked.
 MAX_DAYS = 10_000
 
-BUSINESS_KEY = ["run_id", "request_point_key", "snapshot_ts"]
-
-
 def dedupe_within(stream: DataFrame, keys: list[str], ts: str = "event_ts", delay: str = "10 minutes") -> DataFrame:
     """Drop repeats that arrive within ``delay`` of each other; state stays small.
 
@@ -59,8 +57,10 @@ def append_once(
 
     Rows go to ``table`` under the date in ``ts`` as it arrived.  A micro-batch
     is cut to one row per key and then to the keys that the table's partitions
-    of the same dates lack, so only those partitions are read.  A micro-batch
-    run again after a failure overwrites its own folder and nothing else.
+    of the same dates lack, so only those partitions are read.  If ``ts`` is not
+    one of ``keys``, a key may come again with another date, and all dates are
+    asked.  A micro-batch run again after a failure overwrites its own folder and
+    nothing else: folders bear the id of the feed's checkpoint.
     ``transform`` must keep ``keys`` and the ``partition`` column.
     """
 
@@ -72,12 +72,13 @@ def append_once(
         if not days:
             return
         fresh = dated.dropDuplicates(keys)
-        known = _known_keys(spark, table, batch_no, keys, partition, days)
+        folder = batch_folder(spark, checkpoint, batch_no)
+        known = _known_keys(spark, table, folder, keys, partition, days if ts in keys else None)
         if known is not None:
             fresh = fresh.join(known, keys, "left_anti")
         rows = require_columns(transform(fresh) if transform else fresh, [*keys, partition])
         (
-            rows.withColumn("micro_batch", F.lit(batch_no))
+            rows.withColumn("micro_batch", F.lit(folder))
             .hint("rebalance", partition)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -94,16 +95,29 @@ def append_once(
     )
 
 
-def _known_keys(spark, table: str, batch_no: int, keys: list[str], partition: str, days: list[str]):
-    """Keys already in the table for these dates, other than from this very micro-batch."""
-    from pyspark.errors import AnalysisException
+def batch_folder(spark: SparkSession, checkpoint: str, batch_no: int) -> str:
+    """Name of a micro-batch that no other feed, and no later checkpoint of this one, gives again."""
+    feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    feed = feed or hashlib.md5(checkpoint.encode()).hexdigest()
+    return f"{feed}-{batch_no}"
 
-    try:
-        have = spark.read.parquet(table)
-    except AnalysisException:
+
+def _stored(spark: SparkSession, table: str) -> DataFrame | None:
+    """The table, or None if nothing has been written there; any other fault is raised."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path) or not any(not s.getPath().getName().startswith(("_", ".")) for s in files.listStatus(path)):
         return None
-    same_days = F.col(partition).cast("string").isin(days) if len(days) < MAX_DAYS else F.lit(True)
-    return have.where(same_days & (F.col("micro_batch") != batch_no)).select(*keys).distinct()
+    return spark.read.parquet(table)
+
+
+def _known_keys(spark, table: str, folder: str, keys: list[str], partition: str | None, days: list[str] | None):
+    """Keys already in the table (for these dates), other than from this very micro-batch."""
+    have = _stored(spark, table)
+    if have is None:
+        return None
+    same_days = F.col(partition).cast("string").isin(days) if days and len(days) < MAX_DAYS else F.lit(True)
+    return have.where(same_days & (F.col("micro_batch").cast("string") != folder)).select(*keys).distinct()
 
 
 def write_stations(
@@ -112,15 +126,22 @@ def write_stations(
     """Station envelopes to the DIM, MAP and FACT tables.
 
     The three tables of one micro-batch come from one read of it, and each is
-    a folder of its own per micro-batch, so a repeated one replaces itself.
+    a folder of its own per micro-batch, so a repeated one replaces itself.  An
+    event that an earlier micro-batch has brought, of this feed or another, is
+    left out; which events came is written last, as the table ``events``.
     """
 
     def insert(batch: DataFrame, batch_no: int) -> None:
-        now = run_ts()
-        batch = batch.dropDuplicates(["event_id"]).persist()
+        spark, now = batch.sparkSession, run_ts()
+        folder = batch_folder(spark, checkpoint, batch_no)
+        batch = batch.dropDuplicates(["event_id"])
+        known = _known_keys(spark, f"{path}/events", folder, ["event_id"], None, None)
+        if known is not None:
+            batch = batch.join(known, "event_id", "left_anti")
+        batch = batch.persist()
         try:
-            for name, df in station_tables(batch, now).items():
-                df.write.mode("overwrite").parquet(f"{path}/{name}/micro_batch={batch_no}")
+            for name, df in {**station_tables(batch, now), "events": batch.select("event_id")}.items():
+                df.write.mode("overwrite").parquet(f"{path}/{name}/micro_batch={folder}")
         finally:
             batch.unpersist()
 
