@@ -3,11 +3,13 @@ import json
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
+from voltatlas.functions import geometry as G
 from voltatlas.operators.layers import admin_features, admin_layer, features_layer, geometry_layer, grid_text, text_layer
 from voltatlas.operators.quality import QualityError
 from voltatlas.plans.jobs import load_boundaries, load_census_grid, load_map_layer, load_municipalities
-from voltatlas.sources.features import level_of, read_census_grid, read_geojson_seq, sequence_separator
+from voltatlas.sources.features import level_of, read_census_grid, read_geojson_seq, record_separated
 from voltatlas.specs import LAYERS, MAP_DATASETS
 
 POLY = {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}
@@ -40,7 +42,7 @@ def write_seq(path, features, rs=True):
 @pytest.mark.parametrize("rs", [True, False])
 def test_sequence_scan(spark, tmp_path, rs):
     path = write_seq(tmp_path / "a.geojsonseq", ADMIN, rs)
-    assert sequence_separator(spark, path) == ("\x1e" if rs else "\n")
+    assert len(record_separated(spark, path)) == rs
     rows = read_geojson_seq(spark, path).collect()
     assert len(rows) == len(ADMIN)
     assert rows[0].properties["note"] == 'say "hi"'
@@ -104,6 +106,47 @@ def test_geometry_output(spark, tmp_path):
     assert row.crs == 4326 and bytes(row.geom_wkb)[:5] == b"\x00\x00\x00\x00\x03"
 
 
+def _wkb(code: int, body: bytes) -> bytes:
+    return struct.pack(">bI", 0, code) + body
+
+
+def test_wkb_of_all_types(spark):
+    pairs = lambda *ps: struct.pack(">I", len(ps)) + b"".join(struct.pack(">dd", *p) for p in ps)
+    ring = [[0, 0], [-1.5, 0], [1e-7, 52.1], [0, 0]]
+    polygon = struct.pack(">I", 1) + pairs(*ring)
+    shapes = [
+        ("Point", [21.0123456, -52.5, 7], _wkb(1, struct.pack(">dd", 21.0123456, -52.5))),
+        ("LineString", [[0, 0], [1.1, 2.2]], _wkb(2, pairs((0, 0), (1.1, 2.2)))),
+        ("Polygon", [ring], _wkb(3, polygon)),
+        ("MultiPoint", [[1, 2], [3, 4]], _wkb(4, struct.pack(">I", 2) + b"".join(_wkb(1, struct.pack(">dd", *p)) for p in [(1, 2), (3, 4)]))),
+        ("MultiLineString", [[[0, 0], [1, 1]]], _wkb(5, struct.pack(">I", 1) + _wkb(2, pairs((0, 0), (1, 1))))),
+        ("MultiPolygon", [[ring]], _wkb(6, struct.pack(">I", 1) + _wkb(3, polygon))),
+        ("GeometryCollection", [], None), ("Point", [], None), ("LineString", [[0, None]], None),
+    ]
+    df = spark.createDataFrame([(i, json.dumps({"type": t, "coordinates": c})) for i, (t, c, _) in enumerate(shapes)], "i int, g string")
+    rows = df.select("i", G.geojson_wkb("g").alias("w"), G.geojson_wkb("g", promote=True).alias("m")).orderBy("i").collect()
+    assert [r.w and bytes(r.w) for r in rows] == [w for _, _, w in shapes]
+    assert bytes(rows[2].m) == shapes[5][2] and bytes(rows[0].m) == shapes[0][2]
+
+
+def test_unreadable_geometry_is_an_error(spark):
+    odd = spark.createDataFrame([("1", '{"type":"GeometryCollection","geometries":[]}')], "osm_id string, geometry string")
+    for layer in (text_layer, geometry_layer):
+        with pytest.raises(Exception, match="cannot convert geometry"):
+            layer(odd, "poi_points").collect()
+    none = odd.withColumn("geometry", F.lit(None).cast("string"))
+    assert text_layer(none, "poi_points").first().geom_wkt is None and geometry_layer(none, "poi_points").first().geom_wkb is None
+
+
+def test_boundary_features_are_parsed_by_many_tasks(spark, tmp_path):
+    from voltatlas.sources.features import read_feature_collection
+
+    doc = {"type": "FeatureCollection", "features": [feature(NUTS_ID=f"N{i}") for i in range(200)]}
+    (tmp_path / "a.json").write_text(json.dumps(doc))
+    rows = read_feature_collection(spark, str(tmp_path / "a.json"))
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_features_layer_fills_missing_attributes(spark, tmp_path):
     features = read_geojson_seq(spark, write_seq(tmp_path / "a.seq", [feature(osm_id=1, shop="yes")]))
     row = features_layer(features, "poi_polygons").first()

@@ -24,8 +24,7 @@ def test_every_sql_has_a_query():
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    # Only the fetch hook may start Python workers.
-    assert ("Python" not in plan and "Pandas" not in plan) or name == "fetch_hook"
+    assert "Python" not in plan and "Pandas" not in plan
     if name in SQL:
         assert compare.difference(df, con, SQL[name]) is None
     else:

@@ -211,7 +211,10 @@ def test_landing_checks(spark):
     landed = L.landed_ids(raw.select(F.parse_json("t").alias("record_content")))
     assert tuple(L.reconcile(sent, landed).first()) == (3, 2, 1)
     assert [r.event_id for r in L.missing_events(sent, landed).collect()] == ["e3"]
-    assert L.require_landed(sent, landed) == 2
+    assert L.require_landed(sent.where("event_id <> 'e3'"), landed) == 2
+    with pytest.raises(QualityError, match="e3"):
+        L.require_landed(sent, landed)
+    assert L.probe_landed(sent, landed) == 2
     with pytest.raises(QualityError):
         L.require_landed(sent, landed.where("false"))
 

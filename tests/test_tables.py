@@ -81,6 +81,17 @@ def test_batch_files(spark, tmp_path):
         read_batch_files(spark, paths[1:2], "a int")
 
 
+def test_bad_batch_files_stop_or_stay(spark, tmp_path):
+    for name, text in {"1": '[{"a": 1}]', "2": '[{"a": 2}, {"a"', "3": "no json", "4": '{"b": "only"}', "5": '{"a": 5} {"a": 6}', "6": "\n"}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    with pytest.raises(Exception, match="cannot parse"):
+        read_batch_files(spark, [str(tmp_path)], "a int, b string").collect()
+    rows = read_batch_files(spark, [str(tmp_path)], "a int, b string", mode="quarantine").collect()
+    assert sorted((r.a or 0, r.b or "", (r.bad or "")[:7]) for r in rows) == [
+        (0, "", '[{"a": '), (0, "", "no json"), (0, "", '{"a": 5'), (0, "only", ""), (1, "", "")]
+    assert read_batch_files(spark, [str(tmp_path / "4.json")], "a int").count() == 1
+
+
 CUBE = {
     "id": ["freq", "geo", "time"], "size": [1, 2, 3],
     "dimension": {

@@ -259,8 +259,43 @@ def polygons_wkb(polygons: str) -> Column:
     return F.expr(f"unhex({_sql_let(polygons, 's', whole)})")
 
 
-def point_wkb(lon: str, lat: str) -> Column:
-    return F.expr(f"unhex(concat('0000000001', {_sql_double_hex(lon)}, {_sql_double_hex(lat)}))")
+def _sql_join(items: str) -> str:
+    """The texts of an array one after the other; NULL if one of them is."""
+    return _sql_let(items, "parts", "if(exists(parts, h -> h is null), null, array_join(parts, ''))")
+
+
+def geojson_wkb(geometry: str, promote: bool = False) -> Column:
+    """GeoJSON text of any of the six types to big-endian WKB of that type.
+
+    ``promote`` makes a Polygon a MultiPolygon of one.  NULL for other types, for
+    a missing coordinate and for an empty point; a third coordinate is dropped.
+    """
+    point = f"concat({_sql_double_hex('get(p, 0)')}, {_sql_double_hex('get(p, 1)')})"
+    line = lambda s: f"concat({_sql_u32_hex(f'size({s})')}, {_sql_join(f'transform({s}, p -> {point})')})"
+    rings = lambda s: f"concat({_sql_u32_hex(f'size({s})')}, {_sql_join(f'transform({s}, r -> {line("r")})')})"
+    many = lambda code, one: f"concat('000000000{code}', {_sql_u32_hex('size(s)')}, {_sql_join(f'transform(s, {one})')})"
+    polygons = many(6, f"q -> concat('0000000003', {rings('q')})")
+    # WKB code, nesting of the coordinates, and the text; fixed values of the format.
+    forms = {
+        "Point": ("array<array<double>>", "concat('[', g.coordinates, ']')", f"concat('0000000001', {_sql_join(f'transform(s, p -> {point})')})"),
+        "LineString": ("array<array<double>>", "g.coordinates", f"concat('0000000002', {line('s')})"),
+        "MultiPoint": ("array<array<double>>", "g.coordinates", many(4, f"p -> concat('0000000001', {point})")),
+        "MultiLineString": ("array<array<array<double>>>", "g.coordinates", many(5, f"r -> concat('0000000002', {line('r')})")),
+        "MultiPolygon": ("array<array<array<array<double>>>>", "g.coordinates", polygons),
+        "Polygon": ("array<array<array<double>>>", "g.coordinates", f"concat('0000000003', {rings('s')})"),
+    }
+    if promote:
+        forms["Polygon"] = ("array<array<array<array<double>>>>", "concat('[', g.coordinates, ']')", polygons)
+    cases = " ".join(f"when '{t}' then {_sql_let(f"from_json({source}, '{shape}')", 's', text)}" for t, (shape, source, text) in forms.items())
+    parts = f"from_json({geometry}, 'type string, coordinates string')"
+    return F.expr(f"unhex({_sql_let(parts, 'g', f'case g.type {cases} end')})")
+
+
+def readable(result: Column, source: Column | str) -> Column:
+    """``result``; an error where there was a geometry and none came of it."""
+    source = as_column(source)
+    shown = F.concat(F.lit("cannot convert geometry: "), F.left(source, F.lit(200)))
+    return F.when(source.isNotNull() & result.isNull(), F.raise_error(shown)).otherwise(result)
 
 
 # ----------------------------------------------------------- reprojection

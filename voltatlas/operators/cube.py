@@ -24,7 +24,9 @@ def strides(sizes: list[int]) -> list[int]:
 def decode_flat_index(index: Column | str, sizes: list[int]) -> list[Column]:
     """Position per dimension, the last dimension running fastest."""
     k = as_column(index)
-    return [F.pmod(F.floor(k / F.lit(step)), F.lit(s)) for step, s in zip(strides(sizes), sizes)]
+    k = k.cast("long")
+    whole = lambda step: F.call_function("div", k - F.pmod(k, F.lit(step)), F.lit(step))
+    return [F.pmod(whole(step), F.lit(s)) for step, s in zip(strides(sizes), sizes)]
 
 
 def encode_flat_index(positions: list[Column], sizes: list[int]) -> Column:

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from voltatlas.functions.geometry import (
     POLYGON_TYPES,
     geojson_parts,
-    geojson_polygons,
+    geojson_wkb,
     geojson_wkt,
     laea_polygons_to_lonlat,
-    polygons_wkb,
     polygons_wkt,
+    readable,
     wkb_polygons,
 )
 from voltatlas.functions.tags import tags_encode
+from voltatlas.functions.values import once
 from voltatlas.operators.quality import require_rows
 from voltatlas.sources.features import properties_to_columns
 from voltatlas.specs import DEFAULT_ADMIN_LEVELS, LAYERS, LayerSpec
@@ -40,10 +41,10 @@ def filter_layer(df: DataFrame, spec: LayerSpec, mode: str = "text") -> DataFram
 
 
 def text_layer(df: DataFrame, dataset: str, mode: str = "text") -> DataFrame:
-    """Layer rows with GeoJSON ``geometry`` text: filter, project, geometry to WKT."""
+    """Layer rows with GeoJSON ``geometry`` text: filter, project, geometry to WKT; one of an unknown type is an error."""
     spec = LAYERS[dataset]
-    kept = filter_layer(df, spec, mode)
-    return project_layer(kept.withColumn("geom_wkt", geojson_wkt("geometry")), spec)
+    kept = once(filter_layer(df, spec, mode), "geom_wkt", geojson_wkt("geometry"))
+    return project_layer(kept.withColumn("geom_wkt", readable(F.col("geom_wkt"), "geometry")), spec)
 
 
 def features_layer(features: DataFrame, dataset: str, mode: str = "text") -> DataFrame:
@@ -86,14 +87,25 @@ def admin_layer(features: DataFrame, levels: list[str] | None = None) -> DataFra
     return require_rows(project_layer(rows, LAYERS["admin"]), "admin areas")
 
 
-def geometry_layer(features: DataFrame, dataset: str, crs: int = 4326) -> DataFrame:
-    """The layer with binary geometry and its reference system (polygon layers)."""
+def geometry_layer(features: DataFrame, dataset: str, mode: str = "text", crs: int = 4326) -> DataFrame:
+    """The layer with binary geometry and its reference system, for rows with the layer's attributes.
+
+    Areas of ``admin`` are MultiPolygons throughout.  A row without geometry keeps
+    NULL; a geometry that cannot be converted is an error.
+    """
     spec = LAYERS[dataset]
-    shapes = features.withColumn("_polygons", geojson_polygons("geometry"))
-    rows = shapes.withColumns({"geom_wkb": polygons_wkb("_polygons"), "crs": F.lit(crs)})
+    shapes = once(filter_layer(features, spec, mode), "geom_wkb", geojson_wkb("geometry", promote=dataset == "admin"))
+    rows = shapes.withColumns({"geom_wkb": readable(F.col("geom_wkb"), "geometry"), "crs": F.lit(crs)})
     return project_layer(rows, spec, "geom_wkb", ["crs"])
 
 
+def features_geometry(features: DataFrame, dataset: str, mode: str = "text") -> DataFrame:
+    """The same for feature rows that still carry a property map."""
+    if dataset == "admin":
+        return geometry_layer(admin_features(features), dataset)
+    return geometry_layer(properties_to_columns(features, LAYERS[dataset], ["geometry"]), dataset, mode)
+
+
 def grid_text(grid: DataFrame, digits: int = 8) -> DataFrame:
     """Census grid cells in degrees as text; reprojected first, then printed."""
     metres = grid.withColumn("_cell", wkb_polygons("geom"))

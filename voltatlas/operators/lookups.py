@@ -61,12 +61,16 @@ def reconcile(sent: DataFrame, landed: DataFrame, key: str = "event_id") -> Data
     )
 
 
-def require_landed(sent: DataFrame, landed: DataFrame, key: str = "event_id", probe: int = 10) -> int:
-    """The quick landing check: some of the first ``probe`` ids must have arrived."""
+def require_landed(sent: DataFrame, landed: DataFrame, key: str = "event_id") -> int:
+    """The landing gate over all ids: the number landed; one that is missing is an error."""
+    row = reconcile(sent.where(F.col(key).isNotNull()), landed, key).first()
+    if row.missing:
+        shown = [r[0] for r in missing_events(sent.where(F.col(key).isNotNull()), landed, key).select(key).limit(5).collect()]
+        raise QualityError(f"{row.missing} of {row.sent} events have not landed, such as {shown}")
+    return row.matched
+
+
+def probe_landed(sent: DataFrame, landed: DataFrame, key: str = "event_id", probe: int = 10) -> int:
+    """A quick look, not a gate: how many of the first ``probe`` ids have landed."""
     ids = [r[0] for r in sent.select(key).where(F.col(key).isNotNull()).orderBy(key).limit(probe).collect()]
-    if not ids:
-        return 0
-    matched = landed.where(F.col(key).isin(ids)).count()
-    if matched == 0:
-        raise QualityError(f"none of the first {len(ids)} events has landed: {ids}")
-    return matched
+    return landed.where(F.col(key).isin(ids)).count() if ids else 0

@@ -117,7 +117,7 @@ def assign_batches(
     size = max(1, int(size))
     numbered = number_rows(df, order, out="_n", rows_per_chunk=rows_per_chunk)
     index = F.col("_n") - 1
-    batch = F.floor(index / size) + 1
+    batch = F.call_function("div", index, F.lit(size)) + 1
     return numbered.withColumns({"row_index": index, "batch_id": batch}).drop("_n")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltatlas.functions.values import double_text
 from voltatlas.operators.cube import tidy_cube, validate_tidy
-from voltatlas.operators.layers import admin_layer, features_layer, grid_geometry, grid_text
+from voltatlas.operators.layers import admin_layer, features_geometry, features_layer, grid_geometry, grid_text
 from voltatlas.operators.lookups import left_lookup
 from voltatlas.operators.quality import require_degrees, require_rows, require_text_geometry
 from voltatlas.operators.ranking import stratified_candidates
@@ -73,10 +73,11 @@ def traffic_feed(
 def load_map_layer(
     spark: SparkSession, source: str, target: str, country: str, region: str, dataset: str, dt: str
 ) -> None:
-    """One map dataset of one region: sequence file to partitioned text layer."""
+    """One map dataset of one region: sequence file to partitioned layers, as text and, beside it under ``_geometry``, in binary."""
     features = read_geojson_seq(spark, source)
     layer = admin_layer(features) if dataset == "admin" else features_layer(features, dataset)
     write_layer(require_text_geometry(layer), target, country, region, dataset, dt)
+    write_layer(features_geometry(features, dataset), f"{target}_geometry", country, region, dataset, dt)
 
 
 def load_boundaries(spark: SparkSession, paths: list[str], target: str, year: int, scale: str, crs: int) -> None:

@@ -2,6 +2,7 @@ from voltatlas.queries import (  # noqa: F401
     candidates,
     coercions,
     cubes,
+    formats,
     layers,
     stations,
     streams,

@@ -45,24 +45,18 @@ def cells(spark, sf):
 
 @query(
     f"""
-with base as (
-  select 'R' || c_nationkey as region_code, c_mktsegment as region, c_name as h3_r7,
-         {_CELL_WKT.replace('as string', 'as varchar')} as wkt, c_acctbal * 10000 as area, c_acctbal as score,
-         try_cast({_DEGURBA} as int) as degurba
+select region_code, region, h3_r7, degurba, p[1]::double as lon, p[2]::double as lat, kring_area_m2, macro_score,
+       case when kring_area_m2 > 0 then cast(least(10000, greatest(1500, floor(sqrt(kring_area_m2 / pi())))) as int) else 3000 end as radius_m
+from (
+  select 'R' || c_nationkey as region_code, c_mktsegment as region, c_name as h3_r7, try_cast({_DEGURBA} as int) as degurba,
+         {_CELL_WKT.replace('as string', 'as varchar')} as wkt, regexp_extract_all(wkt, '-?[0-9.]+') as p,
+         c_acctbal * 10000 as kring_area_m2, c_acctbal as macro_score
   from customer
-), ranked as (
-  select *, row_number() over (partition by degurba order by score desc, h3_r7) as rn
-  from base where wkt like 'POINT(%' and degurba in (1, 2, 3)
-), coords as (
-  select *, try_cast(string_split(replace(replace(wkt, 'POINT(', ''), ')', ''), ' ')[1] as double) as lon,
-            try_cast(string_split(replace(replace(wkt, 'POINT(', ''), ')', ''), ' ')[2] as double) as lat
-  from ranked where rn <= 17
+  where starts_with(wkt, 'POINT(') and degurba between 1 and 3
+  qualify row_number() over (partition by degurba order by macro_score desc, h3_r7) <= 17
 )
-select region_code, region, h3_r7, degurba, lon, lat, area as kring_area_m2, score as macro_score,
-       cast(case when area > 0 then greatest(1500, least(10000, floor(sqrt(area / pi())))) else 3000 end as int)
-         as radius_m
-from coords where lat between -90 and 90 and lon between -180 and 180
-order by score desc, h3_r7 limit 50
+where abs(lat) <= 90 and abs(lon) <= 180
+order by macro_score desc, h3_r7 limit 50
 """
 )
 def stratified_top_candidates(spark, sf):

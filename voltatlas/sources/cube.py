@@ -35,6 +35,7 @@ def read_cube(spark: SparkSession, path: str) -> tuple[DataFrame, list[CubeDimen
     index = meta.select(F.explode("m.dimension").alias("dim", "body")).select(
         "dim", F.explode("body.category.index").alias("code", "idx")
     )
+    tasks = spark.sparkContext.defaultParallelism
     dims = [
         CubeDimension(n, s, index.where(F.col("dim") == n).select(F.col("idx").cast("long"), "code"))
         for n, s in zip(ids, sizes)
@@ -42,4 +43,6 @@ def read_cube(spark: SparkSession, path: str) -> tuple[DataFrame, list[CubeDimen
     values = text.select(
         F.explode(F.from_json("value", "value map<string,double>")["value"]).alias("k", "value")
     ).select(F.col("k").cast("long").alias("flat_index"), "value")
+    # One task reads the document; what follows is shared out.
+    values = values.repartition(tasks, "flat_index")
     return values, dims

@@ -10,18 +10,28 @@ from voltatlas.functions.values import once
 from voltatlas.specs import LAYERS, LayerSpec
 
 RECORD_SEPARATOR = "\x1e"
-_HEAD = 4096
 
 FEATURE = "properties map<string,string>, geometry string"
+_FEATURE_FIELDS = "properties: map<string,string>, geometry: string"
 
 
-def sequence_separator(spark: SparkSession, path: str) -> str:
-    """Record separator of a GeoJSON text sequence: 0x1E if it shows up early, else newline.
+def record_separated(spark: SparkSession, path: str) -> list[str]:
+    """The files that use 0x1E anywhere; only file names come to the driver."""
+    marked = spark.read.text(path).where(F.col("value").contains(RECORD_SEPARATOR))
+    return sorted(r[0] for r in marked.select(F.col("_metadata.file_path")).distinct().collect())
 
-    Looks at the first lines of the data set, so the files of one path share a form.
-    """
-    head = "\n".join(r.value for r in spark.read.text(path).limit(64).collect())
-    return RECORD_SEPARATOR if RECORD_SEPARATOR in head[:_HEAD] else "\n"
+
+def _records(spark: SparkSession, path: str, separator: str | None) -> DataFrame:
+    if separator:
+        return spark.read.option("lineSep", separator).text(path)
+    marked = record_separated(spark, path)
+    lines = spark.read.text(path)
+    if not marked:
+        return lines
+    # Conditions on the file's name choose files, they are not tried on rows.
+    of_marked = F.col("_metadata.file_path").isin(marked)
+    apart = spark.read.option("lineSep", RECORD_SEPARATOR).text(path).where(of_marked)
+    return lines.where(~of_marked).unionByName(apart)
 
 
 def read_geojson_seq(
@@ -29,17 +39,21 @@ def read_geojson_seq(
 ) -> DataFrame:
     """One row per feature: ``properties`` (map), ``geometry`` (GeoJSON text), ``record``.
 
+    A file with 0x1E in it is cut there, any other at line feeds: each file for
+    itself.  Finding out costs a pass over the text; ``separator`` saves it.
+
     failfast    a bad record stops the job and shows its first 200 characters
     quarantine  bad records stay as rows with ``bad = true`` and NULL features
     """
-    sep = separator or sequence_separator(spark, path)
-    reader = spark.read.option("lineSep", sep) if sep != "\n" else spark.read
-    record = F.trim(F.regexp_replace("value", r"^[\s\x1e]+|\s+$", ""))
-    rows = reader.text(path).select(record.alias("record")).where("record <> ''")
-    feature = F.from_json("record", f"{FEATURE}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    parsed = once(rows, "f", feature)
+    record = F.regexp_replace("value", r"^[\s\x1e]+|\s+$", "")
+    rows = _records(spark, path, separator).select(record.alias("record")).where("record <> ''")
+    # As the only entry of a list: text after the record makes the list unreadable.
+    feature = F.from_json(F.concat(F.lit("["), "record", F.lit("]")), f"array<struct<{_FEATURE_FIELDS}>>")
+    parsed = once(rows, "l", feature)
     # Says for itself that a blank is not bad: filters may be reordered around it.
-    bad = (F.col("record") != "") & F.col("f._bad").isNotNull()
+    single = F.coalesce(F.size("l") == 1, F.lit(False)) & F.get("l", F.lit(0)).isNotNull() & F.col("record").endswith("}")
+    bad = (F.col("record") != "") & ~single
+    parsed = parsed.withColumn("f", F.when(~bad, F.get("l", F.lit(0))))
     if mode == "quarantine":
         return parsed.select("record", bad.alias("bad"), "f.properties", "f.geometry")
     if mode != "failfast":
@@ -62,7 +76,8 @@ def read_feature_collection(spark: SparkSession, path: str | list[str]) -> DataF
         .json(path)
         .select("features", F.col("_metadata.file_name").alias("file_name"))
     )
-    rows = docs.select("file_name", F.explode("features").alias("record"))
+    # One task reads one document; its features are parsed by many.
+    rows = docs.select("file_name", F.explode("features").alias("record")).repartition(spark.sparkContext.defaultParallelism, "record")
     return (
         once(rows, "f", F.from_json("record", FEATURE))
         .select("file_name", level_of("file_name").alias("level"), "f.properties", "f.geometry")
@@ -90,7 +105,15 @@ def read_layer(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """A map layer kept as Parquet: attributes plus ``geometry`` text."""
     if dataset not in LAYERS:
         raise KeyError(f"unknown dataset {dataset!r}")
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    if "geometry" not in df.columns or df.schema["geometry"].dataType != T.StringType():
+        raise ValueError(f"{path}: a layer needs a text column geometry")
+    spec = LAYERS[dataset]
+    found = {c.lower(): c for c in df.columns}
+    wrong = [c for c in spec.columns if c.lower() in found and isinstance(df.schema[found[c.lower()]].dataType, (T.ArrayType, T.MapType, T.StructType))]
+    if wrong:
+        raise ValueError(f"{path}: attributes must be plain values: {wrong}")
+    return df
 
 
 def grid_schema() -> T.StructType:

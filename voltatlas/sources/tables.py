@@ -36,21 +36,40 @@ def candidate_roads(df: DataFrame, wkt_mode: str = "sql") -> DataFrame:
 
 
 def read_batch_files(
-    spark: SparkSession, paths: list[str], schema: T.StructType | str, multi_line: bool = True
+    spark: SparkSession, paths: list[str], schema: T.StructType | str, multi_line: bool = True, mode: str = "failfast"
 ) -> DataFrame:
-    """Record files of many batches as one table; blank files add no rows.
+    """Record files of many batches as one table; blank files and lines add no rows.
 
-    No file, or no record in any file, is an error.  Files with one record per
-    line are better read with ``multi_line=False``: they can then be split.
+    A file is a record or a list of records; with ``multi_line=False`` every line
+    is one, and large files can be split.  No file, or no text in any, is an error.
+
+    failfast    a text that is no JSON record stops the job and is shown
+    quarantine  it stays as a row: ``bad`` with its text, ``file``, NULL fields
     """
+    if mode not in ("failfast", "quarantine"):
+        raise ValueError(f"unknown mode {mode!r}")
     if not paths:
         raise ValueError("no batch files given")
-    df = spark.read.schema(schema).option("multiLine", multi_line).json(paths)
-    # A blank multi-line file reads as one row of NULLs.
-    df = df.where(F.greatest(*[F.col(f"`{c}`").isNotNull() for c in df.columns], F.lit(False)))
-    if df.isEmpty():
+    texts = spark.read.text(paths, wholetext=multi_line).where(F.col("value").rlike(r"\S"))
+    texts = texts.select("value", F.col("_metadata.file_path").alias("file"))
+    if texts.isEmpty():
         raise ValueError("all batch files were empty; nothing to load")
-    return df
+    fields = struct(schema)
+    # As the only entry of a list: text after the record makes the list unreadable.
+    entries = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
+    rows = once(texts, "e", entries)
+    one = F.when(F.size("e") == 1, F.get("e", F.lit(0)))
+    rows = once(rows.select("value", "file", one.alias("one")), "r", F.from_json("one", T.ArrayType(fields)))
+    blank = ~F.col("value").rlike(r"\S")
+    bad = ~blank & (F.col("r").isNull() | F.exists("r", lambda r: r.isNull()))
+    if mode == "failfast":
+        shown = F.concat(F.lit("cannot parse "), "file", F.lit(": "), F.left("value", F.lit(200)))
+        checked = F.when(bad, F.raise_error(shown)).otherwise(F.col("r"))
+        return rows.select(F.inline(checked))
+    kept = rows.select(
+        "file", F.when(bad, F.col("value")).alias("bad"), F.explode_outer(F.when(~bad, F.col("r"))).alias("r")
+    )
+    return kept.where("r is not null or bad is not null").select("r.*", "bad", "file")
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
