@@ -119,6 +119,14 @@ def test_current_view(star):
     assert now.count() == 5 and now.where("tomtom_poi_id = 'near'").first().name == "newest"
 
 
+def test_ties_within_a_run_go_to_the_row_met_last(star):
+    dim = star[3].dim.where("tomtom_poi_id = 'near'")
+    rows = [dim.withColumns({"cand_ord": F.lit(c), "rank_by_dist": F.lit(r), "name": F.lit(n), "raw_poi_json": F.lit(t)})
+            for c, r, n, t in [(2, 1, "last", "a"), (1, 9, "rank", "z"), (2, 0, "text", "y")]]
+    now = current_stations(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+    assert [r.name for r in now.collect()] == ["last"] and now.columns == dim.columns
+
+
 def test_stations_from_a_table(spark, star):
     stations = spark.createDataFrame([("s1", 50.001, 19.0), ("s2", 50.02, 19.0), ("s3", 50.1, 19.0)], "sid string, station_lat double, station_lon double")
     rows = stations_near_candidates(star[0], stations, "sid").orderBy("rank_by_dist").collect()

@@ -156,9 +156,14 @@ def station_star(
 
 
 def current_stations(history: DataFrame) -> DataFrame:
-    """The usable view of the appended DIM: newest row per station."""
-    newest = F.max_by(F.struct(*history.columns), F.struct("updated_at", "raw_poi_json"))
-    return history.groupBy("tomtom_poi_id").agg(newest.alias("r")).select("r.*")
+    """The usable view of the appended DIM: newest row per station.
+
+    Within a run it is the row met last, by candidate and rank, as ``station_star``
+    decides; a history without these two leaves that to the text.
+    """
+    met = [c for c in ("cand_ord", "rank_by_dist") if c in history.columns]
+    newest = F.max_by(F.struct(*history.columns), F.struct("updated_at", *met, "raw_poi_json"))
+    return history.groupBy("tomtom_poi_id").agg(newest.alias("r")).select("r.*").drop(*met)
 
 
 def station_envelopes(
@@ -209,6 +214,7 @@ def station_envelopes(
         snapshot_ts.alias("snapshot_ts"), F.lit(EVENT_SOURCE).alias("source"), "http_status", "error_message",
         "region_code", "region", "h3_r7", "degurba", "request_point_lat", "request_point_lon", "radius_m",
         "poi_json", F.coalesce(snapshots, empty).alias("availability_snapshots"),
+        (F.col("cand_ord") if "cand_ord" in candidates.columns else F.lit(None)).cast("bigint").alias("cand_ord"),
     )
 
 
@@ -216,7 +222,7 @@ def envelope_searches(envelopes: DataFrame) -> DataFrame:
     """Station envelopes as ``station_star`` input for MAP and DIM."""
     return envelopes.select(
         "event_id", "region_code", "region", "h3_r7", "degurba", "request_point_lat", "request_point_lon",
-        "radius_m", "poi_json", F.col("event_id").alias("cand_ord"),
+        "radius_m", "poi_json", "cand_ord",
     )
 
 

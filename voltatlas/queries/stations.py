@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from voltatlas.functions.timestamps import ntz
 from voltatlas.operators.lookups import latest_response, left_lookup, with_outcome
-from voltatlas.operators.stations import availability_rows, station_envelopes, station_star
+from voltatlas.operators.stations import availability_rows, current_stations, station_envelopes, station_star
 from voltatlas.operators.totals import station_totals as totals_of
 from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.session import scratch_dir
-from voltatlas.sources.tables import parse_envelopes
-from voltatlas.specs import STATION_ENVELOPE
-from voltatlas.streaming.envelopes import station_tables
+from voltatlas.sources.tables import parse_envelopes, read_envelopes
+from voltatlas.specs import DIM_HISTORY, STATION_ENVELOPE
+from voltatlas.streaming.envelopes import station_tables, write_stations
 
 # Each order asks once; its answer has o_custkey % 4 hits.  Hit i of an order
 # is station (o_custkey + i) % 97; hit 2 has no distance; odd stations have an
@@ -133,8 +133,7 @@ def station_map(spark, sf):
     return _star(spark, sf).map.drop("raw_search_json")
 
 
-@query(
-    f"""
+_DIM_SQL = f"""
 with {_HITS_SQL}, last as (
   select *, row_number() over (partition by poi_id order by o_orderkey desc, rank_by_dist desc) as rn from ranked
 )
@@ -146,7 +145,9 @@ select poi_id as tomtom_poi_id, avail_id as charging_availability_id, 'Station '
        '[{{"ratedPowerKW":' || i || '}}]' as connectors_static_json, timestamp '{RUN_TS}' as updated_at
 from last where rn = 1
 """
-)
+
+
+@query(_DIM_SQL)
 def station_dim(spark, sf):
     return _star(spark, sf).dim.drop("raw_poi_json")
 
@@ -202,8 +203,9 @@ def station_envelope_build(spark, sf):
 
 
 def _parsed_envelopes(spark, sf):
-    value = F.to_json(F.struct(*_envelopes(spark, sf).columns), {"ignoreNullFields": "false"})
-    return parse_envelopes(_envelopes(spark, sf).select(value.alias("value")), STATION_ENVELOPE)
+    envelopes = _envelopes(spark, sf)
+    value = F.to_json(F.struct(*envelopes.columns), {"ignoreNullFields": "false"})
+    return parse_envelopes(envelopes.select(value.alias("value")), STATION_ENVELOPE)
 
 
 @query(
@@ -220,6 +222,22 @@ def ev_envelope_flatten(spark, sf):
     return rows.select("region_code", "h3_r7", "tomtom_poi_id", "dist_m", "rank_by_dist")
 
 
+@query(_DIM_SQL.replace("as rn from ranked", "as rn from ranked where o_orderkey % 11 <> 0"))
+def station_stream_tables(spark, sf):
+    """Envelopes in several micro-batches, each twice: the view of the streamed DIM is the DIM of the batch job."""
+    folder, out = scratch_dir(spark, "envelopes"), scratch_dir(spark, "stations")
+    envelopes = _envelopes(spark, sf)
+    value = F.to_json(F.struct(*envelopes.columns), {"ignoreNullFields": "false"})
+    text = envelopes.select(value.alias("value"))
+    text.repartition(4).write.text(folder)
+    spark.read.text(folder).write.mode("append").text(folder + "-again")
+    for source in (folder, folder + "-again"):
+        stream = read_envelopes(spark, source, STATION_ENVELOPE, files_per_trigger=2)
+        write_stations(stream, out, scratch_dir(spark, "progress"), lambda: ntz(RUN_TS)).awaitTermination()
+    history = spark.read.schema(DIM_HISTORY).parquet(f"{out}/dim")
+    return current_stations(history).drop("raw_poi_json", "micro_batch")
+
+
 @query(_FACT_SQL.replace("from hits join", "from (select * from hits where o_orderkey % 11 <> 0) hits join"))
 def ev_envelope_fact(spark, sf):
     fact = station_tables(_parsed_envelopes(spark, sf), ntz(RUN_TS))["fact"]

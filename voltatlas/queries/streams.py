@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voltatlas.functions.timestamps import iso_seconds, ntz
 from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.session import scratch_dir
-from voltatlas.sources.tables import batch_events, read_envelopes
+from voltatlas.sources.tables import batch_events, read_envelopes, write_unreadable
 from voltatlas.specs import TRAFFIC_ENVELOPE
 from voltatlas.streaming.envelopes import append_once, dedupe_within, traffic_rows
 
@@ -67,6 +67,35 @@ def stream_two_feeds(spark, sf):
     return spark.read.parquet(out).select("event_id", "request_point_key")
 
 
+@query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
+def stream_repeat_batches(spark, sf):
+    """Repeats in later micro-batches and under another date; every event once."""
+    folder, out = scratch_dir(spark, "envelopes"), scratch_dir(spark, "repeats")
+    value = lambda shift: F.to_json(F.struct(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"), iso_seconds(F.col("ts") + F.expr(shift)).alias("snapshot_ts"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("request_point_key"),
+    ))
+    for shift in ("interval 0 days", "interval 3 days"):
+        spread_table(spark, sf, "events").select(value(shift).alias("value")).write.mode("append").text(folder)
+    stream = read_envelopes(spark, folder, TRAFFIC_ENVELOPE, files_per_trigger=4)
+    append_once(stream, out, scratch_dir(spark, "progress"), ["event_id"]).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "request_point_key")
+
+
+@query("select 'e' || event_id as event_id, event_type = 'view' as bad from events")
+def stream_unreadable(spark, sf):
+    """Messages cut off in the middle go to a table of their own, none is lost."""
+    folder, out, odd = (scratch_dir(spark, n) for n in ("envelopes", "readable", "unreadable"))
+    whole = F.concat(F.lit('{"request_point_key":"'), "event_type", F.lit('","event_id":"e'), F.col("event_id").cast("string"))
+    text = F.when(F.col("event_type") == "view", whole).otherwise(F.concat(whole, F.lit('"}')))
+    spread_table(spark, sf, "events").select(text.alias("value")).write.text(folder)
+    append_once(read_envelopes(spark, folder, TRAFFIC_ENVELOPE, 4), out, scratch_dir(spark, "progress"), ["event_id"]).awaitTermination()
+    write_unreadable(spark, folder, odd, scratch_dir(spark, "progress")).awaitTermination()
+    good = spark.read.parquet(out).select("event_id", F.lit(False).alias("bad"))
+    bad = spark.read.text(odd).select(F.regexp_extract("value", '"event_id":"(e[0-9]+)', 1).alias("event_id"), F.lit(True).alias("bad"))
+    return good.unionByName(bad)
+
+
 @query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
 def stream_dedupe_window(spark, sf):
     """The same files through the watermark form, for feeds whose repeats come close together."""

@@ -123,11 +123,17 @@ def latest_partition(df: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(newest), df[column] == newest["_newest"], "left_semi")
 
 
-def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Envelope files, one JSON object per line, as a stream."""
-    return spark.readStream.schema("value string").text(path).transform(
-        lambda df: parse_envelopes(df, schema)
-    )
+def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int = 1000) -> DataFrame:
+    """Envelope files, one JSON object per line, as a stream; a backlog comes in micro-batches of so many files."""
+    files = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return parse_envelopes(files, schema)
+
+
+def write_unreadable(spark: SparkSession, path: str, target: str, checkpoint: str):
+    """The stream beside ``read_envelopes``: messages without an event id, as text files under ``target``."""
+    files = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1000).text(path)
+    bad = unreadable_messages(files).where(F.col("value").rlike(r"\S"))
+    return bad.writeStream.format("text").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_envelope_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType | str) -> DataFrame:

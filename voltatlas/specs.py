@@ -143,7 +143,7 @@ STATION_ENVELOPE = (
     "error_message string, region_code string, region string, h3_r7 string, degurba int, "
     "request_point_lat double, request_point_lon double, radius_m int, poi_json string, "
     "availability_snapshots array<struct<chargingAvailabilityId:string, ok:boolean, status_code:int, "
-    "error:string, avail_json:string>>"
+    "error:string, avail_json:string>>, cand_ord bigint"
 )
 
 TRAFFIC_ENVELOPE = (
@@ -158,6 +158,8 @@ DIM_STATIONS = (
     "street_number string, postal_code string, freeform_address string, lat double, lon double, "
     "connectors_static_json string, raw_poi_json string, updated_at timestamp_ntz"
 )
+# The appended DIM also keeps what decides between rows of one run.
+DIM_HISTORY = DIM_STATIONS + ", cand_ord bigint, rank_by_dist int"
 MAP_STATIONS = (
     "region_code string, region string, h3_r7 string, degurba int, query_lat double, query_lon double, "
     "radius_m int, tomtom_poi_id string, dist_m double, score double, rank_by_dist int, "

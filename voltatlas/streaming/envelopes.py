@@ -22,7 +22,7 @@ from voltatlas.operators.stations import (
     station_rows,
 )
 from voltatlas.operators.traffic import flow_fact
-from voltatlas.specs import DIM_STATIONS, FACT_AVAILABILITY, MAP_STATIONS
+from voltatlas.specs import DIM_HISTORY, FACT_AVAILABILITY, MAP_STATIONS
 
 # Dates of one micro-batch named in a filter; beyond it the whole table is asked.
 MAX_DAYS = 10_000
@@ -160,7 +160,7 @@ def station_tables(envelopes: DataFrame, run_ts: Column) -> dict[str, DataFrame]
     """
     hits = explode_results(envelope_searches(envelopes))
     return {
-        "dim": align(station_rows(hits, run_ts), DIM_STATIONS),
+        "dim": align(station_rows(hits, run_ts, ["cand_ord", "rank_by_dist"]), DIM_HISTORY),
         "map": align(map_rows(hits, run_ts), MAP_STATIONS),
         "fact": align(availability_rows(envelope_availability(envelopes), run_ts), FACT_AVAILABILITY),
     }
