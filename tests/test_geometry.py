@@ -2,6 +2,8 @@ import math
 import random
 import struct
 
+import pytest
+
 from voltatlas.functions import geometry as G
 
 SQUARE = [(0.0, 0.0), (1.5, 0.0), (1.0, 1.25), (0.0, 0.0)]
@@ -105,3 +107,10 @@ def test_ring_problems(column):
     assert column(cases, lambda c: G.ring_problem(G.geojson_polygons(c))) == [
         None, "ring under 4 points", "ring not closed", "no rings",
     ]
+
+
+def test_reprojection_of_the_published_example(spark):
+    # The worked example of EPSG guidance note 7-2 for this projection.
+    p = G.laea_to_lonlat("3962799.45D", "2999718.85D")
+    row = spark.range(1).select(p["lon"], p["lat"]).first()
+    assert row[0] == pytest.approx(5.0, abs=1e-6) and row[1] == pytest.approx(50.0, abs=1e-6)

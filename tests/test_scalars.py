@@ -148,3 +148,14 @@ def test_stable_ids(spark):
 def test_json_text(spark):
     df = spark.sql("select named_struct('a', 1, 'b', 'é') as s, array(1, 2) as l, 3.00BD as d, 3.5BD as e, 'x' as t")
     assert tuple(values.nested_to_json(df).first()) == ('{"a":1,"b":"é"}', "[1,2]", "3", "3.5", "x")
+
+
+def test_common_date_texts_and_fallbacks(spark):
+    from voltatlas.functions.timestamps import parse_iso
+    from voltatlas.operators.quality import timestamp_fallbacks
+
+    texts = ["Mon, 05 Feb 2024 10:00:00 GMT", "Feb 3 2024", "03-Feb-2024", "2024-02-03T04:05:06Z", "2024-13-45", "soon", None, "1999-01-01T00:00:00Z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [str(r[0]) for r in df.orderBy("i").select(parse_iso("t")).collect()]
+    assert got == ["2024-02-05 10:00:00", "2024-02-03 00:00:00", "2024-02-03 00:00:00", "2024-02-03 04:05:06", "None", "None", "None", "1999-01-01 00:00:00"]
+    assert [tuple(r) for r in timestamp_fallbacks(df, ["t"]).collect()] == [("t", 7, 3)]

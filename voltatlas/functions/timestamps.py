@@ -17,7 +17,7 @@ _FIRST_SECOND = -62135596800.0
 _LAST_SECOND = 253402300799.0
 
 # Date texts read besides ISO.
-EXTRA_FORMATS = ["yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "d MMM yyyy", "MMM d, yyyy"]
+EXTRA_FORMATS = ["yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "d MMM yyyy", "MMM d, yyyy", "d-MMM-yyyy", "MMM d yyyy", "d MMM yyyy HH:mm:ss"]
 
 
 def ntz(text: str) -> Column:
@@ -48,8 +48,11 @@ def epoch_to_ts(value: Column | str) -> Column:
 def parse_iso(text: Column | str) -> Column:
     """ISO text, with or without zone, to UTC; then a few common date texts."""
     s = as_column(text)
-    parsed = [F.try_to_timestamp(s)] + [F.try_to_timestamp(s, F.lit(f)) for f in EXTRA_FORMATS]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    # A weekday before the date says nothing new, and the zones are UTC.
+    plain = F.regexp_replace(s, r"^[A-Za-z]{3,9},\s*|\s+(?:GMT|UTC|[+]0000)$", "")
+    other = F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in EXTRA_FORMATS])
+    # Text in ISO form that is no time is not tried in the other forms.
+    return F.coalesce(F.try_to_timestamp(s), F.when(~s.rlike("^[0-9]{4}-"), other)).cast("timestamp_ntz")
 
 
 def coerce_ts(value: Column | str, mode: str = "numbers_first") -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from voltatlas.functions.geometry import POLYGON_TYPES, first_vertex, ring_problem
 from voltatlas.functions.points import point_lon_lat
+from voltatlas.functions.timestamps import MAX_TS, MIN_TS, coerce_ts_column, ntz
 from voltatlas.functions.values import let, once
 
 
@@ -95,6 +96,17 @@ def file_profile(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def timestamp_fallbacks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column: values given, and those that ``repair_ts`` would replace by the run time."""
+    given = [F.col(f"`{c}`").isNotNull() for c in columns]
+    lost = [g & ~F.coalesce(coerce_ts_column(df, c).between(ntz(MIN_TS), ntz(MAX_TS)), F.lit(False)) for c, g in zip(columns, given)]
+    entry = [
+        F.struct(F.lit(c).alias("column_name"), F.count_if(g).alias("given"), F.count_if(x).alias("replaced"))
+        for c, g, x in zip(columns, given, lost)
+    ]
+    return df.agg(F.array(*entry).alias("e")).select(F.inline("e"))
+
+
 def output_profile(df: DataFrame) -> DataFrame:
     """One row per column: position, type, total rows, non-null rows; one scan in all."""
     counts = df.agg(

@@ -96,7 +96,7 @@ modes as (
 
 
 def point_forms(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey", F.expr(_FORMS).alias("wkt"))
+    return table(spark, sf, "customer").select("c_custkey", "c_acctbal", F.expr(_FORMS).alias("wkt"))
 
 
 @query(
@@ -137,7 +137,7 @@ where lower(wkt) like 'point(%' and lenient_lon is not null
 """
 )
 def candidate_road_scan(spark, sf):
-    roads = point_forms(spark, sf).join(table(spark, sf, "customer"), "c_custkey").select(
+    roads = point_forms(spark, sf).select(
         *[F.lit(None).cast("string").alias(c) for c in (
             "region_code", "region", "h3_r7", "traffic_scope", "ev_station_id", "road_osm_id", "highway")],
         F.col("c_custkey").alias("road_feature_id"), F.col("c_acctbal").alias("macro_score"),
@@ -232,7 +232,7 @@ from d
 """
 )
 def rank_by_distance(spark, sf):
-    lines = spread_table(spark, sf, "lineitem", *_LINE.split(", "), "l_quantity", "l_returnflag").select(
+    lines = table(spark, sf, "lineitem").select(
         *_LINE.split(", "), F.expr("case when l_returnflag = 'R' then null else l_quantity end").alias("dist")
     )
     ties = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltatlas.functions.geometry import (
-    LAEA_EUROPE,
     first_vertex,
     geojson_parts,
     geojson_polygons,
@@ -300,25 +299,24 @@ def linestring_wkt(spark, sf):
     )
 
 
-_K = LAEA_EUROPE
 _E_SQL, _N_SQL = "cast(2500000 + c_custkey * 997 % 3500000 as double)", "cast(1500000 + c_custkey * 1009 % 3500000 as double)"
+# From the published parameters of the projection (EPSG:3035, GRS80), all derived values worked out in SQL.
 _LAEA_SQL = f"""
-p as (select c_custkey, {_E_SQL} as e, {_N_SQL} as n from customer),
-q as (select *, e - {_K['false_e']!r} as x, n - {_K['false_n']!r} as y from p),
-r as (select *, sqrt(power(x / {_K['d']!r}, 2) + power(y * {_K['d']!r}, 2)) as rho from q),
-s as (select *, 2 * asin(rho / (2 * {_K['rq']!r})) as ang from r),
-t as (
-  select *, case when rho = 0 then {_K['beta0']!r}
-                 else asin(cos(ang) * sin({_K['beta0']!r}) + y * {_K['d']!r} * sin(ang) * cos({_K['beta0']!r}) / rho) end as beta,
-         atan2(x * sin(ang), {_K['d']!r} * rho * cos({_K['beta0']!r}) * cos(ang)
-                             - power({_K['d']!r}, 2) * y * sin({_K['beta0']!r}) * sin(ang)) as dlon
-  from s
-),
-u as (
-  select c_custkey, degrees(dlon + {_K['lon0']!r}) as lon,
-         degrees(beta + {_K['c2']!r} * sin(2 * beta) + {_K['c4']!r} * sin(4 * beta) + {_K['c6']!r} * sin(6 * beta)) as lat
-  from t
-)"""
+given as (select 6378137.0::double as a, 1 / 298.257222101::double as f, radians(52.0::double) as lat0, radians(10.0::double) as lon0,
+                 4321000.0::double as fe, 3210000.0::double as fn),
+ecc as (select *, f * (2 - f) as e2, sqrt(f * (2 - f)) as e from given),
+auth as (select *, (1 - e2) * (1 / (1 - e2) - ln((1 - e) / (1 + e)) / (2 * e)) as qp,
+                (1 - e2) * (sin(lat0) / (1 - e2 * sin(lat0) * sin(lat0)) - ln((1 - e * sin(lat0)) / (1 + e * sin(lat0))) / (2 * e)) as q0 from ecc),
+proj as (select *, asin(q0 / qp) as b0, a * sqrt(qp / 2) as rq from auth),
+laea as (select *, a * cos(lat0) / sqrt(1 - e2 * sin(lat0) * sin(lat0)) / (rq * cos(b0)) as d from proj),
+p as (select c_custkey, ({_E_SQL} - fe) / d as x, ({_N_SQL} - fn) * d as y, laea.* from customer, laea),
+r as (select *, sqrt(x * x + y * y) as rho, 2 * asin(sqrt(x * x + y * y) / (2 * rq)) as ang from p),
+t as (select *, case when rho = 0 then b0 else asin(cos(ang) * sin(b0) + y * sin(ang) * cos(b0) / rho) end as beta,
+             atan2(x * sin(ang), rho * cos(b0) * cos(ang) - y * sin(b0) * sin(ang)) as dlon from r),
+u as (select c_custkey, degrees(lon0 + dlon) as lon,
+             degrees(beta + (e2 / 3 + 31 * e2 ** 2 / 180 + 517 * e2 ** 3 / 5040) * sin(2 * beta)
+                          + (23 * e2 ** 2 / 360 + 251 * e2 ** 3 / 3780) * sin(4 * beta) + 761 * e2 ** 3 / 45360 * sin(6 * beta)) as lat
+      from t)"""
 
 
 @query(f"with {_LAEA_SQL} select c_custkey, round(lon, 6) as lon, round(lat, 6) as lat from u")

@@ -108,13 +108,14 @@ def fetch_responses(
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, partition: str = "snapshot") -> DataFrame:
-    """Newest snapshot partition only; older ones are pruned from the scan.
-
-    The first step asks for the partition column alone, so it reads no data column.
-    """
-    df = spark.read.parquet(path)
-    newest = df.select(partition).distinct().agg(F.max(partition)).first()[0]
-    return df.where(F.col(partition) == F.lit(newest))
+    """Newest snapshot partition only, by the names of the folders: no other one is opened."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    names = [s.getPath().getName() for s in listed if s.isDirectory()]
+    newest = max((n for n in names if n.startswith(f"{partition}=")), default=None)
+    if newest is None:
+        raise FileNotFoundError(f"no {partition}= folder in {path}")
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{newest}")
 
 
 def latest_partition(df: DataFrame, column: str) -> DataFrame:
