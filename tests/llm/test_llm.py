@@ -16,7 +16,7 @@ from voltatlas.llm import toxicity as tox
 from voltatlas.llm.common import pieces, ready
 from voltatlas.llm.hilbert import hilbert_key, nearest
 from voltatlas.llm.jaccard import linked
-from voltatlas.llm.lines import edit_distance, without_repeated_lines
+from voltatlas.llm.lines import _apart, _similar, _word_edits, edit_distance, simhash, without_repeated_lines
 from voltatlas.llm.mixing import OP5_SQL, mixed, op5_hash_threshold_mix
 from voltatlas.llm.packing import LENGTHS, pack, packed
 from voltatlas.llm.quality import quality
@@ -137,6 +137,32 @@ def test_linked(table):
     assert sorted(map(tuple, linked(table(texts)).collect())) == expect
 
 
+def test_line_bounds_hold():
+    """Both bounds keep to their side of the edit distance, and the verdict is the one of the distance."""
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        one = [b"abcdefghij"[: k + 1] * 2 for k in rng.integers(0, 10, rng.integers(0, 30))]
+        two = list(one)
+        for _ in range(rng.integers(0, 5)):
+            at = rng.integers(0, len(two) + 1)
+            two[at : at + rng.integers(0, 3)] = [[], [b"xyz"], [b"q", b"rst"]][rng.integers(0, 3)]
+        a, b = b" ".join(one), b" ".join(two)
+        exact, most = edit_distance(a, b), max(len(a), len(b))
+        assert _apart(a, b) <= exact <= _word_edits(a.split(b" "), b.split(b" "), 10**9)
+        assert _similar(a, b, 90) == (100 * (most - exact) >= 90 * most)
+
+
+def test_simhash_counts_long_lines():
+    """Lines of more words than a byte can count, beside short ones."""
+    rng = np.random.default_rng(6)
+    sizes = [1, 255, 256, 3, 70_000, 511]
+    words = rng.integers(0, 1 << 63, sum(sizes), dtype=np.uint64)
+    first = np.cumsum([0, *sizes[:-1]])
+    for got, lo, n in zip(simhash(words, first), first, sizes):
+        bits = np.unpackbits(words[lo : lo + n].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+        assert got == np.packbits(2 * bits > n).view(np.uint64)[0]
+
+
 def test_lines(table):
     rng = random.Random(3)
     for _ in range(100):
