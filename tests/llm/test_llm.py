@@ -180,6 +180,24 @@ def test_lines(table):
     assert got == {1: (0, texts[0][1]), 2: (1, "ok"), 3: (0, None), 4: (0, ""), 5: (0, "ok\nok")}
 
 
+def test_lines_of_rows_with_one_id(spark):
+    """Null ids and an id with two texts: each row keeps its own unique lines, and repeats go."""
+    same, own = "this very line stands in all of the rows", [f"only row number {w} has words like {w * 4}" for w in ("ax", "by", "cz", "dw", "ev")]
+    texts = [(None, f"{own[0]}\n{same}"), (None, f"{own[1]}\n{same}"), (None, f"{same}\n{own[2]}"), (9, f"{same}\n{own[3]}"), (9, f"{own[4]}\n{same}")]
+    ready(spark)
+    rows = without_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert collections.Counter(x for r in rows for x in r.kept.split("\n") if x) == collections.Counter([same, *own])
+
+
+def test_near_duplicates_of_rows_with_one_id(spark):
+    import corpus_pipeline
+
+    twin, other, third = (" ".join(f"{c}{k}" for k in range(40)) for c in "xyz")
+    texts = [(1, twin), (2, twin), (2, other), (None, third), (None, third + " end"), (None, twin + " end")]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(texts, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in left) == [(0, "z"), (1, "x"), (2, "y")]
+
+
 @here
 def test_mix_agrees_with_sql(spark):
     assert compare.difference(op5_hash_threshold_mix(spark, SF), compare.connect(SF), OP5_SQL) is None
