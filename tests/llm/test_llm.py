@@ -180,6 +180,22 @@ def test_lines(table):
     assert got == {1: (0, texts[0][1]), 2: (1, "ok"), 3: (0, None), 4: (0, ""), 5: (0, "ok\nok")}
 
 
+def test_lines_with_one_change(spark):
+    """One word or one letter changed in lines of 8 to 60 words; recall against brute-force edit similarity."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    texts, pairs = [], 0
+    for k in range(240):
+        w = [word() for _ in range(rng.choice([8, 10, 15, 20, 30, 45, 60]))]
+        v, at = list(w), rng.randrange(len(w))
+        v[at] = word() if k % 2 else v[at][:1] + "z" + v[at][2:]
+        texts += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+        pairs += _similar(texts[-2][1].encode(), texts[-1][1].encode(), 90)
+    ready(spark)
+    rows = without_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert pairs > 220 and 0.99 * pairs <= sum(r.n_removed for r in rows) <= pairs
+
+
 def test_lines_of_rows_with_one_id(spark):
     """Null ids and an id with two texts: each row keeps its own unique lines, and repeats go."""
     same, own = "this very line stands in all of the rows", [f"only row number {w} has words like {w * 4}" for w in ("ax", "by", "cz", "dw", "ev")]
