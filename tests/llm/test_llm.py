@@ -196,6 +196,16 @@ def test_lines_with_one_change(spark):
     assert pairs > 220 and 0.99 * pairs <= sum(r.n_removed for r in rows) <= pairs
 
 
+def test_lines_of_few_words(spark):
+    """Exact copies of one and two words, and of texts without blanks, go; a letter changed in them too; other numbers stay."""
+    url, han = "https://example.org/" + "abcdefghij" * 4, "这是一个没有空格的很长的中文句子用来测试重复"
+    texts = [(1, f"Stteen Erachtz.\n{url}\n{han}\nabcdefghijk\n2019"), (2, f"stteen erachtz\n{url}\n{han}\nabcdefxhijk\n2020")]
+    texts += [(3, url.replace("abcdefghij", "abcdefghiz", 1)), (4, han + "吗"), (5, "abcdeghijk")]
+    ready(spark)
+    got = {r.doc_id: r.kept for r in without_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {1: texts[0][1], 2: "2020", 3: "", 4: "", 5: ""}
+
+
 def test_lines_of_rows_with_one_id(spark):
     """Null ids and an id with two texts: each row keeps its own unique lines, and repeats go."""
     same, own = "this very line stands in all of the rows", [f"only row number {w} has words like {w * 4}" for w in ("ax", "by", "cz", "dw", "ev")]
