@@ -98,10 +98,10 @@ def stream_unreadable(spark, sf):
 
 @query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
 def stream_dedupe_window(spark, sf):
-    """The same files through the watermark form, for feeds whose repeats come close together."""
-    folder, out = scratch_dir(spark, "envelopes"), scratch_dir(spark, "unique")
+    """The same files through the watermark form, in several micro-batches; what came behind the watermark goes by ``append_once``."""
+    folder, out, every = (scratch_dir(spark, n) for n in ("envelopes", "unique", "every"))
     _write_envelopes(spark, sf, folder)
-    stream = dedupe_within(read_envelopes(spark, folder, TRAFFIC_ENVELOPE), ["event_id"])
+    stream = dedupe_within(read_envelopes(spark, folder, TRAFFIC_ENVELOPE, files_per_trigger=2), ["event_id"])
     (
         stream.select("event_id", "request_point_key")
         .writeStream.format("parquet")
@@ -111,7 +111,9 @@ def stream_dedupe_window(spark, sf):
         .start()
         .awaitTermination()
     )
-    return spark.read.parquet(out).select("event_id", "request_point_key")
+    append_once(read_envelopes(spark, folder, TRAFFIC_ENVELOPE), every, scratch_dir(spark, "progress"), ["event_id"]).awaitTermination()
+    unique, every = (spark.read.parquet(path).select("event_id", "request_point_key") for path in (out, every))
+    return unique.unionByName(every.join(unique, "event_id", "left_anti"))
 
 
 @query(
