@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from voltatlas.llm import arrays as A
 from voltatlas.llm.checksums import crc32
 from voltatlas.llm.common import columns, map_texts, pieces, ready, written
+from voltatlas.llm.sql import CRC_TABLE, LOWER_ASCII
+from voltatlas.llm.sql import crc32 as sql_crc32
 
 BUCKETS, SEED, DRAW_PERCENT, LEAST_WORDS = 10_000, 2024, 10, 20
 # Keys left that one sort settles.
@@ -196,6 +198,28 @@ def resampled(
     return winners.unionByName(scored.where(~drawn).select(*out, F.lit(None).cast("long").alias("rank")))
 
 
+OP12_SQL = rf"""
+with {CRC_TABLE},
+d as (select doc_id, list_filter(regexp_extract_all({LOWER_ASCII.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as ws from documents),
+b as (select unnest(regexp_extract_all({LOWER_ASCII.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from benchmark),
+dw as (select doc_id, w, count(*) as n from (select doc_id, unnest(ws) as w from d) group by all),
+words as (select distinct w from (select w from dw union all select w from b)),
+codes as (select w, {sql_crc32('w')} % 10000 as k from words, crc_table),
+s as (select k, sum(n) as n from dw join codes using (w) group by k),
+t as (select k, count(*) as n from b join codes using (w) group by k),
+g as (select k, floor(1000 * ln(((coalesce(t.n, 0) + 1)::double * ((select sum(n) from s) + 10000)::double)
+                                / ((coalesce(s.n, 0) + 1)::double * (coalesce((select sum(n) from t), 0) + 10000)::double)))::bigint as gain
+      from (select distinct k from codes) left join s using (k) left join t using (k)),
+w as (select doc_id, sum(n)::bigint as n, sum(n * gain)::bigint as weight from dw join codes using (w) join g using (k) group by doc_id),
+r as (select d.doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+             ('0x' || left(sha256('2024:' || coalesce(d.doc_id::varchar, '')), 8))::bigint as h
+      from d left join w on d.doc_id = w.doc_id),
+q as (select doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from r),
+e as (select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n from q where n_features >= 20)
+select q.*, e.rank::bigint as rank from q left join e on q.doc_id = e.doc_id and e.rank <= 10 * e.n // 100
+"""
+
+
 def op12_median_resample(spark, sf):
     """All documents scored towards the benchmark's words; a tenth of those with 20 words or more drawn."""
     ready(spark)

@@ -23,6 +23,8 @@ from voltatlas.llm import arrays as A
 from voltatlas.llm.checksums import crc32
 from voltatlas.llm.common import columns, map_texts, ready, written
 from voltatlas.llm.groups import whole_groups
+from voltatlas.llm.sql import CRC_TABLE, LOWER_ASCII
+from voltatlas.llm.sql import crc32 as sql_crc32
 
 LEAST_LETTERS, LEAST_TIMES, RATIO = 7, 2, 10
 # One of so many word occurrences loses a letter.
@@ -324,6 +326,28 @@ def spellings(docs: DataFrame, least: int = LEAST_LETTERS, times: int = LEAST_TI
     return variants(written(vocabulary(docs, least, times, slip), "spelling-words"), least, ratio)
 
 
+OP13_SQL = rf"""
+with recursive {CRC_TABLE},
+runs as (select doc_id, r, count(*) as n
+         from (select doc_id, unnest(regexp_extract_all({LOWER_ASCII.format('text')}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]{{7,}}')) as r from documents) group by all),
+hashed as (select r, n, {sql_crc32("(coalesce(doc_id::varchar, '') || ':' || r)")} as h from runs, crc_table),
+slips as (select case when h % 31 = 0 then left(r, (h % length(r))::int) || substr(r, (h % length(r))::int + 2) else r end as word, n from hashed),
+v as materialized (select word, sum(n)::bigint as n from slips where length(word) >= 7 group by word having sum(n) >= 2),
+dels as materialized (select word, n, k, left(word, k::int - 1) || substr(word, k::int + 1) as rest
+         from (select word, n, unnest(range(1, length(word) + 1)) as k from v)),
+near as materialized (select distinct a.word, b.word as other, b.n as m from dels a join dels b on a.rest = b.rest and a.k = b.k and a.word <> b.word
+         union select a.word, b.word, b.n from dels a join v b on a.rest = b.word
+         union select b.word, a.word, a.n from dels a join v b on a.rest = b.word),
+best as (select word, count(*)::bigint as n_near, arg_min(other, struct_pack(m := -m, o := other)) as o, max(m) as m from near group by word),
+f as materialized (select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when m >= 10 * v.n then o end as form, case when m >= 10 * v.n then m end::bigint as form_n
+      from v left join best on v.word = best.word),
+chain as (select word, form as at from f where form is not null
+          union all select c.word, f.form from chain c join f on c.at = f.word where f.form is not null),
+ends as (select c.word, c.at from chain c join f on c.at = f.word where f.form is null)
+select f.word, form, coalesce(ends.at, f.word) as root, n, n_near, form_n from f left join ends on f.word = ends.word
+"""
+
+
 def op13_partenum_spelling(spark, sf):
     """Every frequent word of all documents with its standard form."""
     return spellings(ready(spark).read.parquet(f"{sf}/documents.parquet"))
