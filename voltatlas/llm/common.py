@@ -49,6 +49,13 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def renamed(df: DataFrame, *own: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with names that clash with none of ours, but for the columns ``own``; and the columns that give it its names back."""
+    names = df.columns
+    inner = [n if n in own and names.index(n) == k else f"in_{k}" for k, n in enumerate(names)]
+    return df.toDF(*inner), [F.col(i).alias(n) for i, n in zip(inner, names)]
+
+
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in the text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltatlas.llm.common import ready, word_count, written
+from voltatlas.llm.common import ready, renamed, word_count, written
 
 # The weights of the sources in their order, repeated; the share of all words; the most times a source may be repeated.
 WEIGHTS = (5, 2, 1)
@@ -123,10 +123,11 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``: every document as often as it is taken."""
-    rows = written(mix_rows(docs), "mix-rows")
-    taken = with_copies(mix_rows(docs, *docs.columns), mix_plan(rows)).where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select(*docs.columns)
+    """The mixed corpus with the columns of ``docs``, whatever their names: every document as often as it is taken."""
+    inner, back = renamed(docs, "doc_id", "source", "text")
+    rows = written(mix_rows(inner), "mix-rows")
+    taken = with_copies(mix_rows(inner, *inner.columns), mix_plan(rows)).where("copies > 0")
+    return taken.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select(*back)
 
 
 OP5_SQL = r"""
