@@ -93,6 +93,22 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def windows(sizes: list[tuple[int, int, int]], rows: int) -> list[tuple[int, int, int, int]]:
+    """``curve, block, low, high`` from ``curve, block, rows``: the blocks that hold ``rows`` rows of the ordering on either side of a block.
+
+    Where an ordering ends before that, its other side holds no more: a small ordering is one window.
+    """
+    out = []
+    for curve in sorted({c for c, _, _ in sizes}):
+        own = sorted((b, n) for c, b, n in sizes if c == curve)
+        upto = np.cumsum([n for _, n in own])
+        for i, (block, n) in enumerate(own):
+            low = int(np.searchsorted(upto, upto[i] - n - rows, side="right"))
+            high = min(int(np.searchsorted(upto, upto[i] + rows)), len(own) - 1)
+            out.append((curve, block, own[low][0], own[high][0]))
+    return out
+
+
 def _search(width: int, most: int, batches):
     """The best of one block for each query that looks into it; candidates come before queries."""
     ids = vectors = block = None
@@ -172,10 +188,11 @@ def nearest(table: DataFrame, asks: Column, most: int = 20, id: str = "vec_id",
     keyed = vectors.select("vid", "e", "asks").mapInArrow(order, f"curve int, key long, vid long, e {kind}, asks boolean")
     blocks = CURVES * max(LEAST_BLOCKS, -(-n // BLOCK_ROWS))
     ordered = keyed.repartitionByRange(blocks, "curve", "key", "vid").withColumn("block", F.spark_partition_id())
-    ordered = written(ordered.select("block", "vid", "e", "asks"), "ann-order")
-    reach = math.ceil(SHARE * blocks / CURVES / 2)
-    looks = F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("block")
-    queries = ordered.where("asks").select(looks, "vid", "e", "asks")
+    ordered = written(ordered.select("curve", "block", "vid", "e", "asks"), "ann-order")
+    sizes = ordered.groupBy("curve", "block").agg(F.count(F.lit(1)).alias("n")).collect()  # a row or two a block
+    looks = spark.createDataFrame(windows(sizes, max(math.ceil(SHARE * n / 2), 2 * (most + 1))), "curve int, block int, low int, high int")
+    queries = ordered.where("asks").join(F.broadcast(looks), ["curve", "block"])
+    queries = queries.select(F.explode(F.sequence("low", "high")).alias("block"), "vid", "e", "asks")
     meet = ordered.select("block", "vid", "e", F.lit(False).alias("asks")).unionByName(queries)
     meet = meet.repartition("block").sortWithinPartitions("block", "asks")
     found = meet.mapInArrow(partial(_search, size, most + 1), "qid long, vid long, score double")
