@@ -86,7 +86,7 @@ def _signatures(width: int, percent: int):
         take = np.arange(start[-1]) - np.repeat(start[:-1], q) + np.repeat(bounds[:-1], q)
         lists = pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(h[take].view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [rest.column(0), pa.array(n), pa.array(class_of(h, bounds)), lists], names=["doc_id", "n", "c", "head"]
+            [*rest.columns, pa.array(n), pa.array(class_of(h, bounds)), lists], names=["doc_id", "row", "n", "c", "head"]
         )
 
     return run
@@ -103,9 +103,11 @@ def _full_sets(width: int):
     """The set and its parity bits for each text asked for, once more from the text."""
 
     def run(rest, texts):
-        h, bounds = shingle_sets(texts, width)
+        # Rows given many times are read once a batch.
+        asked, one = np.unique(rest.column("c").to_numpy(), return_index=True)
+        h, bounds = shingle_sets([texts[i] for i in one], width)
         c = class_of(h, bounds)
-        want = np.flatnonzero(c == rest.column("c").to_numpy())
+        want = np.flatnonzero(c == asked)
         sets = [h[bounds[i] : bounds[i + 1]] for i in want]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c[want]), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
@@ -206,10 +208,12 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 
     Null and empty texts have no shingles and are linked with nothing; rows given
     twice have equal sets and are linked; a component of rows without any id has a
-    null id; an empty table gives no rows.
+    null id; an empty table gives no rows.  A row is known by the hash of its id and
+    text, so ids may be null or stand with several texts.
     """
     docs = columns(docs, "doc_id", "text")
-    signs = map_texts(docs, _signatures(width, percent), "doc_id long, n long, c long, head array<long>")
+    docs = docs.select("doc_id", F.xxhash64("doc_id", F.col("text").cast("binary")).alias("row"), "text")
+    signs = map_texts(docs, _signatures(width, percent), "doc_id long, row long, n long, c long, head array<long>")
     signs = written(signs, "jaccard-signatures")
     # A shingle counts as shared when two classes have it in their prefixes; its frequency orders it.
     tokens = signs.select("c", "n", F.explode("head").alias("token"))
@@ -221,9 +225,8 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     rare = F.slice("open", F.lit(1), (F.size("open") - F.col("asked") + 1).cast("int"))
     heads = written(heads.select("c", "n", rare["token"].alias("tokens")), "jaccard-index")
     # The sets of the classes still in play, from one text each.
-    one = signs.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id")).join(heads.select("c"), "c")
-    nameless = F.coalesce("doc_id", F.lit(0)).cast("long").alias("id")
-    texts = docs.select(nameless, "text").join(one.select("c", nameless).hint("shuffle_hash"), "id").select("c", "text")
+    one = signs.where("n > 0").groupBy("c").agg(F.min("row").alias("row")).join(heads.select("c"), "c")
+    texts = docs.select("row", "text").join(one.hint("shuffle_hash"), "row").select("c", "text")
     sets = map_texts(texts, _full_sets(width), "c long, n long, tokens binary, bits binary").dropDuplicates(["c"])
     sets = written(sets, "jaccard-sets")
     release(docs.sparkSession)
