@@ -1,7 +1,8 @@
 """Sharding by fixed virtual slots, with DataFrame functions only.
 
 Every record hashes into one of a few thousand slots for good; a small versioned
-map says which shard each slot lives on.  Rebalancing edits the map, never the hash.
+map, stored with all its versions, says which shard each slot lives on.  Rebalancing edits
+the newest version, never the hash.
 """
 
 from __future__ import annotations
@@ -10,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltatlas.llm.common import columns, ready, written
+from voltatlas.session import scratch_dir
 
 SLOTS = 4096
 # Rows that one task numbers together; a slot with more is numbered in several parts.
 PART_ROWS = 50_000
+# Parts of a shard's size that no slot exceeds for long: larger ones are split.
+SPLIT = 16
 # Bytes that each row takes beside its text.
 ROW_BYTES = 8
 
@@ -77,14 +81,53 @@ def rebalanced(slot_map: DataFrame, sizes: DataFrame, shards: int, only_new: boo
     return dealt.select((F.col("old") + 1).alias("version"), F.inline(F.expr("concat(kept, dealt.to)"))).select("version", "vslot", "shard")
 
 
-def placed(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> DataFrame:
+MAP = "version int, vslot int, shard int"
+
+
+def slot_map_at(spark: SparkSession, maps: str, version: int | None = None) -> DataFrame | None:
+    """The newest version of the map stored in the folder ``maps``, or the one asked for; None if there is none."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        known = spark.read.schema(MAP).parquet(maps)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if version is None:
+        version = known.agg(F.max("version")).first()[0]
+    return None if version is None else known.where(F.col("version") == version)
+
+
+def next_map(spark: SparkSession, maps: str, sizes: DataFrame, shards: int, slots: int = SLOTS, only_new: bool = False) -> DataFrame:
+    """Edit the newest stored map for these ``sizes`` and store it as one version more; older versions stay.
+
+    Without a stored map, version 1 deals the slots round.  A slot that the map
+    does not know yet (a part of a hot one) starts where dealing round puts it.
+    """
+    old = slot_map_at(spark, maps)
+    if old is None:
+        first_map(spark, shards, slots).write.mode("append").parquet(maps)
+        old = slot_map_at(spark, maps)
+    version = old.agg(F.max("version").alias("version"))  # one row
+    fresh = sizes.join(old, "vslot", "left_anti").crossJoin(F.broadcast(version))
+    fresh = fresh.select("version", "vslot", F.pmod("vslot", F.lit(shards)).cast("int").alias("shard"))
+    new = rebalanced(old.select("version", "vslot", "shard").unionByName(fresh), sizes, shards, only_new)
+    new.select(*[F.col(c).cast("int") for c in ("version", "vslot", "shard")]).write.mode("append").parquet(maps)
+    return slot_map_at(spark, maps)
+
+
+def placed(docs: DataFrame, shards: int = 24, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row of ``docs``.
 
-    The law is ``bytes``: the shards' sizes are as equal as whole slots allow.
+    The law is ``bytes``: the shards' sizes are as equal as whole slots allow.  The
+    map is the next version of the one in the folder ``maps`` (a new folder, if
+    none is named).  A slot that would hold more than a sixteenth of a shard is split
+    into parts by a further hash and the row's number, so that even one record
+    given a million times spreads; parts are slots of their own in the map.
     ``slot`` is the row's place within its shard, from 0 without gaps.  Null text
     has size 8 and the checksum of nothing; rows with a null id are spread by
-    their text; an empty table gives no rows; repeated rows share a virtual slot
-    and get places of their own.
+    their text; an empty table gives no rows; repeated rows get places of their own.
     """
     from pyspark.sql import Window
 
@@ -94,24 +137,23 @@ def placed(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> DataFrame:
         "doc_id",
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("nth"),
     )
-    rows = rows.withColumn("vslot", slot_of("doc_id", slots=slots)).withColumn(
-        "vslot", F.when(F.col("doc_id").isNull(), slot_of("text_crc32", slots=slots)).otherwise(F.col("vslot"))
-    )
-    rows = written(rows, "shard-rows")
-    # A large slot is numbered in parts, cut by another hash; how many follows from the row count.
-    parts = F.ceil(F.col("n") / (PART_ROWS // 2)).cast("int")
+    rows = written(rows.withColumn("vslot", slot_of("doc_id", "text_crc32", slots=slots)), "shard-rows")
     per_slot = rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    per_slot = written(per_slot.select("vslot", "bytes", parts.alias("parts")), "shard-slots")
-    slot_map = written(rebalanced(first_map(spark, shards, slots), per_slot.select("vslot", "bytes"), shards), "shard-map")
-    where = F.broadcast(slot_map.select("vslot", "shard").join(per_slot.select("vslot", "parts"), "vslot"))  # at most SLOTS rows
-    salt = F.pmod(F.xxhash64(F.lit(1), "text_crc32", "doc_id"), F.col("parts")).cast("int")
-    rows = rows.join(where, "vslot").select("doc_id", "size", "text_crc32", "shard", "vslot", salt.alias("part"))
-    counts = rows.groupBy("shard", "vslot", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("vslot", "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("vslot", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("vslot", "part").orderBy("doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("at", F.row_number().over(inside)).join(offsets, ["vslot", "part"])
+    total = F.sum("bytes").over(Window.partitionBy())  # of at most ``slots`` rows
+    parts = F.greatest(F.ceil(F.col("n") / (PART_ROWS // 2)), F.ceil(F.col("bytes") * (SPLIT * shards) / total), F.lit(1))
+    parts = F.broadcast(written(per_slot.select("vslot", parts.cast("int").alias("parts")), "shard-slots"))  # at most ``slots`` rows
+    part = F.pmod(F.xxhash64("doc_id", "text_crc32", "nth"), F.col("parts")).cast("int")
+    rows = rows.join(parts, "vslot").withColumn("vslot", F.col("vslot") + F.lit(slots) * part).drop("parts")
+    # At most ``slots`` rows, and SPLIT a shard and one per PART_ROWS / 2 rows of hot slots more.
+    sizes = written(rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "shard-sizes")
+    slot_map = next_map(spark, maps or scratch_dir(spark, "shard-maps"), sizes.select("vslot", "bytes"), shards, slots)
+    before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
+    where = slot_map.select("vslot", "shard").join(sizes.select("vslot", "n"), "vslot")
+    where = where.select("vslot", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size", "nth")
+    numbered = rows.withColumn("at", F.row_number().over(inside)).join(where, "vslot")
     return numbered.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("before") + F.col("at") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
