@@ -23,6 +23,8 @@ DIM = 1 << BITS
 # Learned texts of each language that are clustered at most, the ones with the least hash of their id and text.
 LANG_ROWS = 1_000
 CENTROIDS, ROUNDS = 4, 10
+# Groups in which a language's least hashes are picked first.
+SALTS = 64
 # A centroid's radius: the distance that so many of 1,000 of its texts keep within, and how much wider it reaches.
 INSIDE, WIDER = 990, 1.25
 UNKNOWN = "und"
@@ -167,8 +169,10 @@ def learned(docs: DataFrame, known: Column, rows: int = LANG_ROWS, k: int = CENT
     idf = rarity(fine)
     h = F.xxhash64("doc_id", F.col("text").cast("binary"))
     # The rows with the least hash of each language; texts are read again for these only.
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    few = fine.select("lang", h.alias("h")).withColumn("k", first).where(F.col("k") <= rows).select("lang", "h").distinct()
+    few = fine.select("lang", h.alias("h"), F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
+    for group in (["lang", "salt"], ["lang"]):  # each of a bounded number of groups keeps ``rows`` first
+        few = few.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy("h"))).where(F.col("k") <= rows).drop("k")
+    few = few.select("lang", "h").distinct()
     few = written(few, "language-sample")  # the bound times the number of languages
     picked = fine.withColumn("h", h).join(few, ["lang", "h"], "left_semi").select("lang", "h", "text")
 
