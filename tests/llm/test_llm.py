@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from voltatlas.llm import arrays as A
 from voltatlas.llm import toxicity as tox
 from voltatlas.llm.common import pieces, ready
-from voltatlas.llm.hilbert import hilbert_key, nearest
+from voltatlas.llm.hilbert import hilbert_key, nearest, windows
 from voltatlas.llm.jaccard import linked
-from voltatlas.llm.lines import _apart, _similar, _word_edits, edit_distance, simhash, without_repeated_lines
+from voltatlas.llm.lines import BUCKETS, SIM_APART, SIM_BITS, _apart, _runs, _signs, _similar, _word_edits, edit_distance, simhash, without_repeated_lines
 from voltatlas.llm.mixing import OP5_SQL, mixed, op5_hash_threshold_mix
 from voltatlas.llm.packing import LENGTHS, pack, packed
 from voltatlas.llm.quality import quality
 from voltatlas.llm.repetition import keep_good, longest_repeats, repetition
-from voltatlas.llm.sharding import first_map, placed, rebalanced
+from voltatlas.llm.sharding import first_map, placed, rebalanced, slot_map_at
 from voltatlas.llm.substrings import without_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -34,7 +34,7 @@ def table(spark):
     ready(spark)
 
     def make(texts):
-        rows = [(i, t, "en", f"s{i % 3}" if i % 4 else None, 1, "x", 2) for i, t in texts]
+        rows = [(i, t, "en", f"s{i % 3}" if i and i % 4 else None, 1, "x", 2) for i, t in texts]
         return spark.createDataFrame(rows, COLUMNS)
 
     return make
@@ -137,6 +137,16 @@ def test_linked(table):
     assert sorted(map(tuple, linked(table(texts)).collect())) == expect
 
 
+def test_linked_with_null_and_repeated_ids(table):
+    """Rows are known by id and text: links of rows with a null id, and of one id with many texts."""
+    w = " ".join(f"w{k}" for k in range(60))
+    texts = [(None, w), (None, w + " more"), (5, "alone " * 5), (5, w), (5, w + " end"), (9, None), (None, None)] + [(None, f"t{k} " * 4) for k in range(40)]
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in linked(table(texts)).collect())
+    assert got == collections.Counter(
+        [(None, 58, 5), (None, 59, 5), (5, 58, 5), (5, 59, 5), (5, 1, 5), (9, 0, 9), (None, 0, None)] + [(None, 1, None)] * 40
+    )
+
+
 def test_line_bounds_hold():
     """Both bounds keep to their side of the edit distance, and the verdict is the one of the distance."""
     rng = np.random.default_rng(5)
@@ -152,15 +162,22 @@ def test_line_bounds_hold():
         assert _similar(a, b, 90) == (100 * (most - exact) >= 90 * most)
 
 
-def test_simhash_counts_long_lines():
-    """Lines of more words than a byte can count, beside short ones."""
-    rng = np.random.default_rng(6)
-    sizes = [1, 255, 256, 3, 70_000, 511]
-    words = rng.integers(0, 1 << 63, sum(sizes), dtype=np.uint64)
-    first = np.cumsum([0, *sizes[:-1]])
-    for got, lo, n in zip(simhash(words, first), first, sizes):
-        bits = np.unpackbits(words[lo : lo + n].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
-        assert got == np.packbits(2 * bits > n).view(np.uint64)[0]
+def test_simhash_of_runs():
+    """Against votes counted one by one; lines alike differ in few bits, others in many."""
+    rng = random.Random(6)
+    lines = [" ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(k)) for k in (1, 20, 40, 3000)]
+    lines += [lines[2][:100] + "x" + lines[2][101:], "abc"]
+    buf = np.frombuffer("".join(lines).encode(), np.uint8)
+    size = np.array([len(x) for x in lines])
+    begin = np.cumsum(size) - size
+    got, signs = simhash(buf, begin, size), _signs()
+    for row, lo, n in zip(got, begin, size):
+        votes = np.zeros(SIM_BITS)
+        for code in _runs(buf[lo : lo + n]):
+            votes += signs[int(code) >> 64 - 10]
+        assert BUCKETS == 1 << 10 and (np.packbits(votes > 0).view(np.uint64) == row).all()
+    apart = lambda i, j: int(np.bitwise_count(got[i] ^ got[j]).sum())
+    assert apart(2, 4) <= SIM_APART // 2 and apart(1, 2) > SIM_APART
 
 
 def test_lines(table):
@@ -177,7 +194,7 @@ def test_lines(table):
     line = "the quick brown fox jumps over the lazy dog again and again"
     texts = [(1, f"{line}.\nunique words stand here"), (2, f"{line.upper()}!\nok"), (3, None), (4, ""), (5, "ok\nok")]
     got = {r.doc_id: (r.n_removed, r.kept) for r in without_repeated_lines(table(texts)).collect()}
-    assert got == {1: (0, texts[0][1]), 2: (1, "ok"), 3: (0, None), 4: (0, ""), 5: (0, "ok\nok")}
+    assert got == {1: (0, texts[0][1]), 2: (1, "ok"), 3: (0, None), 4: (0, ""), 5: (2, "")}
 
 
 def test_lines_with_one_change(spark):
@@ -224,6 +241,32 @@ def test_near_duplicates_of_rows_with_one_id(spark):
     assert sorted((r.doc_id or 0, r.text[0]) for r in left) == [(0, "z"), (1, "x"), (2, "y")]
 
 
+CLASHING = "doc_id long, text string, lang string, source string, " + ", ".join(
+    f"{n} long" for n in "size h of target whole below kept n_lines n_removed row_key row component_id drop in_3 copies copy part piece line".split()
+)
+
+
+@pytest.mark.parametrize("name", ["quality_rules", "line_dedup", "near_duplicates", "source_mix", "packing"])
+def test_stages_take_odd_tables(spark, name):
+    """Columns that clash with the stages' own come through; null and empty texts and empty tables do no harm."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)[name]
+    n = len(CLASHING.split(",")) - 4
+    rng = random.Random(1)
+    clean = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 9) for _ in range(40)) for _ in range(12)]
+    texts = [(k, t) for k, t in enumerate(clean)] + [(None, None), (20, ""), (20, ""), (21, clean[0])]
+    rows = [(i, t, "en", f"s{k % 2}" if k % 5 else None, *range(n)) for k, (i, t) in enumerate(texts)]
+    out = stage(spark, spark.createDataFrame(rows, CLASHING), "").collect()
+    if name != "packing":
+        assert all(tuple(r)[4:] == tuple(range(n)) for r in out) and list(out[0].__fields__) == [c.split()[0] for c in CLASHING.split(", ")]
+        left = collections.Counter(r.text for r in out if r.text)
+        once = [t for t in clean if left[t] >= 1]
+        assert len(once) == 12 or name == "source_mix"
+        assert name == "source_mix" or left[clean[0]] == (2 if name == "quality_rules" else 1)
+    assert stage(spark, spark.createDataFrame([], CLASHING), "").count() == 0
+
+
 @here
 def test_mix_agrees_with_sql(spark):
     assert compare.difference(op5_hash_threshold_mix(spark, SF), compare.connect(SF), OP5_SQL) is None
@@ -244,6 +287,32 @@ def test_shards(spark, table):
     assert len(new) == 64 and {s for v, s in new.items() if s != old[v]} == {4}
 
 
+def test_shards_of_one_record_given_often(table):
+    """Law ``bytes`` with a third of the rows alike, with one id for many texts, and with null ids."""
+    alike = [(i, "y" * (i % 300)) for i in range(2000)] + [(None, "same text " * 30)] * 1000
+    one_id = [(7, f"text {i} " * 20) for i in range(1000)] + [(i, "z" * 100) for i in range(2000)]
+    for texts in (alike, one_id, [(None, None)] * 600):
+        rows = placed(table(texts).repartition(4), 8).collect()
+        load = collections.Counter()
+        for r in rows:
+            load[r.shard] += r.size
+        assert len(rows) == len(texts) and len(load) == 8 and max(load.values()) < 1.1 * min(load.values())
+        for shard in range(8):
+            assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
+def test_stored_slot_maps(spark, table, tmp_path):
+    """Each run edits the newest version; all versions stay, and slots that need not move stay where they are."""
+    maps = str(tmp_path / "maps")
+    assert slot_map_at(spark, maps) is None
+    first = placed(table([(i, "a" * (i % 50)) for i in range(900)]), 6, 128, maps).count()
+    placed(table([(i, "a" * (i % 50)) for i in range(990)]), 6, 128, maps).count()
+    at = [{r.vslot: r.shard for r in slot_map_at(spark, maps, v).collect()} for v in (1, 2, 3)]
+    assert first == 900 and all(set(range(128)) <= set(m) for m in at) and slot_map_at(spark, maps).first().version == 3
+    moved = lambda a, b: sum(a[v] != b[v] for v in range(128))
+    assert 0 < moved(at[1], at[2]) < 64 and at[0] == {v: v % 6 for v in range(128)}
+
+
 def test_packing(table):
     rng = random.Random(7)
     sizes = [rng.randint(1, LENGTHS[-1]) for _ in range(500)]
@@ -280,6 +349,27 @@ def test_hilbert_and_neighbours(spark):
     assert hits >= 0.9 * 400
 
 
+@pytest.mark.parametrize("n", [1, 10, 21, 30, 90])
+def test_all_neighbours_of_small_tables(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 6))
+    table = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    ready(spark)
+    got = collections.defaultdict(list)
+    for r in nearest(table, F.col("vec_id") % 3 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for q in range(0, n, 3):
+        assert got[q] == sorted((j for j in range(n) if j != q), key=lambda j: (-(x[q] * x[j]).sum(), j))[:20]
+
+
+def test_windows_hold_their_rows():
+    rng = np.random.default_rng(2)
+    sizes = [(c, 10 * c + b, int(rng.integers(1, 30))) for c in range(2) for b in range(10)]
+    for curve, block, low, high in windows(sizes, 25):
+        n = {b: n for c, b, n in sizes if c == curve}
+        assert low == min(n) or sum(n[b] for b in range(low, block)) >= 25
+        assert high == max(n) or sum(n[b] for b in range(block + 1, high + 1)) >= 25
+
+
 def test_classifiers_learn(spark, table):
     rng = random.Random(9)
     voc = [f"wort{i}" for i in range(80)]
