@@ -180,3 +180,37 @@ def test_fetch_hook_keeps_failures(spark):
     df = spark.createDataFrame([("a", "{}"), ("b", "{}")], "request_key string, params string")
     got = {tuple(r) for r in fetch_responses(df, fetch, 2).collect()}
     assert got == {("a", 200, None, "{}"), ("b", None, "timed out", None)}
+
+
+def test_row_groups_of_layers(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from voltatlas.sinks.files import ROWS_PER_GROUP, replace_table
+
+    replace_table(spark.range(120_001).coalesce(1), str(tmp_path / "t"))
+    (name,) = [p for p in (tmp_path / "t").iterdir() if p.suffix == ".parquet"]
+    meta = pq.ParquetFile(name).metadata
+    sizes = [meta.row_group(k).num_rows for k in range(meta.num_row_groups)]
+    assert sizes == [ROWS_PER_GROUP, ROWS_PER_GROUP, 20_001] and meta.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_publication(spark, tmp_path):
+    """Parts become visible together; a run that fails leaves what was there; a reader keeps what it has opened."""
+    from voltatlas.operators.quality import QualityError, require_rows
+    from voltatlas.sinks.files import publish, read_published, versions
+
+    path, one = str(tmp_path / "p"), spark.range(3)
+    assert versions(spark, path) is None
+    with pytest.raises(ValueError):
+        read_published(spark, path, "a")
+    assert publish(spark, path, {"a": one, "b": one}) == 1
+    held = read_published(spark, path, "a")
+    bad = spark.range(5).selectExpr("if(id = 4, raise_error('broken'), id) as id")
+    with pytest.raises(Exception, match="broken"):
+        publish(spark, path, {"a": spark.range(9), "b": bad})
+    with pytest.raises(QualityError):
+        publish(spark, path, {"a": spark.range(9), "b": one.limit(0)}, {"b": lambda df: require_rows(df, "b")})
+    assert [read_published(spark, path, p).count() for p in "ab"] == [3, 3]
+    assert publish(spark, path, {"a": spark.range(7), "b": spark.range(8)}) == 2
+    assert [read_published(spark, path, p).count() for p in "ab"] == [7, 8] and held.count() == 3
+    assert read_published(spark, path, "a", 1).count() == 3 and versions(spark, path).count() == 2

@@ -14,7 +14,7 @@ from voltatlas.operators.ranking import stratified_candidates
 from voltatlas.operators.spatial import RadiusJoin
 from voltatlas.operators.stations import StationStar, station_star
 from voltatlas.operators.traffic import flow_fact, road_requests, traffic_envelopes, with_answers
-from voltatlas.sinks.files import replace_table, write_both, write_layer, write_levels, write_snapshot
+from voltatlas.sinks.files import publish, replace_table, write_both, write_layer, write_levels, write_snapshot
 from voltatlas.sources.cube import read_cube
 from voltatlas.sources.features import read_census_grid, read_feature_collection, read_geojson_seq
 from voltatlas.sources.tables import candidate_roads
@@ -109,6 +109,21 @@ def load_census_grid(spark: SparkSession, source: str, target: str) -> None:
     write_both(text, grid_geometry(grid), target)
 
 
+def publish_map_layer(spark: SparkSession, source: str, target: str, dataset: str) -> int:
+    """The same layer as text and in binary, visible together; the source is evaluated once for each and checked as written."""
+    features = read_geojson_seq(spark, source)
+    text = admin_layer(features) if dataset == "admin" else features_layer(features, dataset)
+    parts = {"text": require_text_geometry(text), "geometry": features_geometry(features, dataset)}
+    return publish(spark, target, parts, {name: lambda df, name=name: require_rows(df, f"{dataset} {name}") for name in parts})
+
+
+def publish_census_grid(spark: SparkSession, source: str, target: str) -> int:
+    """Census grid as degree text and with its own geometry, visible together; degrees are checked on what was written."""
+    grid = read_census_grid(spark, source)
+    parts = {"text": require_text_geometry(grid_text(grid)), "geometry": grid_geometry(grid)}
+    return publish(spark, target, parts, {"text": require_degrees})
+
+
 def load_cube(spark: SparkSession, source: str, target: str, dataset: str, run_ts: Column, snapshot: str) -> str:
     """Cube document to a new snapshot of the tidy table."""
     values, dims = read_cube(spark, source)

@@ -14,7 +14,7 @@ from voltatlas.operators.quality import QualityError, require_columns, require_d
 from voltatlas.queries.layers import _WKT_SQL, _geojson
 from voltatlas.queries.registry import RUN_TS, query, table
 from voltatlas.session import scratch_dir
-from voltatlas.sinks.files import replace_table, write_layer, write_levels
+from voltatlas.sinks.files import publish, read_published, replace_table, write_layer, write_levels
 from voltatlas.sources.cube import read_cube
 from voltatlas.sources.features import (
     grid_schema,
@@ -230,6 +230,39 @@ def replaced_prefix(spark, sf):
     return spark.read.parquet(folder)
 
 
+@query(
+    """
+select stage, part, count(*) as rows, sum(o_orderkey)::bigint as keys
+from orders, (values ('first', 1), ('failed', 1), ('late reader', 1), ('second', 2), ('by number', 1)) s(stage, v), (values ('text'), ('geometry')) p(part)
+where v = 1 or o_orderstatus = 'F' group by all
+"""
+)
+def published_versions(spark, sf):
+    """Text and geometry published together, seen before, while and after they are replaced, and after a replacement that failed half way."""
+    folder = scratch_dir(spark, "published")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    point = F.format_string("POINT(%d 1)", F.col("o_orderkey") % 170)
+    parts = lambda df: {
+        "text": df.select("o_orderkey", point.alias("geom_wkt")), "geometry": df.select("o_orderkey", F.encode(point, "UTF-8").alias("geom_wkb"))
+    }
+    seen = lambda stage, number=None: [
+        read_published(spark, folder, part, number).select(F.lit(stage).alias("stage"), F.lit(part).alias("part"), "o_orderkey") for part in ("text", "geometry")
+    ]
+    checks = {"text": require_degrees}
+    publish(spark, folder, parts(orders), checks)
+    found = seen("first")
+    # The text of this one is written, its check fails: nothing of it is ever seen.
+    broken = parts(orders.where("o_orderstatus = 'O'"))
+    broken["text"] = broken["text"].withColumn("geom_wkt", F.lit("POINT(500000 1)"))
+    if _passes(publish, spark, folder, broken, checks):
+        raise AssertionError("projected coordinates were published")
+    found += seen("failed")
+    late = seen("late reader")
+    publish(spark, folder, parts(orders.where("o_orderstatus = 'F'")), checks)
+    found += late + seen("second") + seen("by number", 1)
+    return union_all(found).groupBy("stage", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))
+
+
 def _passes(gate, *args) -> bool:
     try:
         gate(*args)

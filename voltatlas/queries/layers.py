@@ -24,8 +24,10 @@ from voltatlas.operators.layers import (
     project_layer,
 )
 from voltatlas.operators.quality import output_profile as profile, polygon_types_only
+from voltatlas.operators.cover import clip_by_cover, cover_regions
 from voltatlas.operators.spatial import clip_to_regions
 from voltatlas.operators.totals import feature_counts
+from voltatlas.plans.jobs import load_municipalities
 from voltatlas.queries.registry import query, spread_table, table
 from voltatlas.session import scratch_dir
 from voltatlas.sources.features import read_geojson_seq
@@ -382,7 +384,7 @@ group by c_custkey, lon, lat, region having count(*) % 2 = 1
 """
 
 
-def _clip(spark, sf, **kw):
+def _regions_and_points(spark, sf):
     def ring(points):
         return F.array(
             *[
@@ -398,6 +400,11 @@ def _clip(spark, sf, **kw):
         F.col("n_name").alias("region"), F.array(F.array(ring(_RING), ring(_HOLE))).alias("polygons")
     )
     points = table(spark, sf, "customer").selectExpr("c_custkey", *[s.strip() for s in _PT.split(", ")])
+    return regions, points
+
+
+def _clip(spark, sf, **kw):
+    regions, points = _regions_and_points(spark, sf)
     return clip_to_regions(points, regions, "c_custkey", **kw).select("c_custkey", "lon", "lat", "region")
 
 
@@ -406,12 +413,43 @@ def region_clip(spark, sf):
     return _clip(spark, sf)
 
 
+@query(_CLIP_SQL)
+def region_clip_cover(spark, sf):
+    """The same clip through the quadtree cover of the regions, with border cells of few edges."""
+    regions, points = _regions_and_points(spark, sf)
+    return clip_by_cover(points, cover_regions(regions, leaf_edges=4)).select("c_custkey", "lon", "lat", "region")
+
+
 @query(_CLIP_SQL)
 def region_clip_long_bands(spark, sf):
     """The same clip on the path for bands with many edges."""
     return _clip(spark, sf, edges_per_array=1)
 
 
+# A municipality per customer, in the list as it comes: other columns around the five, some without a degree of urbanisation.
+@query(
+    """
+select 'PL_' || c_custkey as "GISCO_ID", 'PL' as "CNTR_CODE", c_custkey::varchar as "LAU_ID", c_name as "LAU_NAME",
+       case when c_custkey % 7 <> 0 then (c_custkey % 3 + 1)::varchar end as "DGURBA",
+       'POLYGON((' || c_custkey % 90 || ' 1, ' || c_custkey % 90 + 1 || ' 1, ' || c_custkey % 90 || ' 2, ' || c_custkey % 90 || ' 1))' as geom_wkt
+from customer
+"""
+)
+def municipality_list(spark, sf):
+    """The list of municipalities through its job: columns in order, text geometry, the table replaced and read back."""
+    x = "cast(c_custkey % 90 as int)"
+    ring = f"'[[' || {x} || ',1],[' || ({x} + 1) || ',1],[' || {x} || ',2],[' || {x} || ',1]]'"
+    lau = spread_table(spark, sf, "customer").select(
+        F.col("c_acctbal").alias("POP_2021"), F.expr("c_custkey % 3 + 1").alias("_urban"), F.col("c_name").alias("LAU_NAME"),
+        F.col("c_custkey").cast("string").alias("LAU_ID"), F.concat(F.lit("PL_"), F.col("c_custkey").cast("string")).alias("GISCO_ID"),
+        F.lit("PL").alias("CNTR_CODE"), F.expr("case when c_custkey % 7 <> 0 then c_custkey % 3 + 1 end").cast("string").alias("DGURBA"),
+        F.expr(f"""'{{"type":"Polygon","coordinates":[' || {ring} || ']}}'""").alias("geometry"),
+    )
+    folder = scratch_dir(spark, "municipalities")
+    load_municipalities(lau, folder)
+    return spark.read.parquet(folder)
+
+
 @query(
     """
 with c as (select count(*) as rows, count(doc_id) as a, count(text) as b, count(case when lang <> 'en' then lang end) as c,

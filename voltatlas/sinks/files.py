@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,29 +21,76 @@ ROWS_PER_GROUP = 50_000
 ROWS_PER_FILE = 5_000_000
 
 
-def _writer(df: DataFrame, row_bytes: int | None = None):
-    """Zstandard Parquet.  Row groups are sized in bytes, so 50,000 rows need a row width."""
+def _writer(df: DataFrame):
+    """Zstandard Parquet in row groups of ``ROWS_PER_GROUP`` rows."""
     w = df.write.option("compression", "zstd").option("maxRecordsPerFile", ROWS_PER_FILE)
-    return w.option("parquet.block.size", row_bytes * ROWS_PER_GROUP) if row_bytes else w
+    return w.option("parquet.block.row.count.limit", ROWS_PER_GROUP)
 
 
-def write_layer(
-    df: DataFrame, path: str, country: str, region: str, dataset: str, dt: str, row_bytes: int | None = None
-) -> None:
+def write_layer(df: DataFrame, path: str, country: str, region: str, dataset: str, dt: str) -> None:
     """Layer table under country/region/dataset/dt; writing a day again replaces that day only."""
     require_rows(df, f"{country}/{region}/{dataset}")
     keys = {"country": country, "region": region, "dataset": dataset, "dt": dt}
     named = df.withColumns({k: F.lit(v) for k, v in keys.items()})
-    _writer(named, row_bytes).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *keys
-    ).parquet(path)
+    _writer(named).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def write_both(text: DataFrame, geometry: DataFrame, path: str, row_bytes: int | None = None) -> None:
+def write_both(text: DataFrame, geometry: DataFrame, path: str) -> None:
     """Text table and geometry table side by side."""
     require_text_geometry(text)
-    _writer(text, row_bytes).mode("overwrite").parquet(f"{path}/text")
-    _writer(geometry, row_bytes).mode("overwrite").parquet(f"{path}/geometry")
+    _writer(text).mode("overwrite").parquet(f"{path}/text")
+    _writer(geometry).mode("overwrite").parquet(f"{path}/geometry")
+
+
+VERSIONS = "version long, folder string, parts array<string>"
+
+
+def publish(spark: SparkSession, path: str, parts: dict[str, DataFrame], checks: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> int:
+    """Write all ``parts`` as one new version, which readers see whole or not at all; returns its number.
+
+    Every part is evaluated once, into a folder that no reader knows.  ``checks``
+    look at what was written and raise if it is not fit.  Then one row in a file of
+    its own names the folder: it appears by a rename, and with it all parts.  A run that
+    fails before that leaves the version before it, and readers that have
+    begun keep theirs, as no file is ever replaced.
+    """
+    folder = f"{path}/data/{uuid.uuid4().hex}"
+    for name, df in parts.items():
+        _writer(df).parquet(f"{folder}/{name}")
+    for name, check in (checks or {}).items():
+        check(spark.read.parquet(f"{folder}/{name}"))
+    number = (_version(spark, path) or (0,))[0] + 1
+    row = spark.createDataFrame([(number, folder, sorted(parts))], VERSIONS)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return number
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """One row for each version published under ``path``; None if there is none."""
+    try:
+        return spark.read.schema(VERSIONS).parquet(f"{path}/versions")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _version(spark: SparkSession, path: str, number: int | None = None):
+    known = versions(spark, path)
+    if known is None:
+        return None
+    if number is not None:
+        known = known.where(F.col("version") == number)
+    # Should two writers ever give the same number, all readers settle for the same one.
+    return known.agg(F.max(F.struct("version", "folder"))).first()[0]
+
+
+def read_published(spark: SparkSession, path: str, part: str, version: int | None = None) -> DataFrame:
+    """One part of the newest version, or of the one asked for."""
+    found = _version(spark, path, version)
+    if found is None:
+        raise ValueError(f"nothing is published under {path}" + (f" as version {version}" if version else ""))
+    return spark.read.parquet(f"{found[1]}/{part}")
 
 
 def replace_table(df: DataFrame, path: str) -> None:
