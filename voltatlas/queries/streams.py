@@ -10,6 +10,7 @@ from voltatlas.session import scratch_dir
 from voltatlas.sources.tables import batch_events, read_envelopes, write_unreadable
 from voltatlas.specs import TRAFFIC_ENVELOPE
 from voltatlas.streaming.envelopes import append_once, dedupe_within, traffic_rows
+from voltatlas.streaming.keyindex import KeyIndex
 
 _RAW = """
 case event_type when 'view' then null when 'error' then '{}' else
@@ -82,6 +83,22 @@ def stream_repeat_batches(spark, sf):
     return spark.read.parquet(out).select("event_id", "request_point_key")
 
 
+@query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
+def stream_key_index(spark, sf):
+    """Two feeds of repeats under other dates, several micro-batches each, through one key index that is merged on the way; every event once."""
+    folder, out, index = scratch_dir(spark, "envelopes"), scratch_dir(spark, "indexed"), KeyIndex(scratch_dir(spark, "keys"), ["event_id"], 32, 3)
+    value = lambda shift: F.to_json(F.struct(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"), iso_seconds(F.col("ts") + F.expr(shift)).alias("snapshot_ts"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("request_point_key"),
+    ))
+    for shift in ("interval 0 days", "interval 3 days"):
+        spread_table(spark, sf, "events").select(value(shift).alias("value")).write.mode("append").text(folder)
+    for files in (4, 1000):
+        stream = read_envelopes(spark, folder, TRAFFIC_ENVELOPE, files_per_trigger=files)
+        append_once(stream, out, scratch_dir(spark, "progress"), ["event_id"], index=index).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "request_point_key")
+
+
 @query("select 'e' || event_id as event_id, event_type = 'view' as bad from events")
 def stream_unreadable(spark, sf):
     """Messages cut off in the middle go to a table of their own, none is lost."""

@@ -22,6 +22,7 @@ from voltatlas.operators.stations import (
     station_rows,
 )
 from voltatlas.operators.traffic import flow_fact
+from voltatlas.streaming.keyindex import KeyIndex
 from voltatlas.specs import DIM_HISTORY, FACT_AVAILABILITY, MAP_STATIONS
 
 # Dates of one micro-batch named in a filter; beyond it the whole table is asked.
@@ -52,6 +53,7 @@ def append_once(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition: str = "event_date",
     ts: str = "snapshot_ts",
+    index: KeyIndex | None = None,
 ) -> StreamingQuery:
     """Insert each key once, however late or often it arrives.
 
@@ -62,6 +64,9 @@ def append_once(
     asked.  A micro-batch run again after a failure overwrites its own folder and
     nothing else: folders bear the id of the feed's checkpoint.
     ``transform`` must keep ``keys`` and the ``partition`` column.
+
+    With an ``index`` the table itself is never read: the index tells which keys it
+    holds, and opens only what may hold keys of the micro-batch.  All feeds of a table share one index.
     """
 
     def insert(batch: DataFrame, batch_no: int) -> None:
@@ -73,7 +78,12 @@ def append_once(
             return
         fresh = dated.dropDuplicates(keys)
         folder = batch_folder(spark, checkpoint, batch_no)
-        known = _known_keys(spark, table, folder, keys, partition, days if ts in keys else None)
+        if index is not None:
+            # Runs are merged before this micro-batch adds its own, so one that fails can be run again.
+            index.compact(spark)
+            known = index.known(fresh, folder)
+        else:
+            known = _known_keys(spark, table, folder, keys, partition, days if ts in keys else None)
         if known is not None:
             fresh = fresh.join(known, keys, "left_anti")
         rows = require_columns(transform(fresh) if transform else fresh, [*keys, partition])
@@ -86,6 +96,10 @@ def append_once(
             .partitionBy(partition, "micro_batch")
             .parquet(table)
         )
+        if index is not None:
+            days_of = F.col(partition).cast("string").isin(days) if len(days) < MAX_DAYS else F.lit(True)
+            own = spark.read.schema(rows.schema.add("micro_batch", "string")).parquet(table).where(days_of & (F.col("micro_batch") == folder))
+            index.add(own, folder)
 
     return (
         stream.writeStream.foreachBatch(insert)
