@@ -109,9 +109,9 @@ def next_map(spark: SparkSession, maps: str, sizes: DataFrame, shards: int, slot
     if old is None:
         first_map(spark, shards, slots).write.mode("append").parquet(maps)
         old = slot_map_at(spark, maps)
-    version = old.agg(F.max("version").alias("version"))  # one row
-    fresh = sizes.join(old, "vslot", "left_anti").crossJoin(F.broadcast(version))
-    fresh = fresh.select("version", "vslot", F.pmod("vslot", F.lit(shards)).cast("int").alias("shard"))
+    version = old.agg(F.max("version")).first()[0]
+    fresh = sizes.join(old, "vslot", "left_anti")
+    fresh = fresh.select(F.lit(version).alias("version"), "vslot", F.pmod("vslot", F.lit(shards)).cast("int").alias("shard"))
     new = rebalanced(old.select("version", "vslot", "shard").unionByName(fresh), sizes, shards, only_new)
     new.select(*[F.col(c).cast("int") for c in ("version", "vslot", "shard")]).write.mode("append").parquet(maps)
     return slot_map_at(spark, maps)
