@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voltatlas.functions.timestamps import ntz
+from voltatlas.functions.timestamps import clamp_ts, ntz
 from voltatlas.operators.lookups import latest_response, left_lookup, with_outcome
-from voltatlas.operators.stations import availability_rows, current_stations, station_envelopes, station_star
+from voltatlas.operators.stations import availability_rows, current_stations, explode_results, station_envelopes, station_rows, station_star
 from voltatlas.operators.totals import station_totals as totals_of
 from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.session import scratch_dir
+from voltatlas.sinks.current import CurrentTable
 from voltatlas.sources.tables import parse_envelopes, read_envelopes
 from voltatlas.specs import DIM_HISTORY, STATION_ENVELOPE
 from voltatlas.streaming.envelopes import station_tables, write_stations
@@ -45,9 +46,9 @@ ranked as (
 )"""
 
 
-def _searches(spark, sf):
+def _searches(spark, sf, where="true"):
     hits = f"slice({_HITS}, 1, int(o_custkey % 4))"
-    orders = spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").where(where)
     return orders.select(
         F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("request_key"),
         F.col("o_orderkey").alias("cand_ord"), F.concat(F.lit("R"), (F.col("o_custkey") % 7).cast("string")).alias("region_code"),
@@ -238,6 +239,26 @@ def station_stream_tables(spark, sf):
     return current_stations(history).drop("raw_poi_json", "micro_batch")
 
 
+# The run that brings an order, and the hour of that run.
+_RUNS = {"F": "12", "O": "13", "P": "14"}
+_HOUR_SQL = "case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end"
+
+
+@query(_DIM_SQL.replace("order by o_orderkey desc", f"order by {_HOUR_SQL} desc, o_orderkey desc")
+       .replace(f"timestamp '{RUN_TS}' as", f"timestamp '{RUN_TS}' + to_hours({_HOUR_SQL}) as"))
+def station_current(spark, sf):
+    """The current DIM after three runs, one of them given twice: two merged into the base, the third as the table is read."""
+    dim = CurrentTable(scratch_dir(spark, "current"), DIM_HISTORY, ["tomtom_poi_id"], ["updated_at", "cand_ord", "rank_by_dist", "raw_poi_json"], buckets=32)
+    for n, (status, hour) in enumerate(_RUNS.items()):
+        stamp = clamp_ts(ntz(RUN_TS.replace(" 12", f" {hour}")), ntz(RUN_TS.replace(" 12", f" {hour}")))
+        hits = explode_results(_searches(spark, sf, f"o_orderstatus = '{status}'"))
+        for _ in range(2 if n == 1 else 1):
+            dim.add(station_rows(hits, stamp, ["cand_ord", "rank_by_dist"]), f"run-{n}")
+        if n == 1:
+            dim.compact(spark)
+    return dim.read(spark).drop("raw_poi_json", "cand_ord", "rank_by_dist")
+
+
 @query(_FACT_SQL.replace("from hits join", "from (select * from hits where o_orderkey % 11 <> 0) hits join"))
 def ev_envelope_fact(spark, sf):
     fact = station_tables(_parsed_envelopes(spark, sf), ntz(RUN_TS))["fact"]

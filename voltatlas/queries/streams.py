@@ -11,6 +11,7 @@ from voltatlas.sources.tables import batch_events, read_envelopes, write_unreada
 from voltatlas.specs import TRAFFIC_ENVELOPE
 from voltatlas.streaming.envelopes import append_once, dedupe_within, traffic_rows
 from voltatlas.streaming.keyindex import KeyIndex
+from voltatlas.streaming.landing import landing_verdicts, settled, write_verdicts
 
 _RAW = """
 case event_type when 'view' then null when 'error' then '{}' else
@@ -99,6 +100,35 @@ def stream_key_index(spark, sf):
     return spark.read.parquet(out).select("event_id", "request_point_key")
 
 
+@query(
+    """
+with pairs as (
+  select o_orderkey, max(l_shipdate between o_orderdate and o_orderdate + interval 60 day) as in_time, min(l_shipdate) as first
+  from orders left join (select * from lineitem where l_returnflag <> 'N') l on o_orderkey = l_orderkey group by o_orderkey
+)
+select cast(o_orderkey as varchar) as event_id, case when in_time then 'landed' when first is not null then 'late' else 'missing' end as state,
+       cast(first as timestamp) as landed_ts
+from pairs
+"""
+)
+def stream_landing(spark, sf):
+    """Orders are sent, their returned lines land; three runs of one stream, by time, then a heartbeat; every order gets its state."""
+    sent, landed, out, progress = (scratch_dir(spark, n) for n in ("sent", "landed", "verdicts", "progress"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("event_id"), F.col("o_orderdate").cast("timestamp").alias("sent_ts"))
+    lines = table(spark, sf, "lineitem").where("l_returnflag <> 'N'")
+    lines = lines.select(F.col("l_orderkey").cast("string").alias("event_id"), F.col("l_shipdate").cast("timestamp").alias("landed_ts"))
+    beat = spark.range(1).select(F.lit(None).cast("string").alias("event_id"), F.lit("2100-01-01").cast("timestamp").alias("ts"))
+    feed = lambda path, ts: spark.readStream.schema(f"event_id string, {ts} timestamp").parquet(path)
+    bounds = ["0001-01-01", "1997-01-01", "1999-01-01", "2100-01-01"]
+    for since, until in [*zip(bounds, bounds[1:]), (None, None)]:
+        for rows, path, ts in ((orders, sent, "sent_ts"), (lines, landed, "landed_ts")):
+            part = beat.withColumnRenamed("ts", ts) if since is None else rows.where((F.col(ts) >= since) & (F.col(ts) < until))
+            part.write.mode("append").parquet(path)
+        verdicts = landing_verdicts(feed(sent, "sent_ts"), feed(landed, "landed_ts"), "60 days", "1 day")
+        write_verdicts(verdicts, out, progress).awaitTermination()
+    return settled(spark.read.parquet(out)).withColumn("landed_ts", F.col("landed_ts").cast("timestamp_ntz"))
+
+
 @query("select 'e' || event_id as event_id, event_type = 'view' as bad from events")
 def stream_unreadable(spark, sf):
     """Messages cut off in the middle go to a table of their own, none is lost."""

@@ -64,6 +64,23 @@ def append_evolve(spark, sf):
     return read_evolving(spark, folder, _FIRST, _MORE)
 
 
+@query(
+    """
+select o_orderkey, o_totalprice, case when o_orderstatus <> 'F' then o_orderpriority end as o_orderpriority,
+       case when o_orderstatus = 'P' then o_custkey end as o_custkey
+from orders
+"""
+)
+def schema_log(spark, sf):
+    """One load per status, two with a column more than before; the reader finds the schema in the table's log."""
+    folder, orders = scratch_dir(spark, "logged"), table(spark, sf, "orders")
+    names = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey"]
+    for status, n in (("F", 2), ("O", 3), ("P", 4)):
+        load = orders.where(F.col("o_orderstatus") == status).select(*names[:n])
+        append_table(load, folder, load.schema, ntz(RUN_TS), [])
+    return read_evolving(spark, folder)
+
+
 @query(
     """
 select o_orderkey, o_orderstatus as status, case when o_orderstatus = 'F' then o_totalprice else o_custkey end as amount

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -123,21 +124,75 @@ def write_snapshot(df: DataFrame, path: str, snapshot: str, raw: DataFrame | Non
     return target
 
 
+SCHEMAS = "version long, ddl string"
+
+
+def schema_versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """One row for each schema the table has had, from the log beside it; None if it has none."""
+    try:
+        return spark.read.schema(SCHEMAS).parquet(f"{path}_schemas")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def logged_schema(spark: SparkSession, path: str, version: int | None = None) -> T.StructType | None:
+    """The table's newest schema, or the one it had as of ``version``."""
+    log = schema_versions(spark, path)
+    if log is None:
+        return None
+    if version is not None:
+        log = log.where(F.col("version") <= version)
+    found = log.agg(F.max(F.struct("version", "ddl"))).first()[0]
+    return None if found is None else T.StructType.fromJson(json.loads(found.ddl))
+
+
+def log_schema(spark: SparkSession, path: str, wanted: T.StructType | str) -> T.StructType:
+    """The table's schema with the columns of ``wanted`` it lacked; a new version if there are any.
+
+    Columns are only ever added.  One that is there with another type is an error.  The
+    entry comes before the rows, so no file holds a column that the log does not name.
+    """
+    wanted, have = struct(wanted), logged_schema(spark, path)
+    known = {f.name.lower(): f.dataType for f in (have or wanted).fields}
+    clash = [f"{f.name}: {known[f.name.lower()].simpleString()}, not {f.dataType.simpleString()}" for f in wanted.fields if known.get(f.name.lower(), f.dataType) != f.dataType]
+    if clash:
+        raise ValueError(f"columns of {path} have other types: {clash}")
+    grown = evolve(have, wanted) if have is not None else wanted
+    if have is None or len(grown) > len(have):
+        log = schema_versions(spark, path)
+        number = 1 if log is None else log.agg(F.max("version")).first()[0] + 1
+        spark.createDataFrame([(number, grown.json())], SCHEMAS).coalesce(1).write.mode("append").parquet(f"{path}_schemas")
+    return grown
+
+
 def append_table(df: DataFrame, path: str, schema: T.StructType | str, run_ts: Column, ts: list[str]) -> None:
-    """Fit to the table's schema, repair timestamps, append; an empty input writes nothing."""
+    """Fit to the table's schema, repair timestamps, append; an empty input writes nothing.
+
+    The table's schema is the logged one with the columns of ``schema`` that are new.
+    """
     fitted = align(df, schema)
     fitted = fitted.withColumns({c: repair_ts(c, run_ts) for c in ts})
     if not fitted.isEmpty():
+        log_schema(df.sparkSession, path, schema)
         _writer(fitted).mode("append").parquet(path)
 
 
-def read_evolving(
-    spark: SparkSession, path: str, first: T.StructType | str, *later: T.StructType | str
-) -> DataFrame:
-    """A table whose schema has grown; files written before a column show NULL for it."""
-    schema = struct(first)
-    for wanted in later:
-        schema = evolve(schema, wanted)
+def read_evolving(spark: SparkSession, path: str, *schemas: T.StructType | str, version: int | None = None) -> DataFrame:
+    """A table whose schema has grown; files written before a column show NULL for it.
+
+    The schema is the table's own, from its log (as of ``version``, if given), unless the caller states the
+    ``schemas`` it has had.
+    """
+    if schemas:
+        schema = struct(schemas[0])
+        for wanted in schemas[1:]:
+            schema = evolve(schema, wanted)
+    else:
+        schema = logged_schema(spark, path, version)
+        if schema is None:
+            raise ValueError(f"no schema is logged for {path}" + (f" as of version {version}" if version else ""))
     return spark.read.schema(schema).parquet(path)
 
 
