@@ -30,6 +30,8 @@ LENGTH = 400
 TRIGGER_BYTES = 16
 # Triggers at one parse suffix that one task compares; more are split by the strings' hashes.
 GROUP_TRIGGERS = 20_000
+# A parse suffix at more than this share of all triggers is joined without a shuffle; there are at most so many.
+MOST_HOT = 1024
 # Strings that are sorted together.
 SORT_STRINGS = 1 << 20
 
@@ -249,9 +251,14 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
     # Parse suffixes that occur twice.
     heads = map_texts(long.drop("doc_id"), _heads(length), "id long, h long, head long, pos int")
     heads = written(heads, "substring-heads")
-    twice = heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / GROUP_TRIGGERS).cast("int").alias("parts")
-    open_heads = heads.join(twice.select("head", parts), "head").groupBy(*key).agg(F.collect_list(F.struct("head", "pos", "parts")).alias("heads"))
+    twice = heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = written(twice.select("head", "n", parts), "substring-twice")
+    # A periodic text, or a passage found everywhere, would put all its triggers into one task of the join.
+    crowded = F.col("n") > max(GROUP_TRIGGERS, heads.count() // MOST_HOT)
+    hot = F.broadcast(twice.where(crowded).select("head", "parts"))
+    rare = heads.join(hot, "head", "left_anti").join(twice.where(~crowded).select("head", "parts"), "head")
+    open_heads = heads.join(hot, "head").unionByName(rare).groupBy(*key).agg(F.collect_list(F.struct("head", "pos", "parts")).alias("heads"))
     silent = twins.where("not speaks").select(*key)
     asked = open_heads.join(silent, key, "left_anti").hint("shuffle_hash")
     # Their strings in corpus order.
