@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltatlas.llm import arrays as A
+from voltatlas.llm import substrings
 from voltatlas.llm import toxicity as tox
 from voltatlas.llm.common import pieces, ready
 from voltatlas.llm.hilbert import hilbert_key, nearest, windows
@@ -20,7 +21,7 @@ from voltatlas.llm.lines import BUCKETS, SIM_APART, SIM_BITS, _apart, _runs, _si
 from voltatlas.llm.mixing import OP5_SQL, mixed, op5_hash_threshold_mix
 from voltatlas.llm.packing import LENGTHS, pack, packed
 from voltatlas.llm.quality import quality
-from voltatlas.llm.repetition import keep_good, longest_repeats, repetition
+from voltatlas.llm.repetition import COVERED_PERCENT, LONGEST_REPEAT, REPEAT_WORDS, keep_good, longest_repeats, repetition
 from voltatlas.llm.sharding import first_map, placed, rebalanced, slot_map_at
 from voltatlas.llm.substrings import without_repeats
 
@@ -78,6 +79,39 @@ def test_repetition(table):
         assert r.base_failed == (len(w) < 10 or 100 * len(cov) > 20 * len(w)) and not (r.base_failed and r.kept)
 
 
+def test_repetition_verdict(table):
+    """Covered words, longest repeat and verdict against every pair of positions; some texts fall by the suffix array alone."""
+    rng = random.Random(11)
+    fresh = lambda n, tag: [f"{tag}{k}" for k in range(n)]
+    passage, ten = fresh(LONGEST_REPEAT + 5, "p"), fresh(REPEAT_WORDS, "t")
+    long = passage + fresh(2000, "x") + passage
+    at_limit = passage[:LONGEST_REPEAT] + fresh(2000, "x") + passage[:LONGEST_REPEAT]
+    shares = [ten + fresh(n, "y") + ten for n in (82, 88, 91, 92, 100)]
+    mixed_up = [[rng.choice("abcdefghijklmnop") for _ in range(rng.randint(12, 90))] for _ in range(8)]
+    texts = [(k, " ".join(w)) for k, w in enumerate([long, at_limit, *shares, *mixed_up])]
+    alone = 0
+    for r in repetition(table(texts)).collect():
+        w = words_of(texts[r.doc_id][1])
+        n, longest, covered = len(w), 0, set()
+        reach = [0] * n
+        below = [0] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            row = [0] * (n + 1)
+            for j in range(n - 1, i, -1):
+                if w[i] == w[j]:
+                    row[j] = below[j + 1] + 1
+                    reach[i], reach[j] = max(reach[i], row[j]), max(reach[j], row[j])
+            below = row
+        seen = collections.Counter(tuple(w[k : k + 5]) for k in range(n - 4))
+        if max(seen.values()) > 1:  # shorter repeats are not looked for elsewhere
+            longest = max(reach)
+            covered = {i + k for i, m in enumerate(reach) if m >= REPEAT_WORDS for k in range(m)}
+        rejected = 100 * len(covered) > COVERED_PERCENT * n or longest > LONGEST_REPEAT
+        assert (r.n_covered, r.longest_repeat, r.kept) == (len(covered), longest, not r.base_failed and not rejected)
+        alone += rejected and not r.base_failed
+    assert alone >= 2
+
+
 def test_longest_repeats():
     rng = random.Random(5)
     for _ in range(30):
@@ -94,7 +128,11 @@ def test_longest_repeats():
             assert n == max(lcp(j) for j in range(end - 30, end) if j != i)
 
 
-def test_substrings(table):
+@pytest.mark.parametrize("crowd", [20_000, 2])
+def test_substrings(table, monkeypatch, crowd):
+    """With a ``crowd`` of 2, parse suffixes found more than twice are crowded: joined on their own and split."""
+    monkeypatch.setattr(substrings, "GROUP_TRIGGERS", crowd)
+    monkeypatch.setattr(substrings, "MOST_HOT", 1 << 40)
     rng = random.Random(1)
     base = ["".join(rng.choice("abcd ") for _ in range(rng.randint(0, 500))) for _ in range(15)]
     texts = ODD[:3] + [(9, "a" * 300), (10, "ab" * 150)] + [(20 + k, t) for k, t in enumerate(base)]
