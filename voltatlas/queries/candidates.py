@@ -14,6 +14,7 @@ from voltatlas.operators.ranking import (
     stratified_candidates,
     top_per_group,
 )
+from voltatlas.operators.rings import self_crossings
 from voltatlas.operators.spatial import RadiusJoin
 from voltatlas.operators.stations import current_stations
 from voltatlas.operators.totals import batch_totals as totals_of
@@ -334,3 +335,29 @@ def batch_totals(spark, sf):
 def debug_rows(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", (-F.col("o_totalprice")).alias("_p"))
     return first_rows(orders, ["_p", "o_orderkey"], 10).drop("_p")
+
+
+@query(
+    """
+with points as (
+  select l_orderkey, l_partkey % 101 as x, l_suppkey * 7 % 97 as y,
+         row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as i, count(*) over (partition by l_orderkey) as n
+  from lineitem
+),
+edges as (
+  select a.l_orderkey, a.i, a.n, a.x as ax, a.y as ay, b.x as bx, b.y as by
+  from points a join points b on a.l_orderkey = b.l_orderkey and b.i = (a.i + 1) % a.n where a.n > 2
+)
+select e.l_orderkey, count(*) as n_crossings
+from edges e join edges f on e.l_orderkey = f.l_orderkey and f.i > e.i + 1 and not (e.i = 0 and f.i = e.n - 1)
+where sign((e.bx - e.ax) * (f.ay - e.ay) - (e.by - e.ay) * (f.ax - e.ax)) * sign((e.bx - e.ax) * (f.by - e.ay) - (e.by - e.ay) * (f.bx - e.ax)) < 0
+  and sign((f.bx - f.ax) * (e.ay - f.ay) - (f.by - f.ay) * (e.ax - f.ax)) * sign((f.bx - f.ax) * (e.by - f.ay) - (f.by - f.ay) * (e.bx - f.ax)) < 0
+group by e.l_orderkey
+"""
+)
+def ring_self_crossings(spark, sf):
+    """The lines of each order as a ring through places made of their part and supplier."""
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.expr("double(l_partkey % 101)").alias("x"), F.expr("double(l_suppkey * 7 % 97)").alias("y"))
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(place)).alias("at"))
+    open_ring = F.transform("at", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    return self_crossings(lines.select("l_orderkey", F.concat(open_ring, F.slice(open_ring, 1, 1)).alias("ring")), ["l_orderkey"])
