@@ -1,124 +1,73 @@
 """Row numbers over groups of any size, without one task holding a whole group.
 
-Rows are cut into chunks by ranges of (group, order).  The cut points come from
-a hash-picked sample, so they are the same on every run and on every retried
-task.  A row's number is its place inside (group, chunk) plus the rows the same
-group has in earlier chunks.  Only a group that holds a cut point can reach
-into a second chunk, so the table of offsets has at most two rows per chunk.
+Rows are shuffled once, by ranges of (group, order), and written sorted, each with
+its place in its range.  How many rows every range got is read off what was
+written; the sum over earlier ranges and the place give a row's place among all.
+A group's rows are neighbours in that order, so the number in the group is the
+distance from its first row.  Nothing is counted or sampled in a read of its own but for
+the sample of keys that Spark takes to find the ranges.
 """
 
 from __future__ import annotations
 
-import json
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-ROWS_PER_CHUNK = 1_000_000
-MAX_CHUNKS = 20_000
-SAMPLES_PER_CHUNK = 20
+from voltatlas.session import scratch_dir
 
+# ``monotonically_increasing_id`` keeps the number of the partition above these bits and the place in it below.
+PLACE_BITS = 33
 
-def _cut_points(keyed: DataFrame, chunks: int, total: int) -> list[str]:
-    """At most ``chunks - 1`` sorted key values as JSON; the sample only places the cuts."""
-    share = min(1.0, chunks * SAMPLES_PER_CHUNK / total)
-    picked = keyed.where(
-        F.xxhash64("_key").bitwiseAND(F.lit(2**63 - 1)) <= F.lit(int(share * (2**63 - 1)))
-    )
-    # One of each key is enough, so a key that breaks the rule of being unique cannot flood the driver.
-    rows = picked.select("_key").distinct().orderBy("_key").select(F.to_json("_key", {"ignoreNullFields": "false"})).collect()
-    step = len(rows) / chunks
-    cuts = [rows[int(i * step)][0] for i in range(1, chunks)] if rows else []
-    return list(dict.fromkeys(cuts))
 
+def placed_rows(df: DataFrame, order: list[Column], out: str = "_at", ranges: int | None = None) -> DataFrame:
+    """Add the 0-based place ``out`` of each row in ascending ``order``; written once in the shared folder, sorted.
 
-def _chunk_of(key: Column, cuts: Column, n: int) -> Column:
-    """How many cut points are <= key, by halving steps over the sorted array."""
-    steps = [2**i for i in reversed(range(max(1, n.bit_length())))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda pos, step: F.when(F.get(cuts, pos + step - 1) <= key, pos + step).otherwise(pos),
-    )
+    ``ranges`` is the number of parts of the shuffle, by default that of all
+    shuffles of the session; it decides the size of a task and nothing else.
+    """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    # A range is one partition up to the write: with a stated number Spark neither merges nor splits it.
+    cut = df.withColumn("_key", key).repartitionByRange(ranges, "_key").sortWithinPartitions("_key").drop("_key")
+    path = scratch_dir(spark, "ranges")
+    cut = cut.withColumn("_id", F.monotonically_increasing_id())
+    cut.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(cut.schema).parquet(path).withColumn("_range", F.shiftright("_id", PLACE_BITS))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a range.
+    counts = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    at = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return stored.join(F.broadcast(before), "_range").select(*[F.col(f"`{c}`") for c in df.columns], at.alias(out))
 
 
 def number_rows(
-    df: DataFrame,
-    order: list[Column],
-    group: list[str] | None = None,
-    out: str = "row_number",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    df: DataFrame, order: list[Column], group: list[str] | None = None, out: str = "row_number", ranges: int | None = None
 ) -> DataFrame:
     """Add 1-based ``out`` per group in ascending ``order``.
 
     ``order`` must be unique within a group.  NULLs sort first; for NULLs last
     pass ``col.isNull()`` before the column, for descending pass its negative.
-    ``df`` is read four times (count, sample, offsets, rows), the first three
-    times only its keys: pass a table, or a checkpoint of a long plan.
+    NULL is a group like any other.  The first places of groups are joined to the rows
+    by a plain join: sent to all tasks while they are few, else a shuffle in which
+    Spark splits a large group.
     """
     group = group or []
-    fields = [F.col(g).alias(f"g{i}") for i, g in enumerate(group)]
-    fields += [c.alias(f"o{i}") for i, c in enumerate(order)]
-    keyed = df.withColumn("_key", F.struct(*fields))
-    total = keyed.select("_key").count()
-    chunks = min(MAX_CHUNKS, math.ceil(total / rows_per_chunk))
-    cuts = _cut_points(keyed.select("_key"), chunks, total) if chunks > 1 else []
-    by_key = [F.col(f"_key.o{i}") for i in range(len(order))]
-    if not cuts:
-        place = F.row_number().over(Window.partitionBy(*(group or [F.lit(0)])).orderBy(*by_key))
-        return keyed.withColumn(out, place.cast("long")).drop("_key")
-
-    key_type = T.ArrayType(keyed.schema["_key"].dataType)
-    cut_array = F.from_json(F.lit("[" + ",".join(cuts) + "]"), key_type)
-    chunked = keyed.withColumn("_chunk", _chunk_of(F.col("_key"), cut_array, len(cuts)))
-    counts = _offset_counts(chunked, group, cuts, key_type)
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_chunk")
-    offsets = counts.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-        F.col("_chunk").alias("_c"),
-        F.sum("count").over(before.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-    )
-    place = F.row_number().over(Window.partitionBy(*group, "_chunk").orderBy(*by_key))
-    same = F.col("_chunk") == F.col("_c")
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    joined = chunked.withColumn("_place", place).join(F.broadcast(offsets), same, "left")
-    number = F.col("_place").cast("long") + F.coalesce("_before", F.lit(0))
-    return joined.select(*df.columns, number.alias(out))
-
-
-def _offset_counts(
-    chunked: DataFrame, group: list[str], cuts: list[str], key_type: T.ArrayType
-) -> DataFrame:
-    """Rows per chunk, or per (group, chunk) for the groups that hold a cut point."""
+    placed = placed_rows(df, [*[F.col(g) for g in group], *order], "_at", ranges)
     if not group:
-        return chunked.groupBy("_chunk").count()
-    spark = chunked.sparkSession
-    heads = [json.dumps({f"g{i}": json.loads(c).get(f"g{i}") for i in range(len(group))}) for c in cuts]
-    head_type = T.ArrayType(T.StructType(key_type.elementType.fields[: len(group)]))
-    cut_groups = (
-        spark.range(1)
-        .select(F.explode(F.from_json(F.lit("[" + ",".join(dict.fromkeys(heads)) + "]"), head_type)).alias("h"))
-        .select("h.*")
-        .distinct()
-    )
+        return placed.select(*df.columns, (F.col("_at") + 1).alias(out))
+    heads = placed.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(F.min("_at").alias("_head"))
     same = F.lit(True)
     for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"g{i}"))
-    return chunked.join(F.broadcast(cut_groups), same, "left_semi").groupBy(*group, "_chunk").count()
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return placed.join(heads, same).select(*df.columns, (F.col("_at") - F.col("_head") + 1).alias(out))
 
 
-def assign_batches(
-    df: DataFrame, order: list[Column], size: int, rows_per_chunk: int = ROWS_PER_CHUNK
-) -> DataFrame:
+def assign_batches(df: DataFrame, order: list[Column], size: int, ranges: int | None = None) -> DataFrame:
     """Add ``row_index`` (from 0) and ``batch_id`` (from 1, ``size`` rows each)."""
-    size = max(1, int(size))
-    numbered = number_rows(df, order, out="_n", rows_per_chunk=rows_per_chunk)
-    index = F.col("_n") - 1
-    batch = F.call_function("div", index, F.lit(size)) + 1
-    return numbered.withColumns({"row_index": index, "batch_id": batch}).drop("_n")
+    placed = placed_rows(df, order, "row_index", ranges)
+    return placed.withColumn("batch_id", F.call_function("div", F.col("row_index"), F.lit(max(1, int(size)))) + 1)
 
 
 def batch_ranges(batched: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltatlas.functions.points import in_range, point_lon_lat, search_radius_m
-from voltatlas.operators.numbering import ROWS_PER_CHUNK, number_rows
+from voltatlas.operators.numbering import number_rows
 from voltatlas.sources.tables import candidate_cells
 
 # Size of a candidate run, its strata, station hits per candidate.
@@ -76,7 +76,7 @@ def rank_by_distance(
     ties: list[str],
     limit: int | None = STATION_LIMIT,
     out: str = "rank_by_dist",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    ranges: int | None = None,
 ) -> DataFrame:
     """1-based rank by distance in each group, missing distances last.
 
@@ -86,7 +86,7 @@ def rank_by_distance(
         order = [F.asc_nulls_last(distance), *[F.asc(t) for t in ties]]
         return top_per_group(df, group, order, limit, out)
     order = [F.col(distance).isNull(), F.col(distance), *[F.col(t) for t in ties]]
-    return number_rows(df, order, group, out, rows_per_chunk)
+    return number_rows(df, order, group, out, ranges)
 
 
 def last_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -237,7 +237,7 @@ def rank_by_distance(spark, sf):
         *_LINE.split(", "), F.expr("case when l_returnflag = 'R' then null else l_quantity end").alias("dist")
     )
     ties = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
-    return ranked(lines, ["l_orderkey"], "dist", ties, None, rows_per_chunk=25_000)
+    return ranked(lines, ["l_orderkey"], "dist", ties, None)
 
 
 @query(
@@ -294,7 +294,7 @@ numbered as (
 
 def _batched(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return assign_batches(orders, [F.col("o_orderkey")], 50, rows_per_chunk=4_000)
+    return assign_batches(orders, [F.col("o_orderkey")], 50)
 
 
 @query(
