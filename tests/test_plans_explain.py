@@ -52,9 +52,9 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     assert "StringStartsWith(cell_center_wkt_4326,POINT()" in text
 
 
-def test_cut_points_are_folded_into_one_constant(spark):
+def test_batches_come_from_the_written_ranges(spark):
     text = plan(QUERIES["batch_ranges"](spark, SF))
-    assert "from_json" not in text
+    assert "orders.parquet" not in text and "rangepartitioning" not in text
 
 
 def test_search_results_are_ranked_without_a_shuffle(spark):

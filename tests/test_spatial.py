@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from voltatlas.operators.spatial import RadiusJoin, clip_to_regions
+from voltatlas.operators.spatial import RadiusJoin, clip_to_regions, open_grid
+from voltatlas.session import scratch_dir
 
 R = 6371008.8
 
@@ -86,13 +87,53 @@ def test_crowded_path_looks_at_few_pairs(spark):
     join = RadiusJoin("c", "s", leaf_rows=64)
     from voltatlas.operators import spatial as S
 
-    cells = S._with_fine_cell(s, F.col("station_lat"), F.col("station_lon"))
+    grid = join.store(s, scratch_dir(spark, "grid"))
     spread = S._covering_cells(c, F.col("lat"), F.col("lon"), F.col("radius_m").cast("double"))
-    pairs = join._through_leaves(spread, cells, 1).count()
+    pairs = join._pairs(spread, grid).count()
     assert pairs < 20 * 1500
     assert run(spark, cands, stations, leaf_rows=64) == brute(cands, stations, 10)
 
 
+@pytest.mark.parametrize("leaf_rows", [1024, 4])
+def test_stored_grid(spark, leaf_rows):
+    """One grid for two limits and two tables; stations without a place are left out; no shuffle of stations."""
+    rng = random.Random(29)
+    stations = world(rng, 400, (50, 19.5), 0.2) + [(1000 + i, 50.0, 19.5) for i in range(60)]
+    s = spark.createDataFrame([*stations, (-1, None, 19.5), (-2, 50.0, None)], "s long, station_lat double, station_lon double")
+    path = scratch_dir(spark, "grid")
+    RadiusJoin("c", "s", leaf_rows=leaf_rows).store(s, path, 8)
+    for k, seed in ((10, 1), (3, 2)):
+        cands = [(i, lat, lon, 9000) for i, lat, lon in world(random.Random(seed), 30, (50, 19.5), 0.2)]
+        c = spark.createDataFrame(cands, "c long, lat double, lon double, radius_m int")
+        got = RadiusJoin("c", "s", limit=k).run(c, open_grid(spark, path))
+        assert {(r.c, r.s, r.rank_by_dist) for r in got.collect()} == brute(cands, stations, k)
+    with pytest.raises(ValueError):
+        RadiusJoin("c", "s", limit=11).run(c, open_grid(spark, path))
+
+
+def test_stations_of_a_grid_are_not_shuffled(spark):
+    stations = spark.range(5000).selectExpr("id as s", "50 + id / 10000 as station_lat", "19 + (id % 700) / 900 as station_lon")
+    cands = spark.range(50).selectExpr("id as c", "50 + id / 100 as lat", "19 + id / 70 as lon", "3000 as radius_m")
+    join, was = RadiusJoin("c", "s"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    grid = join.store(stations, scratch_dir(spark, "grid"), 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = join.run(cands, grid)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    lines = plan.splitlines()
+    at = next(k for k, x in enumerate(lines) if "Bucketed: true" in x)
+    depth = lines[at].index("FileScan")
+    above = []
+    for line in reversed(lines[:at]):
+        here = next((k for k, ch in enumerate(line) if ch.isalpha()), 0)
+        if here < depth:
+            above, depth = [*above, line], here
+        if "Join" in line:
+            break
+    assert not any("Exchange" in x for x in above)
+
+
 def inside(p, rings):
     x, y = p
     n = 0

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltatlas.functions.geometry import EARTH_RADIUS_M, haversine_m
 from voltatlas.operators.ranking import STATION_LIMIT, rank_by_distance, top_per_group
-from voltatlas.session import checkpointed
+from voltatlas.session import scratch_dir
 
 # Base cells are 0.1 degrees high and at least as wide as high (11 km), so the
 # largest search radius reaches one cell to each side.  Every level cuts a
@@ -47,6 +48,11 @@ def _cell(row: Column, col: Column) -> Column:
     return F.shiftleft(row, 32).bitwiseOR(col)
 
 
+def _leaf(level: Column, cell: Column) -> Column:
+    """Level and cell as one number; the cells of all levels stay below 2**60."""
+    return F.shiftleft(level.cast("long"), 60).bitwiseOR(cell)
+
+
 def _cell_at(level: int) -> Column:
     shift = _BITS * (LEVELS - level)
     return _cell(F.shiftright("_fr", shift), F.shiftright("_fc", shift))
@@ -86,6 +92,51 @@ def _lookup(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+@dataclass(frozen=True)
+class StationGrid:
+    """Stations filed by cell in buckets, with the counts of cells, for any number of candidate tables.
+
+    ``stations`` is a table bucketed by ``_leaf``, which tells cell and level; ``counts`` holds ``_level, _cell, count``
+    for base cells and for the parts of crowded ones; ``crowded`` the number of crowded cells of each level.
+    """
+
+    stations: DataFrame
+    counts: DataFrame
+    crowded: dict[int, int]
+    leaf_rows: int
+    limit: int
+
+    @property
+    def depth(self) -> int:
+        """Levels of crowded cells: stations lie at this level at most."""
+        return max(self.crowded, default=-1) + 1
+
+    def counts_at(self, level: int) -> DataFrame:
+        return self.counts.where(F.col("_level") == level).select("_cell", "count")
+
+    def crowded_at(self, level: int) -> DataFrame:
+        cells = self.counts_at(level).where(F.col("count") > self.leaf_rows).select("_cell")
+        return _lookup(cells, self.crowded[level])
+
+
+_GRID = "buckets int, leaf_rows long, row_limit int, crowded map<int, long>, columns string"
+_COUNTS = "_cell long, count long, _level int"
+
+
+def _grid_name(path: str) -> str:
+    return "station_grid_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def open_grid(spark: SparkSession, path: str) -> StationGrid:
+    """The grid that ``RadiusJoin.store`` wrote under ``path``, in this session or an earlier one."""
+    row = spark.read.schema(_GRID).parquet(f"{path}/grid").first()
+    name = _grid_name(path)
+    by = f"CLUSTERED BY (_leaf) SORTED BY (_leaf) INTO {row.buckets} BUCKETS"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({row.columns}) USING parquet {by} LOCATION '{path}/stations'")
+    counts = spark.read.schema(_COUNTS).parquet(f"{path}/counts")
+    return StationGrid(spark.table(name), counts, dict(row.crowded), row.leaf_rows, row.row_limit)
+
+
 @dataclass(frozen=True)
 class RadiusJoin:
     """Stations within each candidate's radius.
@@ -104,70 +155,100 @@ class RadiusJoin:
     limit: int | None = STATION_LIMIT
     leaf_rows: int = LEAF_ROWS
 
-    def run(self, candidates: DataFrame, stations: DataFrame) -> DataFrame:
-        """Candidate and station columns with ``dist_m`` and ``rank_by_dist``."""
-        cells = _with_fine_cell(stations, F.col(self.s_lat).cast("double"), F.col(self.s_lon).cast("double"))
-        spread = _covering_cells(
-            candidates, F.col(self.c_lat), F.col(self.c_lon), F.col(self.radius).cast("double")
-        )
-        full = 0 if self.limit is None else self._crowded(_counts(cells, 0)).count()
-        if full == 0:
-            right = cells.withColumn("_cell", _cell_at(0)).drop("_fr", "_fc")
-            pairs = spread.join(right, "_cell").drop("_cell")
-        else:
-            pairs = self._through_leaves(spread, cells, full)
+    def run(self, candidates: DataFrame, stations: DataFrame | StationGrid) -> DataFrame:
+        """Candidate and station columns with ``dist_m`` and ``rank_by_dist``.
+
+        Of stations with a crowded cell the parts are counted first; a grid
+        stored before is used as it is, and its stations are not shuffled.
+        """
+        spread = _covering_cells(candidates, F.col(self.c_lat), F.col(self.c_lon), F.col(self.radius).cast("double"))
+        if isinstance(stations, DataFrame):
+            cells = self._cells(stations)
+            base = None if self.limit is None else self._base_counts(cells, scratch_dir(cells.sparkSession, "cells"))
+            full = 0 if base is None else base.where(F.col("count") > self.leaf_rows).count()
+            if full == 0:
+                right = cells.withColumn("_cell", _cell_at(0)).drop("_fr", "_fc")
+                return self._ranked(spread.join(right, "_cell").drop("_cell"))
+            stations = self._filed(cells, base, full, scratch_dir(cells.sparkSession, "counts"))
+        return self._ranked(self._pairs(spread, stations))
+
+    def store(self, stations: DataFrame, path: str, buckets: int | None = None) -> StationGrid:
+        """File stations under ``path``: a new folder that readers know once its last part, ``grid``, is there.
+
+        ``buckets`` should be the number of shuffle partitions of the joins to come, which is its default.
+        Stations without a place are left out.
+        """
+        if self.limit is None:
+            raise ValueError("a grid holds what can rank within a limit; without one, join the stations as they are")
+        spark, cells = stations.sparkSession, self._cells(stations)
+        base = self._base_counts(cells, f"{path}/base")
+        grid = self._filed(cells, base, base.where(F.col("count") > self.leaf_rows).count(), f"{path}/counts")
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        filed = grid.stations.repartition(buckets, "_leaf").write.bucketBy(buckets, "_leaf").sortBy("_leaf")
+        filed.option("compression", "zstd").option("path", f"{path}/stations").saveAsTable(_grid_name(path))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in grid.stations.schema)
+        row = spark.createDataFrame([(buckets, self.leaf_rows, self.limit, grid.crowded, columns)], _GRID)
+        row.coalesce(1).write.parquet(f"{path}/grid")
+        return open_grid(spark, path)
+
+    def _cells(self, stations: DataFrame) -> DataFrame:
+        return _with_fine_cell(stations, F.col(self.s_lat).cast("double"), F.col(self.s_lon).cast("double"))
+
+    def _ranked(self, pairs: DataFrame) -> DataFrame:
         near = pairs.withColumn(
             "dist_m", haversine_m(self.c_lat, self.c_lon, self.s_lat, self.s_lon)
         ).where(F.col("dist_m") <= F.col(self.radius))
         return rank_by_distance(near, [self.candidate], "dist_m", [self.station], self.limit)
 
+    def _base_counts(self, cells: DataFrame, path: str) -> DataFrame:
+        """Stations in each base cell, written: however many stations there are, the globe has some six million of these."""
+        _counts(cells.where("_fr is not null and _fc is not null"), 0).write.parquet(path)
+        return cells.sparkSession.read.schema("_cell long, count long").parquet(path)
+
     # A crowded cell is cut until its parts are small, and a candidate visits
     # only the parts that can hold one of its nearest ``limit`` stations.
 
-    def _crowded(self, counts: DataFrame) -> DataFrame:
-        return counts.where(F.col("count") > self.leaf_rows)
+    def _filed(self, cells: DataFrame, base: DataFrame, crowded_base: int, path: str) -> StationGrid:
+        """The grid, its counts written under ``path`` and its stations still to be."""
+        spark = cells.sparkSession
+        full = F.col("count") > self.leaf_rows
+        base = base.withColumn("_level", F.lit(0))
+        # Finer counts exist only below crowded base cells.
+        if crowded_base:
+            below = cells.withColumn("_cell", _cell_at(0)).join(_lookup(base.where(full).select("_cell"), crowded_base), "_cell", "left_semi")
+            finer = [F.struct(F.lit(v).alias("_level"), _cell_at(v).alias("_cell")) for v in range(1, LEVELS + 1)]
+            deep = below.select(F.explode(F.array(*finer)).alias("f")).groupBy("f._level", "f._cell").count()
+            base = base.unionByName(deep)
+        base.select("_cell", "count", "_level").write.partitionBy("_level").parquet(path)
+        counts = spark.read.schema(_COUNTS).parquet(path)
+        levels = counts.where(full & (F.col("_level") < LEVELS)).groupBy("_level").count().collect()
+        crowded = {r["_level"]: r["count"] for r in levels}
 
-    def _through_leaves(self, spread: DataFrame, cells: DataFrame, full: int) -> DataFrame:
         # Stations on one spot are equally far from everybody, so only the
         # first ``limit`` of them by key can ever be among the nearest.
-        cells = top_per_group(
-            cells, [self.s_lat, self.s_lon], [F.asc(self.station)], self.limit, "_same"
-        ).drop("_same")
-        base = _counts(cells, 0)
-        # Finer counts exist only below crowded base cells, and are worked out once.
-        below = cells.withColumn("_cell", _cell_at(0)).join(
-            _lookup(self._crowded(base).select("_cell"), full), "_cell", "left_semi"
-        )
-        finer = [F.struct(F.lit(v).alias("_level"), _cell_at(v).alias("_cell")) for v in range(1, LEVELS + 1)]
-        deep = checkpointed(
-            below.select(F.explode(F.array(*finer)).alias("f")).groupBy("f._level", "f._cell").count()
-        )
-        sizes = {0: full}
-        for row in self._crowded(deep).where(F.col("_level") < LEVELS).groupBy("_level").count().collect():
-            sizes[row["_level"]] = row["count"]
-        depth = max(sizes) + 1
-        counts = [base] + [deep.where(F.col("_level") == v).drop("_level") for v in range(1, LEVELS + 1)]
-        crowded = [self._crowded(c).select("_cell") for c in counts[:depth]]
-
-        stations = cells.withColumn("_level", F.lit(0))
-        for v in range(depth):
-            inside = crowded[v].select(F.col("_cell").alias("_full"))
-            hit = stations.join(_lookup(inside, sizes[v]), _cell_at(v) == F.col("_full"), "left")
-            stations = hit.withColumn(
-                "_level", F.col("_level") + F.col("_full").isNotNull().cast("int")
-            ).drop("_full")
+        stations = top_per_group(
+            cells.where("_fr is not null and _fc is not null"), [self.s_lat, self.s_lon], [F.asc(self.station)], self.limit, "_same"
+        ).drop("_same").withColumn("_level", F.lit(0))
+        grid = StationGrid(cells, counts, crowded, self.leaf_rows, self.limit)
+        for v in range(grid.depth):
+            hit = stations.join(grid.crowded_at(v).withColumnRenamed("_cell", "_full"), _cell_at(v) == F.col("_full"), "left")
+            stations = hit.withColumn("_level", F.col("_level") + F.col("_full").isNotNull().cast("int")).drop("_full")
         leaf = F.lit(None).cast("long")
-        for v in range(depth + 1):
-            leaf = F.when(F.col("_level") == v, _cell_at(v)).otherwise(leaf)
-        stations = stations.withColumn("_cell", leaf).drop("_fr", "_fc")
-
-        active = spread.join(counts[0], "_cell").withColumn("_level", F.lit(0))
+        for v in range(grid.depth + 1):
+            leaf = F.when(F.col("_level") == v, _leaf(F.lit(v), _cell_at(v))).otherwise(leaf)
+        stations = stations.withColumn("_leaf", leaf).drop("_fr", "_fc", "_level")
+        return StationGrid(stations, counts, crowded, self.leaf_rows, self.limit)
+
+    def _pairs(self, spread: DataFrame, grid: StationGrid) -> DataFrame:
+        """Candidates with the stations of the cells that may hold one of their nearest."""
+        if self.limit is None or self.limit > grid.limit:
+            raise ValueError(f"the grid was stored for the nearest {grid.limit}")
+        active = spread.join(grid.counts_at(0), "_cell").withColumn("_level", F.lit(0))
         active = self._drop_hopeless(active)
-        for v in range(depth):
-            parent = self._parent_of(F.col("_child"))
-            parts = counts[v + 1].select(F.col("_cell").alias("_child"), F.col("count").alias("_n"))
-            parts = parts.withColumn("_parent", parent).join(
-                _lookup(crowded[v].withColumnRenamed("_cell", "_parent"), sizes[v]), "_parent", "left_semi"
+        for v in range(grid.depth):
+            parts = grid.counts_at(v + 1).select(F.col("_cell").alias("_child"), F.col("count").alias("_n"))
+            parts = parts.withColumn("_parent", self._parent_of(F.col("_child"))).join(
+                grid.crowded_at(v).withColumnRenamed("_cell", "_parent"), "_parent", "left_semi"
             )
             opened = active.join(
                 parts, (F.col("_level") == v) & (F.col("_cell") == F.col("_parent")), "left"
@@ -181,7 +262,8 @@ class RadiusJoin:
                 }
             ).drop("_child", "_n", "_parent")
             active = self._drop_hopeless(active)
-        return active.drop("count").join(stations, ["_level", "_cell"]).drop("_level", "_cell")
+        leaves = active.withColumn("_leaf", _leaf(F.col("_level"), F.col("_cell"))).drop("count", "_level", "_cell")
+        return leaves.join(grid.stations, "_leaf").drop("_leaf")
 
     @staticmethod
     def _parent_of(cell: Column) -> Column:

@@ -15,9 +15,10 @@ from voltatlas.operators.ranking import (
     top_per_group,
 )
 from voltatlas.operators.rings import self_crossings
-from voltatlas.operators.spatial import RadiusJoin
+from voltatlas.operators.spatial import RadiusJoin, open_grid
 from voltatlas.operators.stations import current_stations
 from voltatlas.operators.totals import batch_totals as totals_of
+from voltatlas.session import scratch_dir
 from voltatlas.queries.registry import query, spread_table, table
 from voltatlas.sources.tables import candidate_roads
 
@@ -220,6 +221,16 @@ def radius_join_crowded(spark, sf):
     return _radius_rows(RadiusJoin("c_custkey", "s_suppkey", leaf_rows=4).run(*_radius_tables(spark, sf)))
 
 
+@query(_RADIUS_SQL)
+def radius_join_stored(spark, sf):
+    """Stations filed once, asked by two candidate tables; the second opens the grid from its folder."""
+    join, path = RadiusJoin("c_custkey", "s_suppkey", leaf_rows=4), scratch_dir(spark, "stations")
+    candidates, stations = _radius_tables(spark, sf)
+    even, odd = (candidates.where(f"c_custkey % 2 = {k}") for k in (0, 1))
+    first = join.run(even, join.store(stations, path))
+    return _radius_rows(first.unionByName(join.run(odd, open_grid(spark, path))))
+
+
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 
 
