@@ -10,6 +10,7 @@ from voltatlas.operators.quality import file_profile
 from voltatlas.queries.registry import RUN_TS, query, table
 from voltatlas.session import scratch_dir
 from voltatlas.sinks.files import append_table, event_values, read_evolving, write_batches, write_event_files, write_partitions
+from voltatlas.sinks.profiles import merged_profile, write_profiled
 from voltatlas.sources.tables import read_batch_files
 
 _TARGET = (
@@ -116,6 +117,33 @@ def written_profile(spark, sf):
     return file_profile(spark, folder).select("rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
+_PROFILED = {"o_orderkey": "bigint", "o_totalprice": "double", "o_orderpriority": "string", "clerk": "bigint"}
+
+
+@query(
+    "with o as (select *, case when o_orderstatus = 'F' then o_custkey end as clerk from orders where year(o_orderdate) <= 1997)\n"
+    + "\nunion all\n".join(
+        f"select {i + 1} as position, '{c}' as column_name, '{t}' as data_type, count(*) as rows, count({c}) as non_null, "
+        f"cast(min({c}) as varchar) as least, cast(max({c}) as varchar) as most, "
+        f"case when '{c}' = 'o_orderpriority' then count(distinct {c}) end as about_distinct, true as near from o"
+        for i, (c, t) in enumerate(_PROFILED.items())
+    )
+)
+def merged_profiles(spark, sf):
+    """Orders by year with statistics a year, one year written again; those up to 1997 merged, the numbers of values within 5%."""
+    folder, orders = scratch_dir(spark, "profiled"), table(spark, sf, "orders")
+    rows = orders.select("o_orderkey", "o_totalprice", "o_orderpriority", F.expr("case when o_orderstatus = 'F' then o_custkey end as clerk"),
+                         F.expr("year(o_orderdate) as dt"))
+    write_profiled(rows.withColumn("o_totalprice", F.when(F.col("dt") == 1995, -1.0).otherwise(F.col("o_totalprice"))), folder, "dt")
+    write_profiled(rows.where("dt = 1995"), folder, "dt")
+    merged = merged_profile(spark, folder, "dt", F.col("dt") <= 1997)
+    exact = rows.where("dt <= 1997").agg(*[F.count_distinct(c).alias(c) for c in _PROFILED])
+    exact = exact.select(F.explode(F.create_map(*[x for c in _PROFILED for x in (F.lit(c), F.col(c))])).alias("column_name", "exact"))
+    near = F.abs(F.col("about_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    both = merged.join(exact, "column_name").withColumn("near", near).drop("exact")
+    return both.withColumn("about_distinct", F.when(F.col("column_name") == "o_orderpriority", F.col("about_distinct")))
+
+
 @query(
     """
 select cast(event_id as varchar) as event_id, event_type, cast(value as varchar) as value,
