@@ -18,19 +18,19 @@ case event_type when 'view' then null when 'error' then '{}' else
   '{"flowSegmentData":{"frc":"FRC1","currentSpeed":' || {k} || ',"freeFlowSpeed":50,"roadClosure":false}}' end"""
 
 
-def _write_envelopes(spark, sf, folder):
-    """Events as traffic envelopes; every envelope lands twice, in two sets of files."""
-    events = spread_table(spark, sf, "events")
+def _write_envelopes(spark, sf, folder, where="true", prefix="e", times=2):
+    """Events as traffic envelopes; every envelope lands ``times`` times, in as many sets of files."""
+    events = spread_table(spark, sf, "events").where(where)
     raw = _RAW.replace("{k}", "get_json_object(props, '$.k')")
     rows = events.select(
-        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"), F.lit("run-1").alias("run_id"),
+        F.concat(F.lit(prefix), F.col("event_id").cast("string")).alias("event_id"), F.lit("run-1").alias("run_id"),
         iso_seconds("ts").alias("snapshot_ts"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("request_point_key"),
         F.lit(50.0).alias("request_point_lat"), F.lit(19.5).alias("request_point_lon"),
         F.expr("case event_type when 'view' then 403 else 200 end").alias("http_status"), F.expr(raw).alias("raw_json"),
     )
     values = rows.select(F.to_json(F.struct("*")).alias("value"))
-    values.write.mode("append").text(folder)
-    values.write.mode("append").text(folder)
+    for _ in range(times):
+        values.write.mode("append").text(folder)
 
 
 _FACT_SQL = f"""
@@ -145,22 +145,29 @@ def stream_unreadable(spark, sf):
 
 @query("select 'e' || event_id as event_id, 'u' || user_id as request_point_key from events")
 def stream_dedupe_window(spark, sf):
-    """The same files through the watermark form, in several micro-batches; what came behind the watermark goes by ``append_once``."""
-    folder, out, every = (scratch_dir(spark, n) for n in ("envelopes", "unique", "every"))
-    _write_envelopes(spark, sf, folder)
-    stream = dedupe_within(read_envelopes(spark, folder, TRAFFIC_ENVELOPE, files_per_trigger=2), ["event_id"])
-    (
-        stream.select("event_id", "request_point_key")
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_dir(spark, "progress"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    append_once(read_envelopes(spark, folder, TRAFFIC_ENVELOPE), every, scratch_dir(spark, "progress"), ["event_id"]).awaitTermination()
-    unique, every = (spark.read.parquet(path).select("event_id", "request_point_key") for path in (out, every))
-    return unique.unionByName(every.join(unique, "event_id", "left_anti"))
+    """The watermark form, run twice over time: repeats within the delay go, what is behind the watermark does not pass, all else does.
+
+    The second run also brings the events of the first once more, and events of new ids that are an hour
+    or more behind the newest of the first run, so behind its watermark.
+    """
+    folder, out, progress = (scratch_dir(spark, n) for n in ("envelopes", "unique", "progress"))
+    span = table(spark, sf, "events").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    middle = span.select(F.expr("first + (last - first) / 2").cast("string")).first()[0]
+    newest = table(spark, sf, "events").where(f"ts < '{middle}'").agg(F.max("ts").cast("string")).first()[0]
+
+    def run():
+        # All files of a run are one micro-batch: the order of files is not that of time.
+        stream = dedupe_within(read_envelopes(spark, folder, TRAFFIC_ENVELOPE, files_per_trigger=1_000_000), ["event_id"])
+        rows = stream.select("event_id", "request_point_key").writeStream.format("parquet").option("path", out)
+        rows.option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+
+    _write_envelopes(spark, sf, folder, f"ts < '{middle}'")
+    run()
+    _write_envelopes(spark, sf, folder, f"ts >= '{middle}'")
+    _write_envelopes(spark, sf, folder, f"ts < '{middle}'", times=1)
+    _write_envelopes(spark, sf, folder, f"ts < timestamp'{newest}' - interval 1 hour", "late", 1)
+    run()
+    return spark.read.parquet(out)
 
 
 @query(
