@@ -231,3 +231,22 @@ def test_lookup_keeps_rows_without_a_key(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, "z")], "i int, k string")
     right = spark.createDataFrame([("a", 200)], "request_key string, http_status int")
     assert {(r.i, r.http_status) for r in L.left_lookup(left, right, "k").collect()} == {(1, 200), (2, None), (3, 200), (4, None)}
+
+
+def test_envelope_files_are_packed(spark, tmp_path, monkeypatch):
+    """The landed envelopes take a small part of their text on disk, and none is lost."""
+    from voltatlas.queries import stations
+
+    orders = spark.range(1, 201).selectExpr("id as o_orderkey", "id * 7 % 50 as o_custkey", "'O' as o_orderstatus", "'5-LOW' as o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    customers = spark.range(1, 98).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey")
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    made = []
+    folder = lambda _, purpose: str(tmp_path / (f"progress-{len(made)}" if made.append(purpose) or purpose == "progress" else purpose))
+    monkeypatch.setattr(stations, "scratch_dir", folder)
+    stations.station_stream_tables(spark, str(tmp_path)).collect()
+    for name in ("envelopes", "envelopes-again"):
+        text = spark.read.text(str(tmp_path / name))
+        held = sum(f.stat().st_size for f in (tmp_path / name).glob("part-*"))
+        assert text.count() == 200
+        assert 3 * held < text.selectExpr("sum(octet_length(value))").first()[0]
