@@ -204,3 +204,13 @@ def test_charging_modes(spark):
     assert [r.osm_id for r in df.where(spec.predicate("text")).orderBy("osm_id").collect()] == ["1", "2"]
     assert [r.osm_id for r in df.where(spec.predicate("tags")).orderBy("osm_id").collect()] == ["1", "3"]
     assert LAYERS["poi_points"].predicate() is None
+
+
+def test_features_of_a_small_file_are_made_on_all_cores(spark, tmp_path):
+    from voltatlas.queries.formats import _features
+
+    rows = spark.range(1, 41).selectExpr("id as c_custkey", "'c' || id as c_name", "cast(id % 25 as int) as c_nationkey")
+    rows.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    features = _features(spark, str(tmp_path))
+    assert features.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert features.selectExpr("count(distinct properties['osm_id'])").first()[0] == 40

@@ -12,7 +12,7 @@ from voltatlas.operators.layers import admin_layer, features_geometry, features_
 from voltatlas.operators.lookups import require_landed
 from voltatlas.operators.quality import QualityError, require_columns, require_degrees, require_rows, require_text_geometry
 from voltatlas.queries.layers import _WKT_SQL, _geojson
-from voltatlas.queries.registry import RUN_TS, query, table
+from voltatlas.queries.registry import RUN_TS, query, spread_table, table
 from voltatlas.session import scratch_dir
 from voltatlas.sinks.files import publish, read_published, replace_table, write_layer, write_levels
 from voltatlas.sources.cube import read_cube
@@ -47,7 +47,8 @@ def _features(spark, sf):
             F.expr("string(c_nationkey % 8)"), F.lit("relation"),
         ),
     )
-    return table(spark, sf, "customer").select(properties.alias("properties"), F.expr(_geojson("string")).alias("geometry"))
+    customers = spread_table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey")
+    return customers.select(properties.alias("properties"), F.expr(_geojson("string")).alias("geometry"))
 
 
 @query(
