@@ -160,3 +160,13 @@ def test_clip(spark, per_array):
     p = spark.createDataFrame(pts, "id long, lon double, lat double")
     got = {(x.id, x.region) for x in clip_to_regions(p, r, "id", edges_per_array=per_array).collect()}
     assert got == {(i, k) for i, x, y in pts for k, rings in regions.items() if inside((x, y), rings)}
+
+
+def test_cells_out_of_reach_are_not_shuffled(spark):
+    """Cells beyond the radius, and parts beyond the bound of the level above, go before the window's shuffle."""
+    cells = spark.range(5).selectExpr("id as c", "50.05 as lat", "19.5 as lon", "1500 as radius_m", "((1400 + id) << 32) + 1254 as _cell", "50L as count", "0 as _level")
+    kept = RadiusJoin("c", "s")._drop_hopeless(cells)
+    lines = kept._jdf.queryExecution().executedPlan().toString().splitlines()
+    window = max(k for k, x in enumerate(lines) if "Window" in x)
+    assert any("Filter" in x and "<=" in x for x in lines[window:])
+    assert "_bound" in kept.columns

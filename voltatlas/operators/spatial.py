@@ -262,7 +262,7 @@ class RadiusJoin:
                 }
             ).drop("_child", "_n", "_parent")
             active = self._drop_hopeless(active)
-        leaves = active.withColumn("_leaf", _leaf(F.col("_level"), F.col("_cell"))).drop("count", "_level", "_cell")
+        leaves = active.withColumn("_leaf", _leaf(F.col("_level"), F.col("_cell"))).drop("count", "_level", "_cell", "_bound")
         return leaves.join(grid.stations, "_leaf").drop("_leaf")
 
     @staticmethod
@@ -275,7 +275,9 @@ class RadiusJoin:
 
         Cells of one candidate, counted from the one whose far side is nearest,
         hold ``limit`` stations by some distance; nothing beyond it can rank.
+        The distance is kept as ``_bound``: of a cell's parts only those within it are shuffled.
         """
+        bound = F.col("_bound") if "_bound" in active.columns else F.col(self.radius).cast("double")
         factor = F.pow(F.lit(float(1 << _BITS)), F.col("_level"))
         row, col = F.shiftright("_cell", 32), F.col("_cell").bitwiseAND(F.lit(0xFFFFFFFF))
         around = _base_columns(F.floor(row / factor).cast("long")) * factor
@@ -297,15 +299,13 @@ class RadiusJoin:
         most = F.greatest(
             haversine_m(lat, F.lit(0.0), south, reach), haversine_m(lat, F.lit(0.0), south + height, reach)
         ) * 1.000001 + 0.001
-        bounded = active.withColumns({"_least": least, "_most": most})
+        bounded = active.withColumns({"_least": least, "_most": most, "_bound": bound}).where("_least <= _bound")
         mine = Window.partitionBy(self.candidate)
         nearest_first = mine.orderBy("_most", "_level", "_cell")
         held = bounded.withColumn("_held", F.sum("count").over(nearest_first))
         enough = F.min(F.when(F.col("_held") >= self.limit, F.col("_most"))).over(mine)
-        kept = held.withColumn("_enough", enough).where(
-            F.col("_least") <= F.least(F.col(self.radius).cast("double"), F.col("_enough"))
-        )
-        return kept.drop("_least", "_most", "_held", "_enough")
+        kept = held.withColumn("_bound", F.least("_bound", enough)).where("_least <= _bound")
+        return kept.drop("_least", "_most", "_held")
 
 
 # ------------------------------------------------------------------- clip
