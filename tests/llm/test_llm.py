@@ -251,6 +251,43 @@ def test_lines_with_one_change(spark):
     assert pairs > 220 and 0.99 * pairs <= sum(r.n_removed for r in rows) <= pairs
 
 
+def test_lines_lose_no_link(spark):
+    """Edits spread evenly over a line up to the last one allowed, and moved stretches: the groups are those of all pairs."""
+    rng = random.Random(29)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    lines = ["abcdefghi", "abcdefghix", "abcdefghi xy"]
+    for k in range(120):
+        line = " ".join(word() for _ in range(rng.choice([2, 4, 8, 15, 30, 60])))
+        lines.append(line)
+        for least in (0, 1):
+            new, edits = list(line), max(1, len(line) // 10 - least)
+            for e in range(edits):
+                at = min(len(new) - 1, e * len(line) // edits + rng.randrange(4))
+                new[at : at + 1] = [["q"], ["q", new[at]], []][rng.randrange(3) if k % 3 else 0]
+            lines.append("".join(new))
+    plain = [" ".join(x.split()).encode() for x in lines]
+    of = {x: x for x in plain}
+
+    def top(x):
+        while of[x] != x:
+            x = of[x]
+        return x
+
+    for i, a in enumerate(plain):
+        for b in plain[:i]:
+            if 100 * min(len(a), len(b)) >= 90 * max(len(a), len(b)) and top(a) != top(b):
+                most = max(len(a), len(b))
+                if 100 * (most - edit_distance(a, b)) >= 90 * most:
+                    of[max(top(a), top(b))] = min(top(a), top(b))
+    ready(spark)
+    rows = without_repeated_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    seen = set()
+    for x, r in zip(plain, sorted(rows, key=lambda r: r.doc_id)):
+        assert r.n_removed == (top(x) in seen), x
+        seen.add(top(x))
+    assert len(seen) < 250
+
+
 def test_lines_of_few_words(spark):
     """Exact copies of one and two words, and of texts without blanks, go; a letter changed in them too; other numbers stay."""
     url, han = "https://example.org/" + "abcdefghij" * 4, "这是一个没有空格的很长的中文句子用来测试重复"
