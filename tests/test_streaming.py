@@ -34,6 +34,20 @@ def test_append_once_over_runs_late_rows_and_replays(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["e1", "e2", "e3", "e4"]
 
 
+def test_micro_batch_is_written_in_bounded_parts(spark, tmp_path, monkeypatch):
+    """Rows of one date are dealt to several tasks when they are many; the setting stays within the stream."""
+    from voltatlas.streaming import envelopes
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, src = spark.conf.get(name), tmp_path / "in"
+    monkeypatch.setattr(envelopes, "TASK_BYTES", 1 << 20, raising=False)
+    spark.range(200_000).selectExpr("""'{"event_id":"' || sha(string(id)) || '"}' as value""").repartition(8).write.text(str(src))
+    append_once(read_envelopes(spark, str(src), TRAFFIC_ENVELOPE), str(tmp_path / "out"), str(tmp_path / "cp"), ["event_id"]).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.select("event_id").distinct().count() == out.count() == 200_000
+    assert len(out.inputFiles()) > 1 and spark.conf.get(name) == before
+
+
 def test_watermark_dedupe(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

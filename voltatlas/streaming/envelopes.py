@@ -27,6 +27,8 @@ from voltatlas.specs import DIM_HISTORY, FACT_AVAILABILITY, MAP_STATIONS
 
 # Dates of one micro-batch named in a filter; beyond it the whole table is asked.
 MAX_DAYS = 10_000
+# Shuffled bytes, compressed, that one task of a micro-batch takes up; rows much alike are some forty times as large when sorted for writing.
+TASK_BYTES = 8 << 20
 
 def dedupe_within(stream: DataFrame, keys: list[str], ts: str = "event_ts", delay: str = "10 minutes") -> DataFrame:
     """Drop repeats that arrive within ``delay`` of each other; state stays small.
@@ -70,7 +72,9 @@ def append_once(
     """
 
     def insert(batch: DataFrame, batch_no: int) -> None:
+        # The stream's own session: no other query sees the setting.
         spark = batch.sparkSession
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES)
         day = F.coalesce(coerce_ts(ts).cast("date").cast("string"), F.lit("unknown"))
         dated = batch.withColumn(partition, day)
         days = [r[0] for r in dated.select(partition).distinct().limit(MAX_DAYS).collect()]
