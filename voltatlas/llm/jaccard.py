@@ -224,6 +224,9 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     heads = heads.withColumn("asked", asked).where(F.size("open") >= F.col("asked"))
     rare = F.slice("open", F.lit(1), (F.size("open") - F.col("asked") + 1).cast("int"))
     heads = written(heads.select("c", "n", rare["token"].alias("tokens")), "jaccard-index")
+    # The shuffles of the shingles go before those of the texts come.
+    del tokens, shared
+    release(docs.sparkSession)
     # The sets of the classes still in play, from one text each.
     one = signs.where("n > 0").groupBy("c").agg(F.min("row").alias("row")).join(heads.select("c"), "c")
     texts = docs.select("row", "text").join(one.hint("shuffle_hash"), "row").select("c", "text")
