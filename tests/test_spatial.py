@@ -94,6 +94,23 @@ def test_crowded_path_looks_at_few_pairs(spark):
     assert run(spark, cands, stations, leaf_rows=64) == brute(cands, stations, 10)
 
 
+def test_candidates_of_a_place_share_its_list(spark):
+    """300 candidates side by side are paired with what may rank, and not with the stations of their cells."""
+    from voltatlas.operators import spatial as S
+
+    rng = random.Random(37)
+    stations = [(i, 50.01 + rng.random() * 0.08, 19.51 + rng.random() * 0.08) for i in range(1500)]
+    cands = [(i, 50.05 + rng.random() * 0.001, 19.55 + rng.random() * 0.001, 3000) for i in range(300)]
+    c = spark.createDataFrame(cands, "c long, lat double, lon double, radius_m int")
+    s = spark.createDataFrame(stations, "s long, station_lat double, station_lon double")
+    join = RadiusJoin("c", "s")
+    spread = S._covering_cells(c, F.col("lat"), F.col("lon"), F.col("radius_m").cast("double"))
+    rows = join._pairs(spread, join.store(s, scratch_dir(spark, "grid"))).select("c", "s").collect()
+    assert len(rows) <= spread.count() * 12
+    pairs = {tuple(r) for r in rows}
+    assert {(x, y) for x, y, _ in brute(cands, stations, 10)} <= pairs
+
+
 @pytest.mark.parametrize("leaf_rows", [1024, 4])
 def test_stored_grid(spark, leaf_rows):
     """One grid for two limits and two tables; stations without a place are left out; no shuffle of stations."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,15 +15,19 @@ from voltatlas.session import scratch_dir
 
 # Base cells are 0.1 degrees high and at least as wide as high (11 km), so the
 # largest search radius reaches one cell to each side.  Every level cuts a
-# cell into 8 x 8; the finest are about 0.3 m.
+# cell into 2 x 2; the finest are about 0.3 m.
 BASE_DEG = 0.1
 BASE_ROWS = 1800
-LEVELS = 5
-_BITS = 3
-_FINE = 1 << (_BITS * LEVELS)
-
-# Stations per cell up to which a candidate is compared with the whole cell.
-LEAF_ROWS = 1024
+LEVELS = 15
+_FINE = 1 << LEVELS
+# Bits of a level in grids stored before the levels of 2 x 2: 8 x 8.
+_OLD_BITS = 3
+
+# Stations per base cell up to which a candidate is compared with the whole cell.
+LEAF_ROWS = 128
+# Stations per cell of a grid, and stations up to which the candidates of one place share a list.
+NEAR_ROWS = 8
+PLACE_ROWS = 256
 # Rows of a lookup table that may be sent to every task.
 BROADCAST_ROWS = 100_000
 
@@ -39,7 +43,7 @@ def _with_fine_cell(df: DataFrame, lat: Column, lon: Column) -> DataFrame:
     """Add the finest cell as ``_fr``, ``_fc``; coarser cells are these shifted right."""
     row = F.least(F.floor((lat + 90) / BASE_DEG * _FINE), F.lit(BASE_ROWS * _FINE - 1)).cast("long")
     rows = df.withColumn("_fr", row)
-    around = _base_columns(F.shiftright("_fr", _BITS * LEVELS)) * _FINE
+    around = _base_columns(F.shiftright("_fr", LEVELS)) * _FINE
     share = F.pmod(lon + 180, F.lit(360.0)) / 360
     return rows.withColumn("_fc", F.least(F.floor(share * around), around - 1).cast("long"))
 
@@ -53,11 +57,28 @@ def _leaf(level: Column, cell: Column) -> Column:
     return F.shiftleft(level.cast("long"), 60).bitwiseOR(cell)
 
 
-def _cell_at(level: int) -> Column:
-    shift = _BITS * (LEVELS - level)
+def _cell_at(level: int, bits: int = 1) -> Column:
+    shift = LEVELS - bits * level
     return _cell(F.shiftright("_fr", shift), F.shiftright("_fc", shift))
 
 
+def _edges(cell: Column, factor: Column) -> tuple[Column, Column, Column, Column]:
+    """South and west edge of a cell (west from the date line on), its height and width, in degrees."""
+    row, col = F.shiftright(cell, 32), cell.bitwiseAND(F.lit(0xFFFFFFFF))
+    height, width = F.lit(BASE_DEG) / factor, F.lit(360.0) / (_base_columns(F.floor(row / factor).cast("long")) * factor)
+    return row * height - 90, col * width, height, width
+
+
+def _places(cells: DataFrame, level: int, bits: int) -> DataFrame:
+    """Cells of candidates, ``_at``, as circles around their middle: ``_place, _lat, _lon, _slack``, and ``_reach`` from anywhere within."""
+    south, west, height, width = _edges(F.col("_at"), F.lit(float(1 << bits * level)))
+    lat, half = south + height / 2, width / 2
+    corner = F.greatest(haversine_m(lat, F.lit(0.0), south, half), haversine_m(lat, F.lit(0.0), south + height, half))
+    return cells.withColumns(
+        {"_place": _leaf(F.lit(level), F.col("_at")), "_lat": lat, "_lon": west + half - 180, "_slack": corner * 1.000001 + 0.001}
+    )
+
+
 def _covering_cells(df: DataFrame, lat: Column, lon: Column, radius: Column) -> DataFrame:
     """One row per base cell that the circle may touch, as ``_cell``."""
     angle = F.degrees(radius / EARTH_RADIUS_M) * 1.000001 + 1e-9
@@ -105,6 +126,7 @@ class StationGrid:
     crowded: dict[int, int]
     leaf_rows: int
     limit: int
+    bits: int = 1
 
     @property
     def depth(self) -> int:
@@ -116,10 +138,10 @@ class StationGrid:
 
     def crowded_at(self, level: int) -> DataFrame:
         cells = self.counts_at(level).where(F.col("count") > self.leaf_rows).select("_cell")
-        return _lookup(cells, self.crowded[level])
+        return _lookup(cells, self.crowded.get(level, 0))
 
 
-_GRID = "buckets int, leaf_rows long, row_limit int, crowded map<int, long>, columns string"
+_GRID = "buckets int, leaf_rows long, row_limit int, crowded map<int, long>, columns string, bits int"
 _COUNTS = "_cell long, count long, _level int"
 
 
@@ -134,7 +156,7 @@ def open_grid(spark: SparkSession, path: str) -> StationGrid:
     by = f"CLUSTERED BY (_leaf) SORTED BY (_leaf) INTO {row.buckets} BUCKETS"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({row.columns}) USING parquet {by} LOCATION '{path}/stations'")
     counts = spark.read.schema(_COUNTS).parquet(f"{path}/counts")
-    return StationGrid(spark.table(name), counts, dict(row.crowded), row.leaf_rows, row.row_limit)
+    return StationGrid(spark.table(name), counts, dict(row.crowded), row.leaf_rows, row.row_limit, row.bits or _OLD_BITS)
 
 
 @dataclass(frozen=True)
@@ -161,16 +183,16 @@ class RadiusJoin:
         Of stations with a crowded cell the parts are counted first; a grid
         stored before is used as it is, and its stations are not shuffled.
         """
-        spread = _covering_cells(candidates, F.col(self.c_lat), F.col(self.c_lon), F.col(self.radius).cast("double"))
         if isinstance(stations, DataFrame):
             cells = self._cells(stations)
             base = None if self.limit is None else self._base_counts(cells, scratch_dir(cells.sparkSession, "cells"))
             full = 0 if base is None else base.where(F.col("count") > self.leaf_rows).count()
             if full == 0:
+                spread = _covering_cells(candidates, F.col(self.c_lat), F.col(self.c_lon), F.col(self.radius).cast("double"))
                 right = cells.withColumn("_cell", _cell_at(0)).drop("_fr", "_fc")
                 return self._ranked(spread.join(right, "_cell").drop("_cell"))
-            stations = self._filed(cells, base, full, scratch_dir(cells.sparkSession, "counts"))
-        return self._ranked(self._pairs(spread, stations))
+            stations = self._filed(cells, base, scratch_dir(cells.sparkSession, "counts"))
+        return self._ranked(self._pairs(candidates, stations))
 
     def store(self, stations: DataFrame, path: str, buckets: int | None = None) -> StationGrid:
         """File stations under ``path``: a new folder that readers know once its last part, ``grid``, is there.
@@ -182,12 +204,12 @@ class RadiusJoin:
             raise ValueError("a grid holds what can rank within a limit; without one, join the stations as they are")
         spark, cells = stations.sparkSession, self._cells(stations)
         base = self._base_counts(cells, f"{path}/base")
-        grid = self._filed(cells, base, base.where(F.col("count") > self.leaf_rows).count(), f"{path}/counts")
+        grid = self._filed(cells, base, f"{path}/counts")
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         filed = grid.stations.repartition(buckets, "_leaf").write.bucketBy(buckets, "_leaf").sortBy("_leaf")
         filed.option("compression", "zstd").option("path", f"{path}/stations").saveAsTable(_grid_name(path))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in grid.stations.schema)
-        row = spark.createDataFrame([(buckets, self.leaf_rows, self.limit, grid.crowded, columns)], _GRID)
+        row = spark.createDataFrame([(buckets, grid.leaf_rows, self.limit, grid.crowded, columns, grid.bits)], _GRID)
         row.coalesce(1).write.parquet(f"{path}/grid")
         return open_grid(spark, path)
 
@@ -205,19 +227,22 @@ class RadiusJoin:
         _counts(cells.where("_fr is not null and _fc is not null"), 0).write.parquet(path)
         return cells.sparkSession.read.schema("_cell long, count long").parquet(path)
 
-    # A crowded cell is cut until its parts are small, and a candidate visits
-    # only the parts that can hold one of its nearest ``limit`` stations.
+    # A crowded cell is cut until its parts are small.  Candidates of one place, a cell
+    # too, share the list of stations that may be among anybody's nearest ``limit`` there;
+    # a place is cut until its list is short.
 
-    def _filed(self, cells: DataFrame, base: DataFrame, crowded_base: int, path: str) -> StationGrid:
+    def _filed(self, cells: DataFrame, base: DataFrame, path: str) -> StationGrid:
         """The grid, its counts written under ``path`` and its stations still to be."""
-        spark = cells.sparkSession
-        full = F.col("count") > self.leaf_rows
+        spark, leaf_rows = cells.sparkSession, min(self.leaf_rows, max(NEAR_ROWS, self.limit))
+        full = F.col("count") > leaf_rows
         base = base.withColumn("_level", F.lit(0))
-        # Finer counts exist only below crowded base cells.
+        crowded_base = base.where(full).count()
+        # Finer counts exist only below crowded base cells; of one spot no more count than can rank.
         if crowded_base:
             below = cells.withColumn("_cell", _cell_at(0)).join(_lookup(base.where(full).select("_cell"), crowded_base), "_cell", "left_semi")
+            spots = below.groupBy(self.s_lat, self.s_lon, "_fr", "_fc").agg(F.least(F.count(F.lit(1)), F.lit(self.limit)).alias("_n"))
             finer = [F.struct(F.lit(v).alias("_level"), _cell_at(v).alias("_cell")) for v in range(1, LEVELS + 1)]
-            deep = below.select(F.explode(F.array(*finer)).alias("f")).groupBy("f._level", "f._cell").count()
+            deep = spots.select("_n", F.explode(F.array(*finer)).alias("f")).groupBy("f._level", "f._cell").agg(F.sum("_n").alias("count"))
             base = base.unionByName(deep)
         base.select("_cell", "count", "_level").write.partitionBy("_level").parquet(path)
         counts = spark.read.schema(_COUNTS).parquet(path)
@@ -228,62 +253,91 @@ class RadiusJoin:
         # first ``limit`` of them by key can ever be among the nearest.
         stations = top_per_group(
             cells.where("_fr is not null and _fc is not null"), [self.s_lat, self.s_lon], [F.asc(self.station)], self.limit, "_same"
-        ).drop("_same").withColumn("_level", F.lit(0))
-        grid = StationGrid(cells, counts, crowded, self.leaf_rows, self.limit)
-        for v in range(grid.depth):
-            hit = stations.join(grid.crowded_at(v).withColumnRenamed("_cell", "_full"), _cell_at(v) == F.col("_full"), "left")
-            stations = hit.withColumn("_level", F.col("_level") + F.col("_full").isNotNull().cast("int")).drop("_full")
-        leaf = F.lit(None).cast("long")
-        for v in range(grid.depth + 1):
-            leaf = F.when(F.col("_level") == v, _leaf(F.lit(v), _cell_at(v))).otherwise(leaf)
-        stations = stations.withColumn("_leaf", leaf).drop("_fr", "_fc", "_level")
-        return StationGrid(stations, counts, crowded, self.leaf_rows, self.limit)
+        ).drop("_same")
+        grid = StationGrid(cells, counts, crowded, leaf_rows, self.limit)
+        leaf = _leaf_of({v: (grid.crowded_at(v), crowded.get(v, 0)) for v in range(grid.depth)}, 1)
+        return replace(grid, stations=leaf(stations, "_leaf").drop("_fr", "_fc"))
 
-    def _pairs(self, spread: DataFrame, grid: StationGrid) -> DataFrame:
-        """Candidates with the stations of the cells that may hold one of their nearest."""
+    def _pairs(self, candidates: DataFrame, grid: StationGrid) -> DataFrame:
+        """Candidates with the stations that may be among their nearest: as near as the last that ranks in a list."""
         if self.limit is None or self.limit > grid.limit:
             raise ValueError(f"the grid was stored for the nearest {grid.limit}")
-        active = spread.join(grid.counts_at(0), "_cell").withColumn("_level", F.lit(0))
-        active = self._drop_hopeless(active)
-        for v in range(grid.depth):
-            parts = grid.counts_at(v + 1).select(F.col("_cell").alias("_child"), F.col("count").alias("_n"))
-            parts = parts.withColumn("_parent", self._parent_of(F.col("_child"))).join(
-                grid.crowded_at(v).withColumnRenamed("_cell", "_parent"), "_parent", "left_semi"
-            )
-            opened = active.join(
-                parts, (F.col("_level") == v) & (F.col("_cell") == F.col("_parent")), "left"
-            )
-            split = F.col("_child").isNotNull()
-            active = opened.withColumns(
-                {
-                    "_cell": F.coalesce("_child", "_cell"),
-                    "count": F.coalesce("_n", "count"),
-                    "_level": F.when(split, v + 1).otherwise(F.col("_level")),
-                }
-            ).drop("_child", "_n", "_parent")
-            active = self._drop_hopeless(active)
-        leaves = active.withColumn("_leaf", _leaf(F.col("_level"), F.col("_cell"))).drop("count", "_level", "_cell", "_bound")
-        return leaves.join(grid.stations, "_leaf").drop("_leaf")
+        reach, names = F.col(self.radius).cast("double"), [c for c in candidates.columns if c != "_cell"]
+        placed = _with_fine_cell(candidates.select(*[F.col(f"`{c}`") for c in names]), F.col(self.c_lat).cast("double"), F.col(self.c_lon).cast("double"))
+        placed = placed.where(F.col("_fr").isNotNull() & F.col("_fc").isNotNull() & ~F.isnan(reach))
+        lists, cut = self._lists(placed.select("_fr", "_fc", reach.alias("_reach")), grid)
+        stations = [c for c in grid.stations.columns if c != "_leaf"]
+        part = F.pmod(F.xxhash64(self.station, self.s_lat, self.s_lon), F.ceil(F.col("_total") / PLACE_ROWS))
+        rows = lists.join(grid.stations, "_leaf").select("_place", part.alias("_part"), F.struct(*[F.col(f"`{c}`") for c in stations]).alias("_s"))
+        near = rows.groupBy("_place", "_part").agg(F.collect_list("_s").alias("_near")).drop("_part")
+        dist = lambda s: haversine_m(self.c_lat, self.c_lon, s[self.s_lat], s[self.s_lon])
+        met = _leaf_of(cut, grid.bits)(placed, "_place").drop("_fr", "_fc").join(near, "_place").drop("_place")
+        met = met.withColumn("_near", F.transform("_near", lambda s: F.struct(dist(s).alias("d"), s.alias("s"))))
+        # The last that ranks; a little more, as distances are taken again for the ranks.
+        last = F.get(F.array_sort(F.transform("_near", lambda x: x["d"])), F.lit(self.limit - 1)) * 1.000001 + 0.001
+        met = met.withColumn("_last", F.least(F.col(self.radius).cast("double") * 1.000001 + 0.001, last))
+        met = met.withColumn("_s", F.explode(F.filter("_near", lambda x: x["d"] <= F.col("_last"))))
+        return met.select(*[F.col(f"`{c}`") for c in names], *[F.col("_s.s")[c].alias(c) for c in stations])
+
+    def _lists(self, cells: DataFrame, grid: StationGrid) -> tuple[DataFrame, dict[int, tuple[DataFrame, int]]]:
+        """``_place, _total, _leaf``: the cells of stations that the candidates of a place may need, and how many stations
+        they hold; and, of each level, the places that were cut on, with their number."""
+        spark, bits = cells.sparkSession, grid.bits
+        path = scratch_dir(spark, "places")
+        cells.write.parquet(f"{path}/candidates")
+        cells = spark.read.schema(cells.schema).parquet(f"{path}/candidates")
+        asks = replace(self, candidate="_place", radius="_reach", c_lat="_lat", c_lon="_lon")
+        at = _places(cells.groupBy(_cell_at(0, bits).alias("_at")).agg(F.max("_reach").alias("_reach")), 0, bits)
+        active = _covering_cells(at, F.col("_lat"), F.col("_lon"), F.col("_reach") + F.col("_slack"))
+        active = active.join(grid.counts_at(0), "_cell").withColumn("_level", F.lit(0))
+        cut: dict[int, tuple[DataFrame, int]] = {}
+        for v in range(LEVELS // bits + 1):
+            kept = asks._drop_hopeless(active, bits).withColumn("_total", F.sum("count").over(Window.partitionBy("_place")))
+            kept = kept.select("_place", "_at", "_bound", "_total", "_cell", "_level", "count")
+            # Once a list is short, its cells are those by which the stations are filed.
+            kept = kept.join(grid.crowded_at(v).withColumns({"_level": F.lit(v), "_full": F.lit(1)}), ["_level", "_cell"], "left")
+            crowd = F.max("_full").over(Window.partitionBy("_place")).isNotNull()
+            kept = kept.withColumn("_open", ((F.col("_total") > PLACE_ROWS) | crowd) & F.lit(v < LEVELS // bits)).drop("_full")
+            kept.write.parquet(f"{path}/lists/step={v:02d}")
+            kept = spark.read.schema(kept.schema).parquet(f"{path}/lists/step={v:02d}").where("_open")
+            full = kept.select(F.col("_at").alias("_cell")).distinct()
+            if not (n := full.count()):
+                break
+            cut[v] = full, n
+            within = cells.withColumn("_up", _cell_at(v, bits)).join(_lookup(full.withColumnRenamed("_cell", "_up"), n), "_up", "left_semi")
+            within = within.groupBy("_up", _cell_at(v + 1, bits).alias("_at")).agg(F.max("_reach").alias("_reach"))
+            if v < grid.depth:
+                parts = grid.counts_at(v + 1).select(F.col("_cell").alias("_child"), F.col("count").alias("_n"))
+                parts = parts.withColumn("_parent", self._parent_of(F.col("_child"), bits)).join(
+                    grid.crowded_at(v).withColumnRenamed("_cell", "_parent"), "_parent", "left_semi"
+                )
+                opened = kept.join(parts, (F.col("_level") == v) & (F.col("_cell") == F.col("_parent")), "left")
+                kept = opened.select(
+                    "_at", "_bound", F.coalesce("_child", "_cell").alias("_cell"), F.coalesce("_n", "count").alias("count"),
+                    F.when(F.col("_child").isNotNull(), v + 1).otherwise(F.col("_level")).alias("_level"),
+                )
+            below = kept.select(F.col("_at").alias("_up"), "_bound", "_cell", "count", "_level").join(within, "_up").drop("_up")
+            active = _places(below.withColumn("_bound", F.least("_bound", "_reach")), v + 1, bits)
+        lists = spark.read.schema(kept.schema).parquet(f"{path}/lists").where("not _open")
+        return lists.select("_place", "_total", _leaf(F.col("_level"), F.col("_cell")).alias("_leaf")), cut
 
     @staticmethod
-    def _parent_of(cell: Column) -> Column:
+    def _parent_of(cell: Column, bits: int) -> Column:
         row, col = F.shiftright(cell, 32), cell.bitwiseAND(F.lit(0xFFFFFFFF))
-        return _cell(F.shiftright(row, _BITS), F.shiftright(col, _BITS))
+        return _cell(F.shiftright(row, bits), F.shiftright(col, bits))
 
-    def _drop_hopeless(self, active: DataFrame) -> DataFrame:
+    def _drop_hopeless(self, active: DataFrame, bits: int = 1) -> DataFrame:
         """Remove cells farther than the radius, or than ``limit`` surely nearer stations.
 
         Cells of one candidate, counted from the one whose far side is nearest,
         hold ``limit`` stations by some distance; nothing beyond it can rank.
         The distance is kept as ``_bound``: of a cell's parts only those within it are shuffled.
+        Of a place, whose candidates lie within ``_slack`` of its point, what holds for all of them is kept.
         """
+        slack = F.col("_slack") if "_slack" in active.columns else F.lit(0.0)
         bound = F.col("_bound") if "_bound" in active.columns else F.col(self.radius).cast("double")
-        factor = F.pow(F.lit(float(1 << _BITS)), F.col("_level"))
-        row, col = F.shiftright("_cell", 32), F.col("_cell").bitwiseAND(F.lit(0xFFFFFFFF))
-        around = _base_columns(F.floor(row / factor).cast("long")) * factor
-        height, width = F.lit(BASE_DEG) / factor, F.lit(360.0) / around
+        south, west, height, width = _edges(F.col("_cell"), F.pow(F.lit(float(1 << bits)), F.col("_level")))
         lat, lon = F.col(self.c_lat).cast("double"), F.col(self.c_lon).cast("double")
-        south, west = row * height - 90, col * width
         east_gap = F.pmod(F.lit(180.0) + lon - west, F.lit(360.0))
         inside = east_gap <= width
         gap = F.when(inside, F.lit(0.0)).otherwise(F.least(east_gap - width, F.lit(360.0) - east_gap))
@@ -299,7 +353,7 @@ class RadiusJoin:
         most = F.greatest(
             haversine_m(lat, F.lit(0.0), south, reach), haversine_m(lat, F.lit(0.0), south + height, reach)
         ) * 1.000001 + 0.001
-        bounded = active.withColumns({"_least": least, "_most": most, "_bound": bound}).where("_least <= _bound")
+        bounded = active.withColumns({"_least": least - slack, "_most": most + slack, "_bound": bound}).where("_least <= _bound")
         mine = Window.partitionBy(self.candidate)
         nearest_first = mine.orderBy("_most", "_level", "_cell")
         held = bounded.withColumn("_held", F.sum("count").over(nearest_first))
@@ -308,6 +362,22 @@ class RadiusJoin:
         return kept.drop("_least", "_most", "_held")
 
 
+def _leaf_of(cut: dict[int, tuple[DataFrame, int]], bits: int):
+    """What adds the cell that a row lies in once cells have been cut: at the first level where its cell is not among ``cut``."""
+
+    def add(df: DataFrame, name: str) -> DataFrame:
+        df = df.withColumn("_level", F.lit(0))
+        for v, (cells, rows) in cut.items():
+            hit = df.join(_lookup(cells.select(F.col("_cell").alias("_full")), rows), _cell_at(v, bits) == F.col("_full"), "left")
+            df = hit.withColumn("_level", F.col("_level") + F.col("_full").isNotNull().cast("int")).drop("_full")
+        leaf = F.lit(None).cast("long")
+        for v in range(max(cut, default=-1) + 2):
+            leaf = F.when(F.col("_level") == v, _leaf(F.lit(v), _cell_at(v, bits))).otherwise(leaf)
+        return df.withColumn(name, leaf).drop("_level")
+
+    return add
+
+
 # ------------------------------------------------------------------- clip
 
 BAND_DEG = 0.05
