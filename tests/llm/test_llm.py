@@ -8,11 +8,12 @@ import re
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from voltatlas.llm import arrays as A
-from voltatlas.llm import substrings
+from voltatlas.llm import common, line_pairs, substrings
 from voltatlas.llm import toxicity as tox
 from voltatlas.llm.common import pieces, ready
 from voltatlas.llm.hilbert import hilbert_key, nearest, windows
@@ -479,3 +480,47 @@ def test_counterfactuals_lower_the_weight_of_groups():
 def test_pieces_hold_every_row():
     texts = [None, b"x" * 5, b"", b"y" * 50, b"z"]
     assert [r for lo, hi in pieces(texts, 10) for r in range(lo, hi)] == list(range(5))
+
+
+def test_lines_leave_no_large_tables(spark, monkeypatch, tmp_path):
+    """The tables of keys, texts and blocks go as soon as no later job reads them."""
+    made = []
+    monkeypatch.setattr(common, "scratch_dir", lambda _, purpose: made.append(tmp_path / f"{purpose}-{len(made)}") or str(made[-1]))
+    texts = [(1, "one line of some words here\nanother line"), (2, "one line of some words herr\nanother line"), (3, None)]
+    rows = without_repeated_lines(ready(spark).createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 2, 3: 0}
+    left = {p.name.rsplit("-", 1)[0] for p in made if p.exists()}
+    assert len(made) > 10 and not left & {"line-keyed", "line-texts", "line-blocks"}
+
+
+def test_blocks_hold_each_line_once():
+    """A text that comes several times is one line; a line takes the group that comes before it, and large groups lie apart."""
+    rows = [(1, 0, 1, None, None, b"abcdefghijk"), (1, 0, 1, None, None, b"abcdefghijk"), (1, 0, 3, 9, None, None), (1, 0, 3, None, None, b"abcdefghijx")]
+    rows += [(1, 0, k, *r) for k in range(10, 40) for r in ((7, 7, None), (None, None, b"abcdefghij%02d" % k))]
+    rows += [(1, 1, 50, None, None, b"abcdefghijk"), (1, 1, 51, 7, 7, None), (1, 1, 51, None, None, b"abcdefghi51")]
+    names = ["size", "place", "h", "root", "own", "plain"]
+    kinds = pa.schema([(n, pa.binary() if n == "plain" else pa.int64()) for n in names])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[k : k + 5]], kinds) for k in range(0, len(rows), 5)]
+    blocks = [b.to_pylist()[0] for b in line_pairs._cut(batches)]
+    got = [(b["own"], np.frombuffer(b["h"], np.int64).tolist(), np.frombuffer(b["root"], np.int64).tolist()) for b in blocks]
+    assert got == [(None, [1, 3], [1, 9]), (7, list(range(10, 40)), [7] * 30), (None, [50, 51], [50, 7])]
+
+
+def test_shared_runs_show_all_similar_lines():
+    """Pairs of blocks against all pairs, with edits spread evenly, in texts of few syllables and of long lines."""
+    rng = random.Random(41)
+    for size in (12, 45, 130, 600):
+        lines = ["".join(rng.choice(["an", "the", "on ", "er", "st ", "ou"]) for _ in range(size))[:size] for _ in range(12)]
+        for line in lines[:8]:
+            edits = max(1, size // 10)
+            changed = list(line)
+            for e in range(edits):
+                changed[e * size // edits] = rng.choice(["", "z"]) if e % 2 else "q"
+            lines.append("".join(changed))
+        lines = sorted({x.encode() for x in lines}, key=lambda x: (len(x), x))
+        h = np.arange(len(lines), dtype=np.int64)
+        block = line_pairs._Block(h, h, np.array([len(x) for x in lines]), b"".join(lines))
+        found = {(int(i), int(j)) for y, x in line_pairs._shared(block, block, 90) for i, j in zip(y, x)}
+        near = {(i, j) for j in range(len(lines)) for i in range(j) if _similar(lines[i], lines[j], 90)}
+        assert len(near) >= 4 and near <= found
+        assert len(block.index(min(9, size // 4))[0]) == sum(max(0, len(x) - min(9, size // 4) + 1) for x in lines)
