@@ -483,14 +483,14 @@ def test_pieces_hold_every_row():
 
 
 def test_lines_leave_no_large_tables(spark, monkeypatch, tmp_path):
-    """The tables of keys, texts and blocks go as soon as no later job reads them."""
+    """The tables of keys, texts and blocks go as soon as no later job reads them, and a line's occurrences go on without keys."""
     made = []
     monkeypatch.setattr(common, "scratch_dir", lambda _, purpose: made.append(tmp_path / f"{purpose}-{len(made)}") or str(made[-1]))
     texts = [(1, "one line of some words here\nanother line"), (2, "one line of some words herr\nanother line"), (3, None)]
     rows = without_repeated_lines(ready(spark).createDataFrame(texts, "doc_id long, text string")).collect()
     assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 2, 3: 0}
     left = {p.name.rsplit("-", 1)[0] for p in made if p.exists()}
-    assert len(made) > 10 and not left & {"line-keyed", "line-texts", "line-blocks"}
+    assert len(made) > 10 and not left & {"line-marks", "line-keyed", "line-texts", "line-blocks"}
 
 
 def test_blocks_hold_each_line_once():
