@@ -250,3 +250,27 @@ def test_envelope_files_are_packed(spark, tmp_path, monkeypatch):
         held = sum(f.stat().st_size for f in (tmp_path / name).glob("part-*"))
         assert text.count() == 200
         assert 3 * held < text.selectExpr("sum(octet_length(value))").first()[0]
+
+
+def test_envelopes_land_in_files_of_bounded_rows_and_batches_are_not_persisted(spark, tmp_path, monkeypatch):
+    """More rows are more files, a search answer is shuffled once to be put into its envelope, and nothing staged is left."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from voltatlas.queries import stations
+
+    orders = spark.range(1, 201).selectExpr("id as o_orderkey", "id * 7 % 50 as o_custkey", "'O' as o_orderstatus", "'5-LOW' as o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    customers = spark.range(1, 98).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey")
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    made = []
+    folder = lambda _, purpose: str(tmp_path / (f"progress-{len(made)}" if made.append(purpose) or purpose == "progress" else purpose))
+    monkeypatch.setattr(stations, "scratch_dir", folder)
+    monkeypatch.setattr(stations, "FILE_ROWS", 10, raising=False)
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *_: pytest.fail("a micro-batch was persisted"))
+    wanted = {r.tomtom_poi_id for r in stations._star(spark, str(tmp_path)).dim.collect()}
+    got = [r.tomtom_poi_id for r in stations.station_stream_tables(spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) > 40 and set(got) <= wanted
+    for name in ("envelopes", "envelopes-again"):
+        assert len(list((tmp_path / name).glob("part-*"))) >= 20
+    assert spark.read.parquet(str(tmp_path / "stations/events")).count() == 200
+    assert not list((tmp_path / "stations").glob("_staged*"))

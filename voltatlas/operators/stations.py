@@ -183,12 +183,13 @@ def station_envelopes(
     """
     answered_ok = F.when(F.col("http_status") < 400, F.col("body"))
     found = left_lookup(candidates, searches.withColumn("poi_json", answered_ok).drop("body"), key)
-    asked = searches.join(candidates.select(F.col(key).alias("request_key")).distinct(), "request_key", "left_semi")
     items = F.from_json(answered_ok, "results array<string>")["results"]
-    ids = asked.select(F.col("request_key").alias("_k"), F.posexplode(items).alias("pos", "item")).select(
+    ids = searches.select(F.col("request_key").alias("_k"), F.posexplode(items).alias("pos", "item")).select(
         "_k", "pos",
         F.get_json_object("item", "$.dataSources.chargingAvailability.id").alias("availability_id"),
     ).where("availability_id <> ''")
+    # The ids alone are shuffled for this, not the answers they stand in.
+    ids = ids.join(candidates.select(F.col(key).alias("_k")).distinct(), "_k", "left_semi")
     answered = left_lookup(ids, availability, "availability_id")
     good = F.coalesce(F.col("http_status") < 400, F.lit(False))
     entry = F.struct(

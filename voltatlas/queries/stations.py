@@ -9,7 +9,7 @@ from voltatlas.operators.lookups import latest_response, left_lookup, with_outco
 from voltatlas.operators.stations import availability_rows, current_stations, explode_results, station_envelopes, station_rows, station_star
 from voltatlas.operators.totals import station_totals as totals_of
 from voltatlas.queries.registry import RUN_TS, query, spread_table, table
-from voltatlas.session import scratch_dir
+from voltatlas.session import release, scratch_dir
 from voltatlas.sinks.current import CurrentTable
 from voltatlas.sources.tables import parse_envelopes, read_envelopes
 from voltatlas.specs import DIM_HISTORY, STATION_ENVELOPE
@@ -223,6 +223,10 @@ def ev_envelope_flatten(spark, sf):
     return rows.select("region_code", "h3_r7", "tomtom_poi_id", "dist_m", "rank_by_dist")
 
 
+# Envelopes in one landed file at most: a file is read by one task.
+FILE_ROWS = 50_000
+
+
 @query(_DIM_SQL.replace("as rn from ranked", "as rn from ranked where o_orderkey % 11 <> 0"))
 def station_stream_tables(spark, sf):
     """Envelopes in several micro-batches, each twice: the view of the streamed DIM is the DIM of the batch job."""
@@ -231,10 +235,16 @@ def station_stream_tables(spark, sf):
     value = F.to_json(F.struct(*envelopes.columns), {"ignoreNullFields": "false"})
     text = envelopes.select(value.alias("value"))
     # Envelopes repeat most of their text: as gzip they take a tenth of the disk.
-    text.repartition(4).write.option("compression", "gzip").text(folder)
-    spark.read.text(folder).write.mode("append").option("compression", "gzip").text(folder + "-again")
+    # Four files at least, and more for more rows, without a shuffle of the text for it.
+    most = min(FILE_ROWS, max(1, -(-table(spark, sf, "orders").count() // 4)))
+    text.write.option("compression", "gzip").option("maxRecordsPerFile", most).text(folder)
+    # What the envelopes were built from is let go before more is written.
+    del envelopes, text
+    release(spark)
+    spark.read.text(folder).write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", most).text(folder + "-again")
     for source in (folder, folder + "-again"):
-        stream = read_envelopes(spark, source, STATION_ENVELOPE, files_per_trigger=2)
+        files = len(spark.read.text(source).inputFiles())
+        stream = read_envelopes(spark, source, STATION_ENVELOPE, files_per_trigger=max(1, -(-files // 3)))
         write_stations(stream, out, scratch_dir(spark, "progress"), lambda: ntz(RUN_TS)).awaitTermination()
     history = spark.read.schema(DIM_HISTORY).parquet(f"{out}/dim")
     return current_stations(history).drop("raw_poi_json", "micro_batch")

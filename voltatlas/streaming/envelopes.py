@@ -23,6 +23,7 @@ from voltatlas.operators.stations import (
 )
 from voltatlas.operators.traffic import flow_fact
 from voltatlas.streaming.keyindex import KeyIndex
+from voltatlas.session import release
 from voltatlas.specs import DIM_HISTORY, FACT_AVAILABILITY, MAP_STATIONS
 
 # Dates of one micro-batch named in a filter; beyond it the whole table is asked.
@@ -143,7 +144,8 @@ def write_stations(
 ) -> StreamingQuery:
     """Station envelopes to the DIM, MAP and FACT tables.
 
-    The three tables of one micro-batch come from one read of it, and each is
+    The three tables of one micro-batch come from one read of it, which stands packed
+    in a hidden folder under ``path`` until they are written, and each is
     a folder of its own per micro-batch, so a repeated one replaces itself.  An
     event that an earlier micro-batch has brought, of this feed or another, is
     left out; which events came is written last, as the table ``events``.
@@ -156,12 +158,19 @@ def write_stations(
         known = _known_keys(spark, f"{path}/events", folder, ["event_id"], None, None)
         if known is not None:
             batch = batch.join(known, "event_id", "left_anti")
-        batch = batch.persist()
+        # Not persisted: what memory cannot hold would stand on disk unpacked.
+        staged = f"{path}/_staged-{folder}"
+        schema = batch.schema
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(staged)
+        # What the shuffle of the envelopes holds goes before the tables are written.
+        del batch, known
+        release(spark)
+        rows = spark.read.schema(schema).parquet(staged)
         try:
-            for name, df in {**station_tables(batch, now), "events": batch.select("event_id")}.items():
-                df.write.mode("overwrite").parquet(f"{path}/{name}/micro_batch={folder}")
+            for name, df in {**station_tables(rows, now), "events": rows.select("event_id")}.items():
+                df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}/micro_batch={folder}")
         finally:
-            batch.unpersist()
+            _removed(spark, staged)
 
     return (
         stream.writeStream.foreachBatch(insert)
@@ -171,6 +180,11 @@ def write_stations(
     )
 
 
+def _removed(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def station_tables(envelopes: DataFrame, run_ts: Column) -> dict[str, DataFrame]:
     """Envelope rows to the three tables; stateless, so batch and stream agree.
 
