@@ -524,3 +524,30 @@ def test_shared_runs_show_all_similar_lines():
         near = {(i, j) for j in range(len(lines)) for i in range(j) if _similar(lines[i], lines[j], 90)}
         assert len(near) >= 4 and near <= found
         assert len(block.index(min(9, size // 4))[0]) == sum(max(0, len(x) - min(9, size // 4) + 1) for x in lines)
+
+
+def test_blocks_met_again_are_opened_once(monkeypatch):
+    """Blocks on the right are held for the next one on the left; with any limits, what is similar is found."""
+    rng = random.Random(43)
+    lines = sorted({"".join(rng.choice(["an", "the", "on ", "er", "st ", "ou"]) for _ in range(90))[:90] for _ in range(60)})
+    lines += ["q" + x[1:40] + x[41:70] + "zz" + x[70:] for x in lines[:30]]
+    plain = [x.encode() for x in lines]
+    parts = [sorted((len(plain[k]), k) for k in range(len(plain)) if k % 4 == r) for r in range(4)]
+    blocks = [line_pairs._block([(k, None, k, n, plain[k]) for n, k in part]).to_pylist()[0] for part in parts]
+    pairs = [{**a, **{"r_" + c: v for c, v in b.items()}} for a in blocks for b in blocks]
+    near = {(i, j) for i in range(len(plain)) for j in range(i) if _similar(plain[i], plain[j], 90)}
+    opened, decompress = [], pa.decompress
+    monkeypatch.setattr(line_pairs.pa, "decompress", lambda *a, **k: opened.append(1) or decompress(*a, **k))
+    for limits in ({}, {"CROWD": 0}, {"HITS": 50}, {"CROWD": 1, "HITS": 50, "HELD_BYTES": 0}):
+        opened.clear()
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(line_pairs, name, value)
+            batches = iter([pa.RecordBatch.from_pylist([p]) for p in pairs])
+            links = [(r["a"], r["b"]) for b in line_pairs._links(90, _similar, batches) for r in b.to_pylist()]
+        root = list(range(len(plain)))
+        for a, b in links:
+            assert _similar(plain[a], plain[b], 90)
+            root = [root[a] if r == root[b] else r for r in root]
+        assert len(near) >= 30 and all(root[i] == root[j] for i, j in near)
+        assert len(opened) == (len(blocks) * (len(blocks) + 1) if "HELD_BYTES" in limits else 2 * len(blocks))
