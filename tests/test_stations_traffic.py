@@ -266,7 +266,8 @@ def test_envelopes_land_in_files_of_bounded_rows_and_batches_are_not_persisted(s
     folder = lambda _, purpose: str(tmp_path / (f"progress-{len(made)}" if made.append(purpose) or purpose == "progress" else purpose))
     monkeypatch.setattr(stations, "scratch_dir", folder)
     monkeypatch.setattr(stations, "FILE_ROWS", 10, raising=False)
-    monkeypatch.setattr(DataFrame, "persist", lambda self, *_: pytest.fail("a micro-batch was persisted"))
+    persisted, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: persisted.append(1) or persist(self, *a))
     wanted = {r.tomtom_poi_id for r in stations._star(spark, str(tmp_path)).dim.collect()}
     got = [r.tomtom_poi_id for r in stations.station_stream_tables(spark, str(tmp_path)).collect()]
     assert len(got) == len(set(got)) > 40 and set(got) <= wanted
@@ -274,3 +275,4 @@ def test_envelopes_land_in_files_of_bounded_rows_and_batches_are_not_persisted(s
         assert len(list((tmp_path / name).glob("part-*"))) >= 20
     assert spark.read.parquet(str(tmp_path / "stations/events")).count() == 200
     assert not list((tmp_path / "stations").glob("_staged*"))
+    assert not persisted
